@@ -51,9 +51,7 @@ def month_of(ts: Column) -> Column:
 def epoch_to_ntz(seconds: Column) -> Column:
     """Epoch seconds -> UTC timestamp without zone; NULL when out of range."""
     seconds = F.when(seconds.between(_FIRST_SECOND, _LAST_SECOND), seconds)
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        days=F.floor(seconds / 86400).cast("int"), secs=F.pmod(seconds, F.lit(86400))
-    )
+    return sql_timestamp("1970-01-01 00:00:00") + F.expr("interval '1' second") * seconds
 
 
 def epoch_of(ts: Column) -> Column:

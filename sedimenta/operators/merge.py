@@ -26,14 +26,17 @@ def upsert(
     insert_only: Sequence[str] = (),
     null_safe: bool = True,
     keep_old_for_null: bool = False,
+    whole: bool = True,
 ) -> DataFrame:
     """The target after `source` is merged in, each row tagged `_op` I, U or K.
 
     `source` holds one row per key. `update` columns take the new value on a
     conflict where any of them differs; with `keep_old_for_null` a NULL never
     replaces or counts as a difference. `insert_only` columns keep the value of
-    the first insert. Other target columns are NULL for inserted rows.
-    Both sides are unique per key, so the full outer join has no hot key.
+    the first insert. Other target columns are NULL for inserted rows. With
+    `whole=False` only the rows whose key is in the source come out, which spares
+    a large target that seldom changes.
+    Both sides are unique per key, so the join has no hot key.
     """
 
     def new(c: str) -> Column:
@@ -48,7 +51,8 @@ def upsert(
 
     taken = source.select(*keys, *update, *insert_only, F.lit(True).alias("_in_source"))
     held = target.withColumn("_in_target", F.lit(True))
-    joined = held.alias("t").join(taken.alias("s"), list(keys), "full_outer")
+    how = "full_outer" if whole else "right_outer"
+    joined = held.alias("t").join(taken.alias("s"), list(keys), how)
 
     is_new = F.col("_in_target").isNull()
     any_change = reduce(lambda a, b: a | b, [changed(c) for c in update], F.lit(False))
@@ -71,7 +75,9 @@ def upsert(
     return joined.select(*[merged(c) for c in target.columns], op.alias("_op"))
 
 
-def number_inserts(merged: DataFrame, id_column: str, keys: Sequence[str], start: Column):
+def number_inserts(
+    merged: DataFrame, id_column: str, keys: Sequence[str], start: Column
+) -> DataFrame:
     """Surrogate keys for the inserted rows, after `start`."""
     fresh = merged.where(F.col("_op") == INSERTED).drop(id_column)
     rest = merged.where(F.col("_op") != INSERTED)
@@ -85,6 +91,13 @@ def upsert_with_ids(
     return number_inserts(merged, id_column, keys, highest(target, id_column))
 
 
+def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target with the changed rows in place of its own."""
+    columns = target.columns
+    kept = target.join(changes.select(*keys), list(keys), "left_anti").select(*columns)
+    return kept.unionByName(changes.select(*columns))
+
+
 def touched_rows(merged: DataFrame) -> DataFrame:
     """Only what the merge wrote; unchanged conflicts are not returned."""
     return merged.where(F.col("_op").isin(INSERTED, UPDATED))

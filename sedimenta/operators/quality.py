@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,19 @@ def missing_required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumn("missing_columns", names).where(F.col("missing_columns") != "")
 
 
+def too_large(column: str, dtype: str) -> Column:
+    """A text too long, or a DOUBLE that rounds to more than the type holds. Plain
+    comparisons: on wide tables, checked casts make code too long to be compiled."""
+    text = re.fullmatch(r"varchar\((\d+)\)", dtype)
+    if text:
+        return F.length(column) > int(text.group(1))
+    if dtype == "bigint":
+        return F.abs(column) >= float(2**63)
+    precision, scale = map(int, re.fullmatch(r"decimal\((\d+),(\d+)\)", dtype).groups())
+    limit = Decimal(10) ** (precision - scale) - Decimal(5) / Decimal(10) ** (scale + 1)
+    return F.abs(column) >= float(limit)
+
+
 def _overflows(column: str, dtype: str) -> Column:
     text = re.fullmatch(r"varchar\((\d+)\)", dtype)
     if text:

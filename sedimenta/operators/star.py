@@ -24,7 +24,10 @@ def latest_locations(silver: DataFrame) -> DataFrame:
     return latest_values(silver, ["city"], ["latitude", "longitude"], _NEWEST_FIRST)
 
 
-def merge_locations(dim: DataFrame, increment: DataFrame, null_safe: bool = True) -> DataFrame:
+def merge_locations(
+    dim: DataFrame, increment: DataFrame, null_safe: bool = True, whole: bool = True
+) -> DataFrame:
+    """The location dimension with the newest coordinates merged in."""
     return upsert_with_ids(
         dim,
         latest_locations(increment),
@@ -32,6 +35,7 @@ def merge_locations(dim: DataFrame, increment: DataFrame, null_safe: bool = True
         "location_id",
         update=["latitude", "longitude"],
         null_safe=null_safe,
+        whole=whole,
     )
 
 
@@ -66,9 +70,7 @@ def day_source(silver: DataFrame, dim_location: DataFrame, local_day: bool = Fal
     return found.withColumn("source_table", F.lit(SILVER.full_name))
 
 
-def merge_days(
-    fact_day: DataFrame, source: DataFrame, null_safe: bool = True
-) -> DataFrame:
+def merge_days(fact_day: DataFrame, source: DataFrame, null_safe: bool = True) -> DataFrame:
     """fact_day after the day rows are merged; first collected_at and source stay."""
     merged = upsert(
         fact_day,
@@ -84,9 +86,7 @@ def merge_days(
     )
 
 
-def hourly_rows(
-    silver: DataFrame, dim_location: DataFrame, dim_condition: DataFrame
-) -> DataFrame:
+def hourly_rows(silver: DataFrame, dim_location: DataFrame, dim_condition: DataFrame) -> DataFrame:
     """Hourly fact rows: both dimension ids looked up on the natural keys.
 
     The reading's id is the row id: silver holds one row per id.

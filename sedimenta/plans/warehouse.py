@@ -21,6 +21,7 @@ from sedimenta.operators import star
 from sedimenta.operators.incremental import mark_value, newer_than
 from sedimenta.operators.merge import (
     INSERTED,
+    apply_changes,
     insert_if_absent,
     op_counts,
     touched_rows,
@@ -68,6 +69,22 @@ class Options:
     by_load: bool = False
 
 
+@dataclass(frozen=True)
+class Progress:
+    """What the load log says about each table."""
+
+    tables: dict[str, Row]
+
+    def of(self, table: Table, field: str):
+        row = self.tables.get(table.full_name)
+        return row[field] if row else None
+
+    def next_load(self) -> Load:
+        last = max((row["load_id"] for row in self.tables.values()), default=0)
+        at = max((row["recorded_at"] for row in self.tables.values()), default="")
+        return Load(last + 1, str(at))
+
+
 class Warehouse:
     def __init__(
         self, spark: SparkSession, root: str, prefix: str = "", options: Options = Options()
@@ -90,56 +107,52 @@ class Warehouse:
 
     # ---- log ---------------------------------------------------------------
 
-    def _next_load(self) -> Load:
-        last = self.audit().agg(F.max("load_id").alias("id"), F.max("recorded_at").alias("at"))
-        row = last.first()
-        return Load((row["id"] or 0) + 1, str(row["at"] or ""))
-
-    def _committed(self, step: str, batch_key: str | None) -> bool:
-        if batch_key is None:
-            return False
-        done = (F.col("step") == step) & (F.col("batch_key") == batch_key)
-        return not self.audit().where(done).isEmpty()
-
-    def _state(self, table: Table) -> Row:
-        return (
+    def _progress(self) -> Progress:
+        """Where every table stands: one small row per table."""
+        rows = (
             self.audit()
-            .where(F.col("table_name") == table.full_name)
+            .groupBy("table_name")
             .agg(
+                F.max("load_id").alias("load_id"),
+                F.max("recorded_at").alias("recorded_at"),
                 F.max("mark_high").alias("mark"),
                 F.max("scanned_high").alias("scanned"),
                 F.max("max_key").alias("max_key"),
-                F.count(F.lit(1)).alias("loads"),
             )
-            .first()
+            .collect()
         )
+        return Progress({row["table_name"]: row for row in rows})
 
-    def _mark(self, table: Table) -> datetime:
+    def _committed(self, step: str, batch_key: str | None) -> bool:
+        if batch_key is None:
+            return False
+        done = (F.col("step") == step) & (F.col("batch_key") == batch_key)
+        return not self.audit().where(done).isEmpty()
+
+    def _mark(self, table: Table, progress: Progress) -> datetime:
         """Newest collected_at in the table: from the log, or by a scan for rows
         that were put there without one."""
-        state = self._state(table)
-        if state["loads"] == 0:
+        if table.full_name not in progress.tables:
             return mark_value(self.table(table), "collected_at")
-        return state["mark"] or datetime.fromisoformat(FIRST_MARK)
+        return progress.of(table, "mark") or datetime.fromisoformat(FIRST_MARK)
 
-    def _increment(self, source: Table, target: Table) -> DataFrame:
+    def _increment(self, source: Table, target: Table, progress: Progress) -> DataFrame:
         """Source rows newer than the target's mark.
 
         The log knows the newest collected_at of every source load, so the
         folders of older loads are not opened.
         """
+        rows = self.table(source)
         if self.options.by_load:
-            taken = self.audit().where(F.col("table_name") == target.full_name)
-            last = taken.agg(F.max("load_id").alias("last")).first()["last"] or 0
-            return self.table(source).where(F.col("load_id") > last)
-        mark = self._mark(target)
-        rows = newer_than(self.table(source), "collected_at", mark)
-        loads = self.audit().where(F.col("table_name") == source.full_name)
-        if loads.isEmpty():
+            return rows.where(F.col("load_id") > (progress.of(target, "load_id") or 0))
+        mark = self._mark(target, progress)
+        rows = newer_than(rows, "collected_at", mark)
+        if source.full_name not in progress.tables:
             return rows
-        open_loads = loads.where(F.col("mark_high") > sql_timestamp(mark))
-        first = open_loads.agg(F.min("load_id").alias("first")).first()["first"]
-        return rows.where(F.col("load_id") >= first) if first else rows.limit(0)
+        loads = self.audit().where(F.col("table_name") == source.full_name)
+        newer = newer_than(loads, "mark_high", mark)
+        first = newer.agg(F.min("load_id").alias("first")).first()["first"]
+        return rows.where(F.col("load_id") >= first) if first else rows.where(F.lit(False))
 
     def _commit(self, load: Load, step: str, batch_key: str | None, rows: list[dict]) -> None:
         common = {
@@ -163,10 +176,11 @@ class Warehouse:
         rejected documents."""
         if self._committed("bronze", batch_key):
             return
-        load = self._next_load()
+        progress = self._progress()
+        load = progress.next_load()
         flat = landing.flatten(landing.parse(documents), self.options.falsy_as_null)
         seen, watched = observe(flat, rejected=F.count_if(F.col("reject_reason").isNotNull()))
-        after = self._state(BRONZE)["max_key"] or 0
+        after = progress.of(BRONZE, "max_key") or 0
         newest = landing.latest_landed(landing.good_documents(watched))
         entry = self._write_bronze(landing.bronze_rows(newest, after), load, many_months)
         # The second read of the documents is made only when something was rejected.
@@ -180,7 +194,7 @@ class Warehouse:
         """Append rows that already have the bronze columns."""
         if self._committed("bronze", batch_key):
             return
-        load = self._next_load()
+        load = self._progress().next_load()
         self._commit(load, "bronze", batch_key, [self._write_bronze(readings, load, False)])
 
     def _write_bronze(self, readings: DataFrame, load: Load, many_months: bool) -> dict:
@@ -207,10 +221,11 @@ class Warehouse:
         """Clean the bronze increment into silver; invalid rows go to the rejects."""
         if self._committed("silver", batch_key):
             return
-        load = self._next_load()
+        progress = self._progress()
+        load = progress.next_load()
         options = self.options
         tagged = clean.conform(
-            self._increment(BRONZE, SILVER).drop("p_month", "load_id"),
+            self._increment(BRONZE, SILVER, progress).drop("p_month", "load_id"),
             options.dedupe_keys,
             calendar=options.calendar,
             shifted_wind=options.shifted_wind,
@@ -236,7 +251,7 @@ class Warehouse:
                 # Rows above the target's mark can be scanned twice; they are
                 # reported as rejected the first time only.
                 fresh = clean.rejected_rows(tagged)
-                already = self._state(SILVER)["scanned"]
+                already = progress.of(SILVER, "scanned")
                 if already and not self.options.by_load:
                     fresh = newer_than(fresh, "collected_at", already)
                 rejected = self.store.write_load(SILVER_REJECTS, fresh, load.load_id)["row_count"]
@@ -259,8 +274,10 @@ class Warehouse:
         the mark, is written last; all writes before it can be repeated."""
         if self._committed("gold", batch_key):
             return
-        load = self._next_load()
-        increment = self._increment(SILVER, FACT_HOURLY).drop("p_month", "load_id", "created_at")
+        progress = self._progress()
+        load = progress.next_load()
+        increment = self._increment(SILVER, FACT_HOURLY, progress)
+        increment = increment.drop("p_month", "load_id", "created_at")
         entries = [
             self._load_locations(increment, load),
             self._load_conditions(increment),
@@ -271,11 +288,17 @@ class Warehouse:
         self.store.unstage(load)
 
     def _load_locations(self, increment: DataFrame, load: Load) -> dict:
-        merged = star.merge_locations(self.table(DIM_LOCATION), increment)
-        staged = self.store.stage(DIM_LOCATION.full_name, _stamp_inserts(merged), load)
-        counts = op_counts(staged).first()
-        if counts["inserted"] or counts["updated"]:
-            self.store.overwrite(DIM_LOCATION, staged)
+        """New cities are appended; only a moved city makes the table be rewritten."""
+        dim = self.table(DIM_LOCATION)
+        merged = touched_rows(star.merge_locations(dim, increment, whole=False))
+        changes = self.store.stage("locations", _stamp_inserts(merged), load)
+        counts = op_counts(changes).first()
+        if counts["updated"]:
+            after = apply_changes(dim, changes, ["city"])
+            self.store.overwrite(DIM_LOCATION, self.store.stage("dim_location", after, load))
+        elif counts["inserted"]:
+            # A failed attempt may have appended them already.
+            self.store.append(DIM_LOCATION, changes.join(dim, "city", "left_anti"))
         return _entry(DIM_LOCATION, counts["inserted"], counts["updated"])
 
     def _load_conditions(self, increment: DataFrame) -> dict:
@@ -302,7 +325,7 @@ class Warehouse:
             .select(*[c for c, _ in FACT_DAY.columns])
         )
         merged = star.merge_days(touched, rows, self.options.null_safe_days)
-        staged = self.store.stage(FACT_DAY.full_name, _stamp_inserts(merged), load)
+        staged = self.store.stage("fact_day", _stamp_inserts(merged), load)
         counts = op_counts(staged).first()
         if counts["inserted"] or counts["updated"]:
             changed = touched_rows(staged).select("day").distinct()
@@ -329,7 +352,7 @@ class Warehouse:
     ) -> DataFrame:
         """One increment from documents to gold; returns its audit rows. With a
         `batch_key`, a step that was committed under it is not done again."""
-        before = self._next_load().load_id
+        before = self._progress().next_load().load_id
         self.load_bronze(documents, batch_key, many_months)
         self.transform(batch_key, many_months)
         self.load_gold(batch_key, many_months)

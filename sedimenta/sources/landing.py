@@ -19,12 +19,11 @@ from sedimenta.functions import (
     falsy_to_null,
     nan_to_null,
     object_key,
-    round_to_bigint,
     sql_timestamp,
 )
 from sedimenta.operators.keys import dense_ids
 from sedimenta.operators.latest import latest_rows
-from sedimenta.operators.quality import overflowing
+from sedimenta.operators.quality import too_large
 from sedimenta.schemas import BRONZE, PAYLOAD_DDL
 
 # bronze column -> (path in the payload, bronze type); epoch columns are seconds.
@@ -50,10 +49,10 @@ _FIELDS = {
     "data_timestamp": ("r.dt", "epoch"),
 }
 _TYPES = {c: dtype for c, (_, dtype) in _FIELDS.items()}
-_DECIMALS = {c: t for c, t in _TYPES.items() if t.startswith("decimal")}
-_TEXTS = {c: t for c, t in _TYPES.items() if t.startswith("varchar")}
 _DOUBLES = [c for c, t in _TYPES.items() if t.startswith("decimal") or t == "bigint"]
 
+_INTEGERS = ("epoch", "seconds")
+
 LANDING_DDL = "document STRING, landed_at TIMESTAMP_NTZ"
 
 
@@ -132,9 +131,15 @@ def read_landed(
 
 
 def parse(documents: DataFrame) -> DataFrame:
-    """Adds the payload struct `r`; malformed documents keep r._corrupt_record."""
+    """Adds the payload struct `r`; malformed documents keep r._corrupt_record.
+
+    The struct comes out of explode(): a later filter on it then works on the
+    parsed value. Pushed below a plain column it would parse the document once
+    more for every field it looks at.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    return documents.withColumn("r", F.from_json("document", PAYLOAD_DDL, options))
+    parsed = F.from_json("document", PAYLOAD_DDL, options)
+    return documents.select("*", F.explode(F.array(parsed)).alias("r"))
 
 
 def flatten(parsed: DataFrame, falsy_as_null: bool = False) -> DataFrame:
@@ -159,16 +164,17 @@ def flatten(parsed: DataFrame, falsy_as_null: bool = False) -> DataFrame:
         *others, F.col("r._corrupt_record").alias("_corrupt"), *[leaf(c) for c in _FIELDS]
     )
 
-    # Large doubles are cut to NULL by the checked cast and named as overflow.
-    too_big = overflowing(_DECIMALS | _TEXTS)
+    too_big = F.coalesce(
+        *[F.when(too_large(c, t), F.lit(c)) for c, t in _TYPES.items() if t not in _INTEGERS]
+    )
     epochs = {c: epoch_to_ntz(F.col(c)) for c, t in _TYPES.items() if t == "epoch"}
     reason = (
         F.when(F.col("_corrupt").isNotNull(), "malformed")
         .when(epochs["data_timestamp"].isNull(), "data_timestamp missing")
-        .when(too_big != "", F.concat(F.lit("overflow: "), too_big))
+        .otherwise(F.concat(F.lit("overflow: "), too_big))
     )
-    typed = {c: F.col(c).try_cast(t) for c, t in _DECIMALS.items()}
-    typed |= {c: round_to_bigint(F.col(c)) for c, t in _TYPES.items() if t == "bigint"}
+    typed = {c: F.col(c).try_cast(t) for c, t in _TYPES.items() if t.startswith("decimal")}
+    typed |= {c: F.round(c).try_cast(t) for c, t in _TYPES.items() if t == "bigint"}
     return raw.withColumn("reject_reason", reason).withColumns(typed | epochs).drop("_corrupt")
 
 
@@ -183,10 +189,14 @@ def rejected_documents(flat: DataFrame) -> DataFrame:
 
 
 def latest_landed(flat: DataFrame) -> DataFrame:
-    """One row per city, landing day and reading time: the last one landed."""
-    return latest_rows(
-        flat, ["city", "ingest_date", "data_timestamp"], ["landed_at", "document"]
-    )
+    """One row per city, landing day and reading time: the last one landed.
+
+    Copies landed at the same moment are told apart by a hash, so that the
+    documents themselves are not shuffled.
+    """
+    slim = flat.withColumn("_tie", F.xxhash64("document")).drop("document", "source_file")
+    keys = ["city", "ingest_date", "data_timestamp"]
+    return latest_rows(slim, keys, ["landed_at", "_tie"]).drop("_tie")
 
 
 def bronze_rows(good: DataFrame, after: int = 0) -> DataFrame:
