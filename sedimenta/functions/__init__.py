@@ -5,6 +5,7 @@ from sedimenta.functions.columns import (
     epoch_to_ntz,
     falsy_to_null,
     fill_text,
+    micros_to_ntz,
     month_of,
     nan_to_null,
     null_outside,
@@ -21,6 +22,7 @@ __all__ = [
     "epoch_to_ntz",
     "falsy_to_null",
     "fill_text",
+    "micros_to_ntz",
     "month_of",
     "nan_to_null",
     "null_outside",

@@ -54,6 +54,11 @@ def epoch_to_ntz(seconds: Column) -> Column:
     return sql_timestamp("1970-01-01 00:00:00") + F.expr("interval '1' second") * seconds
 
 
+def micros_to_ntz(micros: Column) -> Column:
+    """Epoch microseconds -> UTC timestamp without zone."""
+    return sql_timestamp("1970-01-01 00:00:00") + F.expr("interval '0.000001' second") * micros
+
+
 def epoch_of(ts: Column) -> Column:
     """UTC timestamp without zone -> epoch seconds."""
     return F.timestamp_diff("SECOND", sql_timestamp("1970-01-01 00:00:00"), ts)

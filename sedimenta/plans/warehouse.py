@@ -3,11 +3,13 @@
 Each step reads what is newer than its target's mark, writes, and only then
 appends its rows to the load log. The log is the commit: a step that failed
 before it is run again under the same load number and replaces what it had
-written. Runs are expected one at a time per warehouse.
+written, and no later step reads what is not in the log. Runs are expected one
+at a time per warehouse.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions import sql_timestamp
 from sedimenta.operators import conform as clean
 from sedimenta.operators import star
-from sedimenta.operators.incremental import mark_value, newer_than
+from sedimenta.operators.incremental import newer_than
 from sedimenta.operators.merge import (
     INSERTED,
     apply_changes,
@@ -79,10 +81,10 @@ class Progress:
         row = self.tables.get(table.full_name)
         return row[field] if row else None
 
-    def next_load(self) -> Load:
-        last = max((row["load_id"] for row in self.tables.values()), default=0)
-        at = max((row["recorded_at"] for row in self.tables.values()), default="")
-        return Load(last + 1, str(at))
+    def next_load(self, table: Table) -> Load:
+        """Loads are numbered per step, so a failed one gets its number again."""
+        last, at = self.of(table, "load_id"), self.of(table, "recorded_at")
+        return Load((last or 0) + 1, str(at or ""))
 
 
 class Warehouse:
@@ -118,6 +120,7 @@ class Warehouse:
                 F.max("mark_high").alias("mark"),
                 F.max("scanned_high").alias("scanned"),
                 F.max("max_key").alias("max_key"),
+                F.max("source_load").alias("source_load"),
             )
             .collect()
         )
@@ -129,30 +132,27 @@ class Warehouse:
         done = (F.col("step") == step) & (F.col("batch_key") == batch_key)
         return not self.audit().where(done).isEmpty()
 
-    def _mark(self, table: Table, progress: Progress) -> datetime:
-        """Newest collected_at in the table: from the log, or by a scan for rows
-        that were put there without one."""
-        if table.full_name not in progress.tables:
-            return mark_value(self.table(table), "collected_at")
-        return progress.of(table, "mark") or datetime.fromisoformat(FIRST_MARK)
-
     def _increment(self, source: Table, target: Table, progress: Progress) -> DataFrame:
-        """Source rows newer than the target's mark.
+        """Committed source rows newer than the target's mark.
 
         The log knows the newest collected_at of every source load, so the
         folders of older loads are not opened.
         """
         rows = self.table(source)
+        newest_load = progress.of(source, "load_id")
+        if newest_load is None:
+            return rows.where(F.lit(False))
         if self.options.by_load:
-            return rows.where(F.col("load_id") > (progress.of(target, "load_id") or 0))
-        mark = self._mark(target, progress)
-        rows = newer_than(rows, "collected_at", mark)
-        if source.full_name not in progress.tables:
-            return rows
+            taken = progress.of(target, "source_load") or 0
+            return rows.where(F.col("load_id").between(taken + 1, newest_load))
+        mark = progress.of(target, "mark") or FIRST_MARK
         loads = self.audit().where(F.col("table_name") == source.full_name)
         newer = newer_than(loads, "mark_high", mark)
-        first = newer.agg(F.min("load_id").alias("first")).first()["first"]
-        return rows.where(F.col("load_id") >= first) if first else rows.where(F.lit(False))
+        first_load = newer.agg(F.min("load_id").alias("first")).first()["first"]
+        if first_load is None:
+            return rows.where(F.lit(False))
+        open_loads = rows.where(F.col("load_id").between(first_load, newest_load))
+        return newer_than(open_loads, "collected_at", mark)
 
     def _commit(self, load: Load, step: str, batch_key: str | None, rows: list[dict]) -> None:
         common = {
@@ -177,7 +177,7 @@ class Warehouse:
         if self._committed("bronze", batch_key):
             return
         progress = self._progress()
-        load = progress.next_load()
+        load = progress.next_load(BRONZE)
         flat = landing.flatten(landing.parse(documents), self.options.falsy_as_null)
         seen, watched = observe(flat, rejected=F.count_if(F.col("reject_reason").isNotNull()))
         after = progress.of(BRONZE, "max_key") or 0
@@ -194,7 +194,7 @@ class Warehouse:
         """Append rows that already have the bronze columns."""
         if self._committed("bronze", batch_key):
             return
-        load = self._progress().next_load()
+        load = self._progress().next_load(BRONZE)
         self._commit(load, "bronze", batch_key, [self._write_bronze(readings, load, False)])
 
     def _write_bronze(self, readings: DataFrame, load: Load, many_months: bool) -> dict:
@@ -222,7 +222,7 @@ class Warehouse:
         if self._committed("silver", batch_key):
             return
         progress = self._progress()
-        load = progress.next_load()
+        load = progress.next_load(SILVER)
         options = self.options
         tagged = clean.conform(
             self._increment(BRONZE, SILVER, progress).drop("p_month", "load_id"),
@@ -264,6 +264,7 @@ class Warehouse:
             "rejected": rejected,
             "mark_high": written["newest"],
             "scanned_high": scan.get["newest"],
+            "source_load": progress.of(BRONZE, "load_id"),
         }
         self._commit(load, "silver", batch_key, [entry])
 
@@ -275,14 +276,15 @@ class Warehouse:
         if self._committed("gold", batch_key):
             return
         progress = self._progress()
-        load = progress.next_load()
+        load = progress.next_load(FACT_HOURLY)
         increment = self._increment(SILVER, FACT_HOURLY, progress)
         increment = increment.drop("p_month", "load_id", "created_at")
         entries = [
             self._load_locations(increment, load),
             self._load_conditions(increment),
             self._load_days(increment, load),
-            self._load_hourly(increment, load, many_months),
+            self._load_hourly(increment, load, many_months)
+            | {"source_load": progress.of(SILVER, "load_id")},
         ]
         self._commit(load, "gold", batch_key, entries)
         self.store.unstage(load)
@@ -352,12 +354,10 @@ class Warehouse:
     ) -> DataFrame:
         """One increment from documents to gold; returns its audit rows. With a
         `batch_key`, a step that was committed under it is not done again."""
-        before = self._progress().next_load().load_id
+        batch_key = batch_key or f"run {uuid.uuid4().hex}"
         self.load_bronze(documents, batch_key, many_months)
         self.transform(batch_key, many_months)
         self.load_gold(batch_key, many_months)
-        if batch_key is None:
-            return self.audit().where(F.col("load_id") >= before)
         return self.audit().where(F.col("batch_key") == batch_key)
 
     def replay(self, path: str, layout: str = "landed") -> DataFrame:

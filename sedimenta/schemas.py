@@ -201,6 +201,7 @@ LOAD_LOG = Table(
         ("mark_high", "timestamp_ntz"),
         ("scanned_high", "timestamp_ntz"),
         ("max_key", "bigint"),
+        ("source_load", "bigint"),
         ("recorded_at", "timestamp_ntz"),
     ),
 )

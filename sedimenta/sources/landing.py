@@ -17,6 +17,7 @@ from sedimenta.functions import (
     epoch_of,
     epoch_to_ntz,
     falsy_to_null,
+    micros_to_ntz,
     nan_to_null,
     object_key,
     sql_timestamp,
@@ -93,17 +94,13 @@ def _envelopes(reader, path: str) -> DataFrame:
 
 
 def _plain(reader, path: str, whole_file: bool) -> DataFrame:
-    modified = F.col("_metadata.file_modification_time").cast("timestamp_ntz")
-    return (
-        reader.option("recursiveFileLookup", "true")
-        .option("wholetext", str(whole_file).lower())
-        .text(path)
-        .select(
-            F.col("value").alias("document"),
-            modified.alias("landed_at"),
-            day_of(modified).alias("ingest_date"),
-            F.col("_metadata.file_path").alias("source_file"),
-        )
+    modified = micros_to_ntz(F.unix_micros("_metadata.file_modification_time"))
+    text = reader.text(path, wholetext=whole_file, recursiveFileLookup=True)
+    return text.select(
+        F.col("value").alias("document"),
+        modified.alias("landed_at"),
+        day_of(modified).alias("ingest_date"),
+        F.col("_metadata.file_path").alias("source_file"),
     )
 
 

@@ -43,9 +43,9 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 @dataclass(frozen=True)
 class Load:
-    """One load of one step. `follows` is the time of the commit before it, which
-    tells its scratch files from those of an earlier warehouse at the same root;
-    it is empty for the first load."""
+    """One load of one step. `follows` is the time of the step's commit before it,
+    which tells its scratch files from those of an earlier warehouse at the same
+    root; it is empty for the first load."""
 
     load_id: int
     follows: str = ""
