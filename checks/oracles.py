@@ -31,15 +31,14 @@ sensor as (
 _MEASURES = (
     "temperature, pressure, sea_level, grnd_level, humidity, wind_speed, wind_deg, wind_gust, clouds"
 )
-_RANGED = """temperature,
-    case when pressure <= 0 then null else pressure end as pressure,
-    case when sea_level <= 0 then null else sea_level end as sea_level,
-    case when grnd_level <= 0 then null else grnd_level end as grnd_level,
-    case when humidity < 0 or humidity > 100 then null else humidity end as humidity,
-    case when wind_speed < 0 then null else wind_speed end as wind_speed,
-    case when wind_deg < 0 or wind_deg > 360 then null else wind_deg end as wind_deg,
-    case when wind_gust < 0 then null else wind_gust end as wind_gust,
-    case when clouds < 0 or clouds > 100 then null else clouds end as clouds"""
+_POSITIVE = ("pressure", "sea_level", "grnd_level")
+_BETWEEN = {"humidity": 100, "clouds": 100, "wind_deg": 360}
+_RANGED = ", ".join(
+    ["temperature"]
+    + [f"case when {c} > 0 then {c} end as {c}" for c in _POSITIVE]
+    + [f"case when {c} between 0 and {top} then {c} end as {c}" for c, top in _BETWEEN.items()]
+    + [f"case when {c} >= 0 then {c} end as {c}" for c in ("wind_speed", "wind_gust")]
+)
 _TEXTS = """concat_ws(', ', trim(city), upper(trim(country))) as city,
     coalesce(weather_condition, 'N/A') as weather_condition,
     coalesce(descriptions, 'N/A') as descriptions"""

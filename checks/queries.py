@@ -40,6 +40,18 @@ def _silver(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return clean.valid_rows(tagged).select(*SILVER_COLUMNS)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Written once where several steps read it, as the warehouse's tables are."""
+    spark = df.sparkSession
+    path = fresh_folder(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(_silver(spark, sf_dir))
+
+
 def _two_loads(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = incremental.up_to(silver, "collected_at", CUT)
     return first, incremental.newer_than(silver, "collected_at", CUT)
@@ -51,19 +63,19 @@ def _empty(spark: SparkSession, spec) -> DataFrame:
 
 
 def _locations(spark: SparkSession, first: DataFrame) -> DataFrame:
-    return star.merge_locations(_empty(spark, DIM_LOCATION), first).drop("_op")
+    return _stored(star.merge_locations(_empty(spark, DIM_LOCATION), first).drop("_op"))
 
 
 def _conditions(spark: SparkSession, increment: DataFrame) -> DataFrame:
     empty = _empty(spark, DIM_CONDITION)
     new = merge.insert_if_absent(empty, increment, "weather_condition", "weather_condition_id")
-    return new
+    return _stored(new)
 
 
 def _merged_days(spark: SparkSession, silver: DataFrame, null_safe: bool) -> DataFrame:
     first, second = _two_loads(silver)
     dim_first = _locations(spark, first)
-    dim_all = star.merge_locations(dim_first, second).drop("_op")
+    dim_all = _stored(star.merge_locations(dim_first, second).drop("_op"))
 
     def rows(increment: DataFrame, dim: DataFrame) -> DataFrame:
         return star.day_source(increment, dim).drop("city")
@@ -73,7 +85,7 @@ def _merged_days(spark: SparkSession, silver: DataFrame, null_safe: bool) -> Dat
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    silver = _silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir)
     locations = _locations(spark, silver)
     return star.hourly_rows(silver, locations, _conditions(spark, silver)), locations
 
@@ -269,7 +281,7 @@ def latest_location(spark, sf_dir):
 
 
 def location_upsert(spark, sf_dir):
-    first, second = _two_loads(_silver(spark, sf_dir))
+    first, second = _two_loads(_stored_silver(spark, sf_dir))
     return star.merge_locations(_locations(spark, first), second)
 
 
@@ -283,7 +295,7 @@ def touched_locations(spark, sf_dir):
 
 def location_refresh(spark, sf_dir):
     """All of silver against the dimension of the first load, compared with !=."""
-    silver = _silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir)
     first, _ = _two_loads(silver)
     return star.merge_locations(_locations(spark, first), silver, null_safe=False)
 
@@ -294,7 +306,7 @@ def _nullable_upsert(spark, sf_dir, null_safe):
     readings = sensor_readings(spark, sf_dir).withColumn(
         "latitude", F.when(missing, F.lit(None)).otherwise(F.col("latitude"))
     )
-    first, second = _two_loads(readings)
+    first, second = _two_loads(_stored(readings))
     return star.merge_locations(_locations(spark, first), second, null_safe)
 
 
@@ -308,7 +320,7 @@ def location_refresh_nullable(spark, sf_dir):
 
 def condition_insert(spark, sf_dir):
     """The condition dimension after both loads."""
-    first, second = _two_loads(_silver(spark, sf_dir))
+    first, second = _two_loads(_stored_silver(spark, sf_dir))
     dim = _conditions(spark, first)
     new = merge.insert_if_absent(dim, second, "weather_condition", "weather_condition_id")
     return dim.unionByName(new)
@@ -353,7 +365,7 @@ def surrogate_keys(spark, sf_dir):
 
 
 def day_source(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir)
     return star.day_source(silver, _locations(spark, silver))
 
 
@@ -362,16 +374,16 @@ def day_readings_local(spark, sf_dir):
 
 
 def day_upsert(spark, sf_dir):
-    return _merged_days(spark, _silver(spark, sf_dir), True)
+    return _merged_days(spark, _stored_silver(spark, sf_dir), True)
 
 
 def day_upsert_strict(spark, sf_dir):
-    return _merged_days(spark, _silver(spark, sf_dir), False)
+    return _merged_days(spark, _stored_silver(spark, sf_dir), False)
 
 
 def _varied_days(spark, sf_dir, null_safe):
     # Sunrise moves by the reading's id, so that stored values differ from new ones.
-    silver = _silver(spark, sf_dir).withColumn(
+    silver = _stored_silver(spark, sf_dir).withColumn(
         "sunrise", F.expr("sunrise + make_dt_interval(0, 0, 0, id % 600)")
     )
     return _merged_days(spark, silver, null_safe)
@@ -478,10 +490,7 @@ def constraint_checks(spark, sf_dir):
     broken = hourly.unionByName(hourly.where("id % 100 = 0")).withColumn(
         "location_id", F.expr("case when id % 50 = 1 then -id else location_id end")
     )
-    path = fresh_folder(spark, "broken")
-    broken.write.parquet(path)
-    stored = spark.read.schema(broken.schema).parquet(path)
-    return quality.check_table(stored, FACT_HOURLY, parents)
+    return quality.check_table(_stored(broken), FACT_HOURLY, parents)
 
 
 # ---- whole runs ------------------------------------------------------------

@@ -103,11 +103,15 @@ def touched_rows(merged: DataFrame) -> DataFrame:
     return merged.where(F.col("_op").isin(INSERTED, UPDATED))
 
 
+def op_measures() -> dict[str, Column]:
+    return {
+        "inserted": F.count_if(F.col("_op") == INSERTED),
+        "updated": F.count_if(F.col("_op") == UPDATED),
+    }
+
+
 def op_counts(merged: DataFrame) -> DataFrame:
-    return merged.agg(
-        F.count_if(F.col("_op") == INSERTED).alias("inserted"),
-        F.count_if(F.col("_op") == UPDATED).alias("updated"),
-    )
+    return merged.agg(*[c.alias(name) for name, c in op_measures().items()])
 
 
 def insert_if_absent(

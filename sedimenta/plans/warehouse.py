@@ -25,7 +25,7 @@ from sedimenta.operators.merge import (
     INSERTED,
     apply_changes,
     insert_if_absent,
-    op_counts,
+    op_measures,
     touched_rows,
 )
 from sedimenta.operators.partitions import with_month
@@ -293,11 +293,13 @@ class Warehouse:
         """New cities are appended; only a moved city makes the table be rewritten."""
         dim = self.table(DIM_LOCATION)
         merged = touched_rows(star.merge_locations(dim, increment, whole=False))
-        changes = self.store.stage("locations", _stamp_inserts(merged), load)
-        counts = op_counts(changes).first()
+        changes, counts = self.store.stage(
+            "locations", _stamp_inserts(merged), load, **op_measures()
+        )
         if counts["updated"]:
             after = apply_changes(dim, changes, ["city"])
-            self.store.overwrite(DIM_LOCATION, self.store.stage("dim_location", after, load))
+            staged, _ = self.store.stage("dim_location", after, load)
+            self.store.overwrite(DIM_LOCATION, staged)
         elif counts["inserted"]:
             # A failed attempt may have appended them already.
             self.store.append(DIM_LOCATION, changes.join(dim, "city", "left_anti"))
@@ -315,8 +317,9 @@ class Warehouse:
         source = star.day_source(increment, self.table(DIM_LOCATION), self.options.local_day)
         # A reading without a known city cannot be a row of the fact.
         known = source.where(F.col("location_id").isNotNull()).drop("city")
-        rows = self.store.stage("day_source", known, load)
-        span = rows.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+        rows, span = self.store.stage(
+            "day_source", known, load, first=F.min("day"), last=F.max("day")
+        )
         if span["first"] is None:
             return _entry(FACT_DAY)
         # Only the days of the increment are read and replaced.
@@ -327,8 +330,9 @@ class Warehouse:
             .select(*[c for c, _ in FACT_DAY.columns])
         )
         merged = star.merge_days(touched, rows, self.options.null_safe_days)
-        staged = self.store.stage("fact_day", _stamp_inserts(merged), load)
-        counts = op_counts(staged).first()
+        staged, counts = self.store.stage(
+            "fact_day", _stamp_inserts(merged), load, **op_measures()
+        )
         if counts["inserted"] or counts["updated"]:
             changed = touched_rows(staged).select("day").distinct()
             self.store.overwrite_partitions(

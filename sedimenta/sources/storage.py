@@ -149,17 +149,26 @@ class Store:
         self.overwrite_partitions(table, placed)
         return observed.get
 
-    def stage(self, name: str, rows: DataFrame, load: Load) -> DataFrame:
-        """Write rows once to the shared scratch folder and read them from there.
+    def stage(
+        self, name: str, rows: DataFrame, load: Load, **measures: Column
+    ) -> tuple[DataFrame, dict]:
+        """Write rows once to the shared scratch folder and read them from there;
+        also returns what was observed while writing.
 
         The written copy cuts the lineage, so a target can be overwritten from
         it. A complete copy left by a failed attempt of the same load is used as
         it is, because that attempt may have left the target half replaced.
         """
         path = f"{self._staging(load)}/{name}"
-        if not (load.follows and path_exists(self.spark, f"{path}/_SUCCESS")):
-            rows.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        staged = self.spark.read.schema(rows.schema)
+        if load.follows and path_exists(self.spark, f"{path}/_SUCCESS"):
+            copy = staged.parquet(path)
+            seen, watched = observe(copy, **measures)
+            watched.write.format("noop").mode("overwrite").save()
+            return copy, seen.get
+        seen, watched = observe(rows, **measures)
+        watched.write.mode("overwrite").parquet(path)
+        return staged.parquet(path), seen.get
 
     def unstage(self, load: Load) -> None:
         delete_path(self.spark, self._staging(load))
