@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -29,6 +30,7 @@ from sedimenta.operators.merge import (
     touched_rows,
 )
 from sedimenta.operators.partitions import with_month
+from sedimenta.operators.quality import check_table
 from sedimenta.schemas import (
     BRONZE,
     BRONZE_REJECTS,
@@ -351,6 +353,18 @@ class Warehouse:
         )
         return _entry(FACT_HOURLY, seen["row_count"]) | {"mark_high": seen["newest"]}
 
+    # ---- checks ------------------------------------------------------------
+
+    def check(self) -> DataFrame:
+        """Violations of every declared constraint of every table."""
+        stored = {table.full_name: self.table(table) for table in TABLES}
+        checks = [
+            check_table(stored[table.full_name], table, stored)
+            for table in TABLES
+            if table.unique or table.required or table.references
+        ]
+        return reduce(DataFrame.unionByName, checks)
+
     # ---- whole runs --------------------------------------------------------
 
     def run(
@@ -370,10 +384,10 @@ class Warehouse:
         self.store.drop_tables(TABLES, delete_files=True)
         self.store.create_tables()
         documents = landing.read_landed(self.spark, path, layout)
-        month = F.date_format("ingest_date", "yyyy-MM")
-        months = documents.select(month.alias("m")).distinct().sort("m").collect()
-        for row in months:
-            self.run(documents.where(month == row["m"]), f"replay {row['m']}", many_months=True)
+        for month in landing.landing_months(self.spark, path, layout):
+            end = F.add_months(F.lit(month), 1)
+            part = documents.where((F.col("ingest_date") >= month) & (F.col("ingest_date") < end))
+            self.run(part, f"replay {month:%Y-%m}", many_months=True)
         return self.audit()
 
 

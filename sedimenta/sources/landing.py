@@ -7,7 +7,7 @@ more files than a listing can take.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,6 +127,22 @@ def read_landed(
     raise ValueError(f"unknown layout {layout!r}")
 
 
+def landing_months(spark: SparkSession, path: str, layout: str = "landed") -> list[date]:
+    """First days of the months in which documents were landed, oldest first.
+
+    Taken from the file listing: as `content` is not selected, no file is read.
+    """
+    files = spark.read.format("binaryFile")
+    if layout == "landed":
+        day = F.col("ingest_date").cast("date")
+        listed = files.load(path)
+    else:
+        day = day_of(micros_to_ntz(F.unix_micros("modificationTime")))
+        listed = files.option("recursiveFileLookup", "true").load(path)
+    months = listed.select(F.trunc(day, "month").alias("month")).distinct()
+    return [row["month"] for row in months.sort("month").collect()]
+
+
 def parse(documents: DataFrame) -> DataFrame:
     """Adds the payload struct `r`; malformed documents keep r._corrupt_record.
 

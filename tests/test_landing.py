@@ -149,6 +149,8 @@ def test_landed_documents_read_back_verbatim(spark):
     day = back.where("ingest_date = date'2024-03-06'").collect()
     assert [r["landed_at"] for r in day] == [datetime(2024, 3, 6, 1)]
     assert "ingest_date=2024-03-06" in day[0]["source_file"]
+    landing.land(documents(spark, texts[:1], "2023-12-31 23:00:00"), path)
+    assert landing.landing_months(spark, path) == [date(2023, 12, 1), date(2024, 3, 1)]
 
 
 @pytest.mark.parametrize("layout", ["lines", "files"])
@@ -164,6 +166,8 @@ def test_foreign_layouts(spark, tmp_path, layout):
     flat = landing.good_documents(landing.flatten(landing.parse(read))).collect()
     assert sorted(r["data_timestamp"].second for r in flat) == [1, 2]
     assert all(r["landed_at"] is not None for r in flat)
+    (month,) = landing.landing_months(spark, str(tmp_path), layout)
+    assert month == flat[0]["ingest_date"].replace(day=1)
 
 
 def test_unknown_layout(spark):

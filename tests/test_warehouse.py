@@ -89,6 +89,12 @@ def test_every_reading_is_accounted_for(loaded):
     assert loaded.store.count(SILVER) == loaded.store.count(FACT_HOURLY)
 
 
+def test_constraints_hold_after_two_increments(loaded):
+    found = loaded.check().collect()
+    assert len({r["constraint_name"] for r in found}) >= 9
+    assert [r for r in found if r["violations"]] == []
+
+
 def test_a_new_session_finds_the_tables(loaded):
     other = loaded.spark.newSession()
     loaded.store.drop_tables([])  # nothing is dropped without a name
