@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.llm.common import ship_package
+
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Pieces and chunks remembered by a worker; the oldest half goes when there are more.
 REMEMBERED = 150_000
@@ -190,6 +192,7 @@ def load_vocabulary(spark: SparkSession, path: str):
     size = os.path.getsize(path)
     if size > MAX_VOCABULARY_BYTES:
         raise ValueError(f"{path} has {size} bytes, more than {MAX_VOCABULARY_BYTES}")
+    ship_package(spark)
     with open(path, "rb") as file:
         return spark.sparkContext.broadcast(file.read())
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +33,30 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 def literal_rows(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
     """A small table of the driver as one literal of the plan."""
-    import json
-
     array = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{ddl}>>")
     return spark.range(1).select(F.explode(array).alias("row")).select("row.*")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the Python workers of this application the package, wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "sedimenta.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)  # Spark copies it to every executor
+    _shipped.add(context.applicationId)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all other characters as they are."""
     return F.translate(text, UPPER, LOWER)

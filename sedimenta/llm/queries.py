@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, shards, urls
+from sedimenta.llm import bpe, chat, lines, quality, shards, urls
 from sedimenta.llm.common import literal_rows, read_table, stored
 from sedimenta.session import fresh_folder
 
@@ -19,6 +19,50 @@ URL_RULES = [
 SHARDS = 8
 
 
+QUALITY_THRESHOLD = 0.3
+
+
+def held_out(doc_id: Column, folds: int, fold: int) -> Column:
+    """Whether the checksum of the id falls in the fold; a null id does not."""
+    return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % folds == fold, F.lit(False))
+
+
+def with_labels(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), "quality")
+    return df.join(labels, F.col("doc_id") == F.col("_id")).drop("_id")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = stored(
+        quality.with_stats(documents).select(
+            "doc_id", "stats", held_out(F.col("doc_id"), 5, 0).alias("held_out")
+        ),
+        "document-stats",
+    )
+    model = quality.fit(with_labels(rows.where(~F.col("held_out")), spark, sf_dir))
+    return quality.score(rows, model).select(
+        "doc_id",
+        "held_out",
+        "score",
+        F.when(F.col("score") >= QUALITY_THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = lines.train(with_labels(documents, spark, sf_dir))
+    judged = F.col("lines")
+    return lines.label_lines(documents, chain).select(
+        "doc_id",
+        *[judged[c].alias(c) for c in lines.COUNTS],
+        lines.base_failed(judged).alias("base_failed"),
+        lines.retained(judged).alias("kept"),
+        F.size(judged["labels"]).cast("long").alias("n_lines"),
+        judged["content_words"].alias("content_words"),
+    )
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     rules = literal_rows(spark, URL_RULES, "host string, path string, verdict string")
@@ -48,6 +92,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(coded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+PLANTED_CHAT = [
+    {"conv_id": -7, "turn": turn, "role": role, "text": "\\### Assistant: </turn> ok"}
+    for turn, role in enumerate(("user", "assistant"))
+]
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    ddl = "conv_id bigint, turn bigint, role string, text string"
+    return chat.digests(chat.format_turns(turns.unionByName(literal_rows(spark, PLANTED_CHAT, ddl))))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards of near-equal bytes; after_growth is the shard once there is one more."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,4 +131,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ALL = [op6_url_filter, op9_bpe, op10_sharding]
+ALL = [
+    op2_quality_classifier,
+    op3_quality_rules,
+    op6_url_filter,
+    op8_chat_format,
+    op9_bpe,
+    op10_sharding,
+]
