@@ -22,6 +22,7 @@ import json
 import os
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,13 @@ from pyspark.sql import functions as F
 from sedimenta.llm.common import ship_package
 
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Pieces and chunks remembered by a worker; the oldest half goes when there are more.
-REMEMBERED = 150_000
+#: Pieces and chunks remembered by a worker; the older half goes when there are more.
+REMEMBERED = 400_000
+#: Pieces of more bytes have a tree of their own; shorter ones are merged side by side.
+WIDEST = 64
+#: Characters of text taken at a time.
+AT_ONCE = 1 << 20
+NO_RANK = 1 << 40
 _WHITE = r"\p{White_Space}"
 
 
@@ -91,6 +97,12 @@ class Tokenizer:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             merged = vocabulary[left + right]
             self.merges[vocabulary[left], vocabulary[right]] = (rank, merged)
+        order = sorted((left << 20 | right, *m) for (left, right), m in self.merges.items())
+        self.pair_keys = np.array([key for key, _, _ in order], np.int64)
+        self.pair_ranks = np.array([rank for _, rank, _ in order], np.int64)
+        self.merged = np.array([m for _, m in self.merges.values()], np.int32)
+        self.inner_ids = np.array(self.inner, np.int32)
+        self.last_ids = np.array(self.last, np.int32)
         self.tokens = {i: t for t, i in vocabulary.items()}
         self.special = {t["content"]: t["id"] for t in added}
         self.tokens |= {t["id"]: t["content"] for t in added}
@@ -99,10 +111,11 @@ class Tokenizer:
             regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if added else None
         )
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
-        self.piece_pattern = regex.compile(splits[0]["pattern"]["Regex"].replace(r"\s", _WHITE))
+        pattern = splits[0]["pattern"]["Regex"].replace(r"\s", _WHITE)
+        self.piece_pattern = regex.compile(pattern + r"|\n")
         self.chunk_pattern = regex.compile(f"[^{_WHITE}]+")
-        self.chunks: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
         """The symbols of one piece after all merges."""
@@ -130,50 +143,152 @@ class Tokenizer:
                 tree.put(before, merges.get((ids[before], ids[at]), absent)[0])
         return [ids[k] for k in range(n) if alive[k]]
 
-    def _remember(self, known: dict[str, list[int]], key: str, ids: list[int]) -> list[int]:
-        if len(key) <= 64:
-            if len(known) >= REMEMBERED:
-                for old in list(known)[: REMEMBERED // 2]:
-                    del known[old]
-            known[key] = ids
-        return ids
-
-    def _piece(self, piece: str) -> list[int]:
-        known = self.pieces.get(piece)
-        if known is not None:
-            return known
-        data = piece.encode()
-        ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-        return self._remember(self.pieces, piece, self.merge(ids))
-
-    def _chunk(self, chunk: str) -> list[int]:
-        """Ids of a run without white space; normalising and cutting never cross white space."""
-        text = unicodedata.normalize("NFC", chunk)
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; NO_RANK where there is no merge or an id is -1."""
+        keys = left.astype(np.int64) << 20 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_RANK)
+
+    def merge_rows(self, ids: np.ndarray) -> None:
+        """Merges every row of a matrix of symbols in place; -1 fills the rows and what merges.
+
+        One segment tree per row, kept side by side: each step merges the pair at the root of
+        every tree that still has one.
+        """
+        n, width = ids.shape
+        leaves = 1 << max(0, width - 2).bit_length()
+        bits, end = leaves.bit_length(), width  # the column `end` stands for no neighbour
+        ids_ = np.concatenate([ids, np.full((n, 1), -1, ids.dtype)], axis=1)
+        tree = np.full((n, 2 * leaves), NO_RANK, np.int64)
+        ranks = self._rank(ids_[:, : width - 1], ids_[:, 1:width])
+        place = np.arange(width - 1)
+        tree[:, leaves : leaves + width - 1] = np.where(ranks < NO_RANK, ranks << bits | place, NO_RANK)
+        for k in range(leaves - 1, 0, -1):
+            tree[:, k] = np.minimum(tree[:, 2 * k], tree[:, 2 * k + 1])
+        column = np.arange(width + 1)
+        right = np.tile(np.minimum(column + 1, end), (n, 1))
+        left = np.tile(np.where(column > 0, column - 1, end), (n, 1))
+
+        def put(rows: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+            node = at + leaves
+            tree[rows, node] = values
+
+        def lift(rows: np.ndarray, at: np.ndarray) -> None:
+            node = at + leaves
+            for _ in range(bits - 1):
+                node = node >> 1
+                tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
+
+        def leaf(rank: np.ndarray, at: np.ndarray) -> np.ndarray:
+            return np.where(rank < NO_RANK, rank << bits | at, NO_RANK)
+
+        rows = np.flatnonzero(tree[:, 1] < NO_RANK)
+        while len(rows):
+            root = tree[rows, 1]
+            at = root & ((1 << bits) - 1)
+            merged = self.merged[root >> bits]
+            gone = right[rows, at]
+            after = right[rows, gone]
+            ids_[rows, at] = merged
+            ids_[rows, gone] = -1
+            right[rows, at] = after
+            left[rows, after] = at
+            put(rows, at, leaf(self._rank(merged, ids_[rows, after]), at))
+            inner = gone < leaves
+            put(rows[inner], gone[inner], np.int64(NO_RANK))
+            before = left[rows, at]
+            has = before < end
+            first, at_first = rows[has], before[has]
+            put(first, at_first, leaf(self._rank(ids_[first, at_first], merged[has]), at_first))
+            lift(rows[inner], gone[inner])
+            lift(first, at_first)
+            lift(rows, at)
+            rows = rows[tree[rows, 1] < NO_RANK]
+        ids[:] = ids_[:, :width]
+
+    def _merge_all(self, pieces: list[str]) -> None:
+        """Adds the ids of new pieces to those known, many pieces of like length at a time."""
+        groups: dict[int, list[tuple[str, bytes]]] = {}
+        for piece in pieces:
+            data = piece.encode()
+            if len(data) > WIDEST:
+                ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
+                self.pieces[piece] = np.array(self.merge(ids), np.int32).tobytes()
+            else:
+                groups.setdefault(max(1, (len(data) - 1).bit_length()), []).append((piece, data))
+        for power, group in groups.items():
+            lengths = np.array([len(data) for _, data in group])
+            ids = np.full((len(group), (1 << power) + 1), -1, np.int32)
+            filled = np.arange(ids.shape[1]) < lengths[:, None]
+            symbols = np.frombuffer(b"".join(data for _, data in group), np.uint8)
+            ids[filled] = self.inner_ids[symbols]
+            ids[np.arange(len(group)), lengths - 1] = self.last_ids[symbols[lengths.cumsum() - 1]]
+            self.merge_rows(ids)
+            left = ids >= 0
+            flat, ends = ids[left].tobytes(), 4 * left.sum(axis=1).cumsum()
+            start = 0
+            for (piece, _), stop in zip(group, ends.tolist()):
+                self.pieces[piece] = flat[start:stop]
+                start = stop
+
+    def learn(self, chunks: set[str]) -> None:
+        """Adds the ids of new chunks, runs of text without white space, to those known.
+
+        Normalising and cutting never reach across white space, so all chunks are normalised
+        and cut in one pass, with newlines between them.
+        """
+        order = list(chunks)
+        text = unicodedata.normalize("NFC", "\n".join(order))
         text = text.replace("Σ", "σ").lower()  # no final form of sigma
-        ids = [i for piece in self.piece_pattern.findall(text) for i in self._piece(piece)]
-        return self._remember(self.chunks, chunk, ids)
-
-    def _plain(self, text: str, out: list[int]) -> None:
+        cut = self.piece_pattern.findall(text)
+        self._merge_all(list(set(cut).difference(self.pieces, "\n")))
+        ids, k = [], 0
+        for piece in cut:
+            if piece == "\n":
+                self.chunks[order[k]] = b"".join(ids)
+                ids, k = [], k + 1
+            else:
+                ids.append(self.pieces[piece])
+        self.chunks[order[k]] = b"".join(ids)
+
+    def _cut(self, text: str) -> list[str]:
+        """The chunks of a text; split() knows four separators more than the pattern does."""
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return self.chunk_pattern.findall(text)
+        return text.split()
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as the bytes of 32-bit integers."""
+        for remembered in (self.chunks, self.pieces):
+            if len(remembered) > REMEMBERED:
+                for old in list(remembered)[: len(remembered) // 2]:
+                    del remembered[old]
         known = self.chunks
-        for chunk in self.chunk_pattern.findall(text):
-            ids = known.get(chunk)
-            out += self._chunk(chunk) if ids is None else ids
+        cut: list[list[str | bytes]] = []
+        for text in texts:
+            if self.special_pattern is None or not self.special_pattern.search(text):
+                cut.append(self._cut(text))
+                continue
+            parts: list[str | bytes] = []
+            for part in self.special_pattern.split(text):
+                if part in self.special:
+                    parts.append(np.int32(self.special[part]).tobytes())
+                else:
+                    parts += self._cut(part)
+            cut.append(parts)
+        fresh = {c for parts in cut for c in parts if c not in known and isinstance(c, str)}
+        if fresh:
+            self.learn(fresh)
+        try:
+            return [b"".join([known[c] for c in parts]) for parts in cut]
+        except KeyError:  # a special token stands for itself
+            return [b"".join([c if isinstance(c, bytes) else known[c] for c in p]) for p in cut]
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        if self.special_pattern is None or not self.special_pattern.search(text):
-            self._plain(text, out)
-            return out
-        for part in self.special_pattern.split(text):
-            if part in self.special:
-                out.append(self.special[part])
-            else:
-                self._plain(part, out)
-        return out
+        return np.frombuffer(self.encode_batch([text])[0], np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
-        tokens = self.tokens
-        return " ".join([tokens[i] for i in ids])
+        return " ".join(map(self.tokens.__getitem__, ids))
 
 
 _loaded: dict[int, Tokenizer] = {}
@@ -203,14 +318,20 @@ def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids") -> D
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         tokenizer = _tokenizer(vocabulary)
-        flat = pa.array([], pa.int32()) if not len(texts) else None
-        offsets, parts = [0], []
+        out: list[bytes] = []
+        waiting: list[str] = []
+        size = 0
         for value in texts:
-            own = tokenizer.encode(value.as_py() or "")
-            parts.append(pa.array(own, pa.int32()))
-            offsets.append(offsets[-1] + len(own))
-        flat = pa.concat_arrays(parts) if parts else flat
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+            waiting.append(value.as_py() or "")
+            size += len(waiting[-1])
+            if size >= AT_ONCE:
+                out += tokenizer.encode_batch(waiting)
+                waiting, size = [], 0
+        out += tokenizer.encode_batch(waiting)
+        lengths = np.fromiter(map(len, out), np.int64, len(out)) // 4
+        offsets = np.concatenate([[0], lengths.cumsum()]).astype(np.int32)
+        flat = pa.array(np.frombuffer(b"".join(out), np.int32))
+        return pa.ListArray.from_arrays(pa.array(offsets), flat)
 
     return df.withColumn(ids, encoded(F.col(text)))
 
@@ -221,6 +342,10 @@ def decode(df: DataFrame, vocabulary, ids: str = "ids", text: str = "decoded") -
     @F.arrow_udf("string")
     def decoded(lists: pa.Array) -> pa.Array:
         tokenizer = _tokenizer(vocabulary)
-        return pa.array([tokenizer.decode(value.as_py() or []) for value in lists], pa.string())
+        filled = lists.fill_null([])
+        values = filled.values.to_numpy(zero_copy_only=False)
+        offsets = filled.offsets.to_pylist()
+        pairs = zip(offsets, offsets[1:])
+        return pa.array([tokenizer.decode(values[a:b].tolist()) for a, b in pairs], pa.string())
 
     return df.withColumn(text, decoded(F.col(ids)))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, lines, quality, shards, urls
+from sedimenta.llm import bpe, chat, contamination, lines, quality, shards, urls
 from sedimenta.llm.common import literal_rows, read_table, stored
 from sedimenta.session import fresh_folder
 
@@ -63,6 +63,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return contamination.find(documents, read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     rules = literal_rows(spark, URL_RULES, "host string, path string, verdict string")
@@ -134,6 +139,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL = [
     op2_quality_classifier,
     op3_quality_rules,
+    op5_decontamination,
     op6_url_filter,
     op8_chat_format,
     op9_bpe,
