@@ -31,7 +31,7 @@ select page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') as verdict
 from places p left join best b on p.host = b.host and p.path = b.path
 """
 
-_WORDS = f"list_filter(regexp_split_to_array({_LOWER.format('text')}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+_WORDS = f"list_filter(regexp_split_to_array({_LOWER.format('text')}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 
 OP5 = f"""
 with items as (
@@ -40,13 +40,13 @@ with items as (
   select doc_id, {_WORDS} as ws from documents where text is not null
 ), item_shingles as (
   select distinct item_id, unnest(list_transform(range(1, len(ws) - 3),
-    i -> array_to_string(list_slice(ws, i, i + 4), ' '))) as shingle
+    lambda i: array_to_string(list_slice(ws, i, i + 4), ' '))) as shingle
   from items where len(ws) >= 5
 ), sizes as (
   select item_id, count(*) as n_item from item_shingles group by 1
 ), doc_shingles as (
   select distinct doc_id, unnest(list_transform(range(1, len(ws) - 3),
-    i -> array_to_string(list_slice(ws, i, i + 4), ' '))) as shingle
+    lambda i: array_to_string(list_slice(ws, i, i + 4), ' '))) as shingle
   from docs where len(ws) >= 5
 )
 select doc_id, item_id, count(*) as n_shared, any_value(n_item) as n_item,
