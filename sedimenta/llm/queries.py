@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, contamination, lines, quality, shards, urls
+from sedimenta.llm import bpe, chat, contamination, lines, neardup, quality, shards, urls
 from sedimenta.llm.common import literal_rows, read_table, stored
 from sedimenta.session import fresh_folder
 
@@ -19,9 +19,20 @@ URL_RULES = [
 SHARDS = 8
 
 
+NEAR_WORDS = 2
 QUALITY_THRESHOLD = 0.3
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.find(read_table(spark, sf_dir, "documents"), NEAR_WORDS)
+    return found.select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        (F.col("doc_id") == F.col("component_id")).alias("kept"),
+    )
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether the checksum of the id falls in the fold; a null id does not."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % folds == fold, F.lit(False))
@@ -137,6 +148,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL = [
+    op1_minhash_dedup,
     op2_quality_classifier,
     op3_quality_rules,
     op5_decontamination,
