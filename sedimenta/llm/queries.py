@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, contamination, lines, neardup, quality, shards, urls
+from sedimenta.llm import bpe, chat, contamination, lines, neardup, pages, quality, shards, urls
 from sedimenta.llm.common import literal_rows, read_table, stored
 from sedimenta.session import fresh_folder
 
@@ -80,12 +80,17 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = read_table(spark, sf_dir, "pages").select("page_id", "url")
     rules = literal_rows(spark, URL_RULES, "host string, path string, verdict string")
-    judged = urls.judge(pages, rules)
+    judged = urls.judge(listed, rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def vocabulary(spark: SparkSession, path: str | None = None):
     return bpe.load_vocabulary(spark, path or public_tokenizers.path("word_bpe_49k.json"))
 
@@ -153,6 +158,7 @@ ALL = [
     op3_quality_rules,
     op5_decontamination,
     op6_url_filter,
+    op7_html_extraction,
     op8_chat_format,
     op9_bpe,
     op10_sharding,
