@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, contamination, lines, neardup, pages, quality, shards, urls
+from sedimenta.llm import bpe, chat, contamination, lines, lm, neardup, pages, quality, shards, urls
 from sedimenta.llm.common import literal_rows, read_table, stored
 from sedimenta.session import fresh_folder
 
@@ -74,6 +74,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.fit(documents.where(~held_out(F.col("doc_id"), 7, 2)))
+    return lm.score(documents, model).select(
+        "doc_id",
+        held_out(F.col("doc_id"), 7, 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return contamination.find(documents, read_table(spark, sf_dir, "benchmark"))
@@ -156,6 +170,7 @@ ALL = [
     op1_minhash_dedup,
     op2_quality_classifier,
     op3_quality_rules,
+    op4_lm_scoring,
     op5_decontamination,
     op6_url_filter,
     op7_html_extraction,
