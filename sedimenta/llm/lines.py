@@ -13,7 +13,7 @@ covers every line of every text, one text at a time within a batch.
 
 Defined results: a null, empty or blank text has no words, so the base rule rejects it. Without
 labelled documents of both kinds every line is content. Repeated rows are judged alike.
-The result is one struct column, `lines`, which replaces an input column of that name.
+The result is one struct column, which replaces an input column of its name.
 """
 
 from __future__ import annotations
@@ -145,8 +145,10 @@ def train(labelled: DataFrame, text: str = "text", label: str = "quality") -> Ch
     return fit_chain([x for x, _ in rows], [value for _, value in rows])
 
 
-def label_lines(df: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
-    """Adds the struct `lines`: the base counts, the label of each line that holds a word
+def label_lines(
+    df: DataFrame, chain: Chain, text: str = "text", into: str = "lines"
+) -> DataFrame:
+    """Adds a struct column: the base counts, the label of each line that holds a word
     (1 content, 0 boilerplate), and the number of words in content lines."""
     ship_package(df.sparkSession)
 
@@ -167,7 +169,7 @@ def label_lines(df: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
         arrays += [pa.array(columns[5], pa.list_(pa.int8())), pa.array(columns[6], pa.int64())]
         return pa.StructArray.from_arrays(arrays, [*COUNTS, "labels", "content_words"])
 
-    return df.withColumn("lines", labelled(F.col(text)))
+    return df.withColumn(into, labelled(F.col(text)))
 
 
 def base_failed(lines: Column) -> Column:

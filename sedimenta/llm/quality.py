@@ -9,7 +9,8 @@ are used.
 
 Defined results: a null, empty or blank text has zero statistics and is scored like any other;
 labels other than 0 and 1, null ones included, are left out. With no labelled rows every score is
-0.5. The columns stats and score replace input columns of these names.
+0.5. A result column replaces an input column
+of its name.
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ def fourier(stats: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarra
     return np.hstack([z, np.ones((len(x), 1))])
 
 
-def with_stats(df: DataFrame, text: str = "text") -> DataFrame:
+def with_stats(df: DataFrame, text: str = "text", into: str = "stats") -> DataFrame:
     """Adds the statistics of every whole text."""
     ship_package(df.sparkSession)
 
@@ -75,7 +76,7 @@ def with_stats(df: DataFrame, text: str = "text") -> DataFrame:
         rows = [document_stats((value.as_py() or "").encode()) for value in texts]
         return pa.array(rows, pa.list_(pa.float64()))
 
-    return df.withColumn("stats", stats(F.col(text)))
+    return df.withColumn(into, stats(F.col(text)))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -83,15 +84,24 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(-1, DOCUMENT_STATS)
 
 
-def isotonic(counts: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Pools adjacent bins until the shares of ones never fall."""
-    blocks: list[list[float]] = []  # ones, rows, bins
-    for n, k in zip(counts, ones):
-        blocks.append([k, n, 1])
+def isotonic(
+    at: np.ndarray, counts: np.ndarray, ones: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pools adjacent bins until the shares of ones never fall.
+
+    Returns the centre and the share of every block: scores between two centres are
+    interpolated, so different ridge scores seldom meet in one probability.
+    """
+    blocks: list[list[float]] = []  # ones, rows, sum of scores
+    for score, n, k in zip(at, counts, ones):
+        blocks.append([k, n, score * n])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
-            k, n, bins = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + k, blocks[-1][1] + n, blocks[-1][2] + bins]
-    return np.concatenate([[k / n] * int(bins) for k, n, bins in blocks])
+            last = blocks.pop()
+            blocks[-1] = [a + b for a, b in zip(blocks[-1], last)]
+    return (
+        np.array([total / n for _, n, total in blocks]),
+        np.array([k / n for k, n, _ in blocks]),
+    )
 
 
 def fit(labelled: DataFrame, label: str = "quality") -> Model:
@@ -150,16 +160,16 @@ def fit(labelled: DataFrame, label: str = "quality") -> Model:
         .orderBy("bin")
         .collect()
     )
-    heights = isotonic(np.array([b.n for b in bins], float), np.array([b.ones for b in bins]))
-    return Model(mean, scale, ridge, np.array([b["at"] for b in bins]), heights)
+    knots, heights = isotonic(*(np.array([b[c] for b in bins], float) for c in ("at", "n", "ones")))
+    return Model(mean, scale, ridge, knots, heights)
 
 
-def score(df: DataFrame, model: Model) -> DataFrame:
+def score(df: DataFrame, model: Model, stats: str = "stats", into: str = "score") -> DataFrame:
     """Adds the probability of label 1 to rows with statistics."""
     ship_package(df.sparkSession)
 
     @F.arrow_udf("double")
-    def scored(stats: pa.Array) -> pa.Array:
-        return pa.array(model.score(_matrix(stats)), pa.float64())
+    def scored(rows: pa.Array) -> pa.Array:
+        return pa.array(model.score(_matrix(rows)), pa.float64())
 
-    return df.withColumn("score", scored("stats"))
+    return df.withColumn(into, scored(F.col(stats)))
