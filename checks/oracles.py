@@ -237,7 +237,26 @@ select c_custkey, '{name}' as list from (select nullif(c_custkey, 1) as c_custke
 where c_custkey not in ({listing})"""
 
 
-_BIG_ORDERS = "from orders where o_totalprice > 200000"
+_SIGNED_ORDERS = """from (
+  select case when o_custkey % 3 = 0 then o_custkey else -o_custkey end as o_custkey from orders)"""
+
+_CALENDAR = """
+months as (
+  select cast(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), interval 1 month))
+    as date) as range_start from bounds
+),
+years as (
+  select cast(unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi), interval 1 year))
+    as date) as range_start from bounds
+)
+select t as table_name, range_start, cast(range_start + interval 1 month as date) as range_end,
+  t || '_' || strftime(range_start, '%Y_%m') as partition_name
+from months, (values ('bronze.raw_weather_data'), ('silver.transform_weather_data'),
+  ('gold.fact_weather_hourly')) as v(t)
+union all
+select 'gold.fact_day', range_start, cast(range_start + interval 1 year as date),
+  'gold.fact_day_' || strftime(range_start, '%Y')
+from years"""
 
 _TWO_LOAD_COUNTS = _with(
     *_LOCATIONS,
@@ -368,14 +387,14 @@ select o_custkey as customer,
   (select count(*) from known) + row_number() over (order by md5(cast(o_custkey as varchar))) as customer_id
 from (select distinct o_custkey from orders where o_orderdate >= timestamp '1995-02-01 00:00:00')
 where o_custkey not in (select o_custkey from known)""",
-    "not_in_null_aware": _not_in("plain", f"select o_custkey {_BIG_ORDERS}")
+    "not_in_null_aware": _not_in("plain", f"select o_custkey {_SIGNED_ORDERS}")
     + " union all "
     + _not_in(
         "holed",
-        f"select nullif(o_custkey, 7) {_BIG_ORDERS} union all select null {_BIG_ORDERS}",
+        f"select nullif(o_custkey, 9) {_SIGNED_ORDERS} union all select null {_SIGNED_ORDERS}",
     )
     + " union all "
-    + _not_in("empty", f"select o_custkey {_BIG_ORDERS} and o_custkey < 0"),
+    + _not_in("empty", f"select o_custkey {_SIGNED_ORDERS} where o_custkey is null"),
     "surrogate_keys": """
 select c_name, 100 + row_number() over (order by md5(c_name), c_name) as customer_id
 from (select distinct c_name from customer)""",
@@ -402,30 +421,22 @@ join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey""",
     "partition_calendar": """
 with bounds as (
   select cast(min(l_shipdate) as date) as lo, cast(max(l_shipdate) as date) as hi from lineitem
-),
-months as (
-  select cast(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), interval 1 month))
-    as date) as range_start from bounds
-),
-years as (
-  select cast(unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi), interval 1 year))
-    as date) as range_start from bounds
-)
-select t as table_name, range_start, cast(range_start + interval 1 month as date) as range_end,
-  t || '_' || strftime(range_start, '%Y_%m') as partition_name
-from months, (values ('bronze.raw_weather_data'), ('silver.transform_weather_data'),
-  ('gold.fact_weather_hourly')) as v(t)
-union all
-select 'gold.fact_day', range_start, cast(range_start + interval 1 year as date),
-  'gold.fact_day_' || strftime(range_start, '%Y')
-from years""",
+),"""
+    + _CALENDAR,
+    "next_year_calendar": """
+with bounds as (
+  select make_date(y, 1, 1) as lo, make_date(y, 12, 31) as hi
+  from (select year(max(l_shipdate)) + 1 as y from lineitem)
+),"""
+    + _CALENDAR,
     "partition_counts": """
 select strftime(l_shipdate, '%Y-%m') as p_month, count(*) as row_count from lineitem group by 1""",
     "out_of_range_rows": """
-select l_orderkey, l_linenumber, l_shipdate from lineitem,
+select l_orderkey, l_linenumber, l_shipdate from (
+    select * replace (case when l_partkey % 11 = 0 then l_shipdate + interval 10 year
+      else l_shipdate end as l_shipdate) from lineitem),
   (select date_trunc('month', min(o_orderdate)) as lo,
-     date_trunc('month', max(o_orderdate)) + interval 1 month as hi
-   from orders where o_orderdate < timestamp '1999-01-01 00:00:00')
+     date_trunc('month', max(o_orderdate)) + interval 1 month as hi from orders)
 where not (l_shipdate >= lo and l_shipdate < hi)""",
     "month_range_read": """
 select l_orderkey, l_linenumber, l_shipdate from lineitem
@@ -434,8 +445,10 @@ where l_shipdate >= timestamp '1996-03-01 00:00:00' and l_shipdate < timestamp '
 select l_orderkey, l_linenumber, count(*) as copies from lineitem
 group by l_orderkey, l_linenumber having count(*) > 1""",
     "orphan_rows": """
-select l_orderkey, l_linenumber, l_partkey from lineitem l
-where not exists (select 1 from orders where o_orderstatus <> 'O' and o_orderkey = l.l_orderkey)""",
+select l_orderkey, l_linenumber, l_partkey from (
+  select * replace (case when l_partkey % 7 = 0 then -l_orderkey else l_orderkey end as l_orderkey)
+  from lineitem) l
+where not exists (select 1 from orders where o_orderkey = l.l_orderkey)""",
     "missing_required": _with(_SENSOR)
     + """
 select * from (select id, concat_ws(',', case when country is null then 'country' end,
@@ -520,6 +533,48 @@ union all select 'gold.dim_location', count(*) from dim_two
 union all select 'gold.dim_weather_condition', count(*) from first_seen
 union all select 'gold.fact_weather_hourly', count(*) from silver
 union all select 'gold.fact_day', count(*) from merged_days""",
+    "stored_created_at": _TWO_LOAD_COUNTS
+    + """
+select t as table_name, cast(part as bigint) as increment, count(*) as row_count,
+  cast(1 as bigint) as times, cast(0 as bigint) as missing
+from silver_loads, (values ('silver.transform_weather_data'), ('gold.fact_weather_hourly')) as v(t)
+group by t, part""",
+    "dropped_table": """
+select false as files_deleted, true as dropped, count(*) as row_count from events
+union all select true, true, 0""",
+    "silver_business_key_two_loads": _with(_SENSOR, _silver()) + "select * from silver",
+    "replay_landed_twice": _with(_SENSOR, _SECONDS, _silver("landed"))
+    + "select * exclude (id), cast(2 as bigint) as copies from silver",
+    "late_rows": _with(_SENSOR, _silver())
+    + f"""
+select true as by_load, count(*) as row_count from silver
+union all
+select false, count(*) from silver where collected_at > {_CUT} and id % 5 <> 0 and id % 7 <> 0""",
+    "gold_retry": _TWO_LOAD_COUNTS
+    + """
+, added as (
+  select 'new ' || city as city, cast(data_timestamp as date) as day from silver where id % 3 = 0
+), stored as (
+  select cast(part as bigint) as increment, count(*) as stored from silver_loads group by part
+  union all select 3, count(*) from added
+), counts as (
+  select cast(1 as bigint) as increment, 'gold.dim_location' as table_name, count(*) as inserted,
+    cast(0 as bigint) as updated from dim_one
+  union all
+  select 2, 'gold.dim_location', count(*) filter (where _op = 'I'),
+    count(*) filter (where _op = 'U') from dim_two
+  union all select 3, 'gold.dim_location', count(distinct city), 0 from added
+  union all
+  select p, 'gold.dim_weather_condition', (select count(*) from first_seen where part = p), 0
+  from (values (1), (2), (3)) as v(p)
+  union all select 1, 'gold.fact_day', count(*), 0 from old_days
+  union all
+  select 2, 'gold.fact_day', count(*) filter (where _op = 'I'),
+    count(*) filter (where _op = 'U') from merged_days
+  union all select 3, 'gold.fact_day', count(*), 0 from (select distinct city, day from added)
+  union all select increment, 'gold.fact_weather_hourly', stored, 0 from stored
+)
+select * from counts join stored using (increment)""",
     "replay_equals_incremental": _with(_SENSOR, _SECONDS, _silver("landed"))
     + "select * exclude (id) from silver",
     "stream_hourly_fact": _with(_SENSOR, _SECONDS, _silver("landed"))

@@ -330,20 +330,23 @@ def key_insert_scale(spark, sf_dir):
     """Customers that order for the first time after January 1995, with new ids."""
     orders = table(spark, sf_dir, "orders").withColumn("customer", F.col("o_custkey"))
     known = orders.where("o_orderdate < timestamp_ntz'1995-02-01 00:00:00'")
-    dim = keys.dense_ids(known.select("customer").distinct(), ["customer"], "customer_id")
+    dim = _stored(keys.dense_ids(known.select("customer").distinct(), ["customer"], "customer_id"))
     later = orders.where("o_orderdate >= timestamp_ntz'1995-02-01 00:00:00'")
     return merge.insert_if_absent(dim, later, "customer", "customer_id")
 
 
 def not_in_null_aware(spark, sf_dir):
-    """Customers NOT IN three lists: plain, holding a NULL, empty."""
+    """Customers NOT IN three lists of orders: plain, holding a NULL, empty. Two thirds of
+    the customers are moved out of the list by their sign."""
     customers = table(spark, sf_dir, "customer").select("c_custkey")
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 200000")
+    orders = table(spark, sf_dir, "orders").withColumn(
+        "o_custkey", F.expr("case when o_custkey % 3 = 0 then o_custkey else -o_custkey end")
+    )
     plain = orders.select(F.col("o_custkey").alias("listed"))
-    holed = orders.select(F.expr("nullif(o_custkey, 7)").alias("listed")).unionByName(
+    holed = orders.select(F.expr("nullif(o_custkey, 9)").alias("listed")).unionByName(
         plain.select(F.lit(None).cast("bigint").alias("listed"))
     )
-    empty = plain.where("listed < 0")
+    empty = plain.where("listed is null")
     nullable = customers.select(F.expr("nullif(c_custkey, 1)").alias("c_custkey"))
 
     def case(name, rows, listing):
@@ -405,7 +408,8 @@ def star_join_scale(spark, sf_dir):
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    return lineitem.join(part, "l_partkey").join(supplier, "l_suppkey")
+    with_part = star.look_up(lineitem, part, "l_partkey", ["p_brand"])
+    return star.look_up(with_part, supplier, "l_suppkey", ["s_name"])
 
 
 def daily_city_summary(spark, sf_dir):
@@ -426,15 +430,21 @@ def partition_counts(spark, sf_dir):
 
 
 def out_of_range_rows(spark, sf_dir):
-    """Shipments in no month that had orders before 1999."""
-    early = table(spark, sf_dir, "orders").where("o_orderdate < timestamp_ntz'1999-01-01 00:00:00'")
-    months = partitions.month_ranges(partitions.bounds_of(early, "o_orderdate"))
-    lineitem = table(spark, sf_dir, "lineitem")
+    """Shipments in no month of the orders' calendar; every 11th part ships ten years late."""
+    orders = table(spark, sf_dir, "orders")
+    months = partitions.month_ranges(partitions.bounds_of(orders, "o_orderdate"))
+    late = "case when l_partkey % 11 = 0 then l_shipdate + interval 10 years else l_shipdate end"
+    lineitem = table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.expr(late))
     return partitions.out_of_calendar(lineitem, "l_shipdate", months).select(
         "l_orderkey", "l_linenumber", "l_shipdate"
     )
 
 
+def next_year_calendar(spark, sf_dir):
+    """The partitions to be made for the year after the newest shipment."""
+    return partitions.calendar(partitions.next_year_bounds(table(spark, sf_dir, "lineitem"), "l_shipdate"))
+
+
 def month_range_read(spark, sf_dir):
     routed = partitions.with_month(table(spark, sf_dir, "lineitem"), "l_shipdate")
     return partitions.read_range(routed, "l_shipdate", FIRST_DAY, END_DAY).select(
@@ -452,9 +462,11 @@ def unique_violations(spark, sf_dir):
 
 
 def orphan_rows(spark, sf_dir):
-    closed = table(spark, sf_dir, "orders").where("o_orderstatus <> 'O'")
+    """Every 7th part's lines refer to orders that do not exist."""
+    astray = F.expr("case when l_partkey % 7 = 0 then -l_orderkey else l_orderkey end")
+    lineitem = table(spark, sf_dir, "lineitem").withColumn("l_orderkey", astray)
     return quality.orphan_rows(
-        table(spark, sf_dir, "lineitem"), "l_orderkey", closed, "o_orderkey"
+        lineitem, "l_orderkey", table(spark, sf_dir, "orders"), "o_orderkey"
     ).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
@@ -548,6 +560,131 @@ def stored_counts(spark, sf_dir):
     return result
 
 
+def _collected_twice(readings: DataFrame) -> DataFrame:
+    """A third of the readings once more, an hour later and with another temperature."""
+    return readings.where("id % 3 = 0").withColumns(
+        {
+            "id": F.expr("id + 1000000000"),
+            "collected_at": F.expr("collected_at + interval 1 hour"),
+            "temperature": F.lit(1).cast("decimal(5,2)"),
+        }
+    )
+
+
+def silver_business_key_two_loads(spark, sf_dir):
+    """The copies come in a load of their own; the stored readings stay."""
+    readings = sensor_readings(spark, sf_dir)
+    warehouse = _scratch_warehouse(spark)
+    for load in (readings, _collected_twice(readings)):
+        warehouse.append_readings(load)
+        warehouse.transform()
+    return warehouse.table(SILVER).select(*SILVER_COLUMNS)
+
+
+def replay_landed_twice(spark, sf_dir):
+    """A third of the readings is landed and loaded twice, in two increments; the rows of the
+    increments and those of a replay, with the times that each has a row."""
+    readings = sensor_readings(spark, sf_dir)
+    path = fresh_folder(spark, "landing")
+    warehouse = _scratch_warehouse(spark)
+    for load in (readings, _collected_twice(readings)):
+        landing.land(_documents(load), path)
+        warehouse.run(_documents(load))
+    columns = [c for c in SILVER_COLUMNS if c != "id"]
+    stepwise = _stored(warehouse.table(SILVER).select(*columns))
+    warehouse.replay(path)
+    both = stepwise.unionByName(warehouse.table(SILVER).select(*columns))
+    return both.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def late_rows(spark, sf_dir):
+    """Rows per option when the newer half comes first and some rows have no or an old
+    collection time: by load all valid ones arrive, by mark the late ones do not."""
+    old = F.when(F.col("id") % 5 == 0, F.lit(None)).when(
+        F.col("id") % 7 == 0, F.expr("timestamp_ntz'1999-06-01 00:00:00'")
+    )
+    first, second = _two_loads(sensor_readings(spark, sf_dir))
+    parts = []
+    for by_load in (True, False):
+        warehouse = _scratch_warehouse(spark, by_load=by_load)
+        for load in (second, first):
+            untimely = old.otherwise(F.col("collected_at"))
+            warehouse.append_readings(load.withColumn("collected_at", untimely))
+            warehouse.transform()
+        counted = warehouse.table(SILVER).agg(F.count(F.lit(1)).alias("row_count"))
+        parts.append(counted.select(F.lit(by_load).alias("by_load"), "row_count"))
+    return parts[0].unionByName(parts[1])
+
+
+def gold_retry(spark, sf_dir):
+    """Audit and hourly rows of gold when an attempt fails after its dimensions and more silver,
+    with new cities, arrives before the retry."""
+    readings = sensor_readings(spark, sf_dir)
+    first, second = _two_loads(readings)
+    fresh = _collected_twice(readings).withColumn("city", F.concat(F.lit("new "), F.trim("city")))
+    warehouse = _scratch_warehouse(spark)
+    warehouse.append_readings(first)
+    warehouse.transform()
+    warehouse.load_gold()
+    warehouse.append_readings(second)
+    warehouse.transform()
+    attempt = _FailingHourly(spark, warehouse.store.root, warehouse.store.prefix)
+    try:
+        attempt.load_gold()
+    except InterruptedError:
+        pass
+    warehouse.append_readings(fresh)
+    warehouse.transform()
+    for _ in range(3):
+        warehouse.load_gold()
+    hourly = warehouse.table(FACT_HOURLY).groupBy("load_id").agg(F.count(F.lit(1)).alias("stored"))
+    logged = warehouse.audit().where(F.col("step") == "gold")
+    return logged.join(hourly.where(F.col("load_id") > 0), "load_id", "left").select(
+        F.col("load_id").alias("increment"), "table_name", "inserted", "updated", "stored"
+    ).where("increment <= 3")
+
+
+class _FailingHourly(Warehouse):
+    """Stops where the hourly fact would be written."""
+
+    def _load_hourly(self, *args):
+        raise InterruptedError("stopped before the hourly fact")
+
+
+def stored_created_at(spark, sf_dir):
+    """created_at has one value per load and is never NULL."""
+    warehouse = _loaded_warehouse(spark, sf_dir)
+    counted = [
+        warehouse.table(t)
+        .groupBy(F.lit(t.full_name).alias("table_name"), F.col("load_id").alias("increment"))
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_distinct("created_at").alias("times"),
+            F.count_if(F.col("created_at").isNull()).alias("missing"),
+        )
+        for t in (SILVER, FACT_HOURLY)
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+def dropped_table(spark, sf_dir):
+    """Rows of bronze after the table is dropped and made again, without and with its files."""
+    warehouse = _scratch_warehouse(spark)
+    warehouse.append_readings(sensor_readings(spark, sf_dir))
+    parts = []
+    for delete_files in (False, True):
+        warehouse.store.drop_tables([BRONZE], delete_files)
+        dropped = not warehouse.store.exists(BRONZE)
+        warehouse.store.create_tables()
+        counted = _stored(warehouse.table(BRONZE).agg(F.count(F.lit(1)).alias("row_count")))
+        parts.append(
+            counted.select(
+                F.lit(delete_files).alias("files_deleted"), F.lit(dropped).alias("dropped"), "row_count"
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 def replay_equals_incremental(spark, sf_dir):
     """All documents are landed, then every table is rebuilt from them."""
     path = fresh_folder(spark, "landing")
@@ -634,6 +771,7 @@ ALL = (
     star_join_scale,
     daily_city_summary,
     partition_calendar,
+    next_year_calendar,
     partition_counts,
     out_of_range_rows,
     month_range_read,
@@ -648,6 +786,12 @@ ALL = (
     stored_fact_day,
     stored_daily_summary,
     stored_counts,
+    stored_created_at,
+    dropped_table,
+    silver_business_key_two_loads,
+    replay_landed_twice,
+    late_rows,
+    gold_retry,
     replay_equals_incremental,
     stream_hourly_fact,
     stream_dedupe,

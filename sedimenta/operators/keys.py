@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.session import stored
+
 
 def dense_ids(
     rows: DataFrame, keys: Sequence[str], id_column: str, after: int | Column = 0, digits: int = 3
@@ -17,18 +19,20 @@ def dense_ids(
     rows into 16**digits even ranges whatever the keys look like; each range is
     numbered on its own and shifted by the sizes of the ranges before it. The
     numbering depends on the keys alone, so a lost executor's rows get the same
-    numbers when they are computed again.
+    numbers when they are computed again. The rows are stored once in the shared
+    folder; their ranges are counted from the one narrow column of that copy.
     """
     spelled = [F.col(k).cast("string") for k in keys]
     text = spelled[0] if len(spelled) == 1 else F.concat_ws("\u0001", *spelled)
     ranged = rows.withColumn("_digest", F.md5(text)).withColumn(
         "_range", F.substring("_digest", 1, digits)
     )
+    ranged = stored(ranged, "ranges")
     within = Window.partitionBy("_range").orderBy("_digest", *keys)
     numbered = ranged.withColumn("_position", F.row_number().over(within).cast("bigint"))
 
     # At most 16**digits rows: small enough for one window and for a broadcast.
-    sizes = numbered.groupBy("_range").agg(F.max("_position").alias("_size"))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
         "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift")

@@ -26,6 +26,15 @@ def year_bounds(spark: SparkSession, year: int) -> DataFrame:
     )
 
 
+def next_year_bounds(df: DataFrame, ts: str) -> DataFrame:
+    """The calendar year after the newest row: what is to be laid out ahead of it."""
+    year = F.year(F.max(ts)) + 1
+    return df.agg(
+        F.make_date(year, F.lit(1), F.lit(1)).alias("first_day"),
+        F.make_date(year, F.lit(12), F.lit(31)).alias("last_day"),
+    )
+
+
 def _ranges(bounds: DataFrame, unit: str, months: int) -> DataFrame:
     def start(day: str) -> Column:
         return F.trunc(F.col(day), unit)

@@ -7,6 +7,8 @@ splits the hot cities.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +29,17 @@ def latest_locations(silver: DataFrame) -> DataFrame:
 def merge_locations(
     dim: DataFrame, increment: DataFrame, null_safe: bool = True, whole: bool = True
 ) -> DataFrame:
-    """The location dimension with the newest coordinates merged in."""
+    """The location dimension with the newest coordinates of the increment merged in."""
+    return merge_newest(dim, latest_locations(increment), null_safe, whole)
+
+
+def merge_newest(
+    dim: DataFrame, newest: DataFrame, null_safe: bool = True, whole: bool = True
+) -> DataFrame:
+    """The location dimension with one row per city merged in."""
     return upsert_with_ids(
         dim,
-        latest_locations(increment),
+        newest,
         ["city"],
         "location_id",
         update=["latitude", "longitude"],
@@ -86,14 +95,64 @@ def merge_days(fact_day: DataFrame, source: DataFrame, null_safe: bool = True) -
     )
 
 
+def city_days(silver: DataFrame, local_day: bool = False) -> DataFrame:
+    """All that dimensions and daily fact need of an increment, one row per city and day.
+
+    Partial aggregates cut every task's rows to one per city and day before the
+    shuffle. `conditions` holds the distinct conditions of that city and day.
+    """
+    newest = F.struct("collected_at", "data_timestamp", "id")
+    last = F.struct("data_timestamp", "collected_at", "id")
+    return (
+        with_day(silver, local_day)
+        .groupBy("city", "day")
+        .agg(
+            F.max_by(F.struct("latitude", "longitude"), newest).alias("place"),
+            F.max(newest).alias("place_order"),
+            F.max_by(
+                F.struct(
+                    once_passed(F.col("sunrise"), F.col("data_timestamp")).alias("sunrise"),
+                    once_passed(F.col("sunset"), F.col("data_timestamp")).alias("sunset"),
+                    "collected_at",
+                ),
+                last,
+            ).alias("reading"),
+            F.collect_set("weather_condition").alias("conditions"),
+        )
+    )
+
+
+def locations_of(days: DataFrame) -> DataFrame:
+    """Newest coordinates of each city, from city_days()."""
+    best = F.max_by("place", "place_order").alias("place")
+    return days.groupBy("city").agg(best).select("city", "place.*")
+
+
+def conditions_of(days: DataFrame) -> DataFrame:
+    return days.select(F.explode("conditions").alias("weather_condition"))
+
+
+def day_source_of(days: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """The rows of day_source() from city_days()."""
+    readings = days.select("city", "day", "reading.*")
+    found = readings.join(dim_location.select("city", "location_id"), "city", "left")
+    return found.withColumn("source_table", F.lit(SILVER.full_name))
+
+
+def look_up(
+    facts: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str]
+) -> DataFrame:
+    """Facts with columns of the dimension row that has their key; others drop out."""
+    return facts.join(dimension.select(key, *columns), key)
+
+
 def hourly_rows(silver: DataFrame, dim_location: DataFrame, dim_condition: DataFrame) -> DataFrame:
     """Hourly fact rows: both dimension ids looked up on the natural keys.
 
     The reading's id is the row id: silver holds one row per id.
     """
-    joined = silver.join(dim_location.select("city", "location_id"), "city").join(
-        dim_condition.select("weather_condition", "weather_condition_id"), "weather_condition"
-    )
+    placed = look_up(silver, dim_location, "city", ["location_id"])
+    joined = look_up(placed, dim_condition, "weather_condition", ["weather_condition_id"])
     return joined.select(
         "id",
         "location_id",

@@ -1,10 +1,12 @@
 """The warehouse runs: documents -> bronze -> silver -> gold, with an audit log.
 
-Each step reads what is newer than its target's mark, writes, and only then
+Each step reads the loads its target has not taken over, writes, and only then
 appends its rows to the load log. The log is the commit: a step that failed
-before it is run again under the same load number and replaces what it had
-written, and no later step reads what is not in the log. Runs are expected one
-at a time per warehouse.
+before it is run again under the same load number, all that it had written is
+removed or replaced, and no later step reads what is not in the log. The step to
+gold changes tables in place; the log therefore fixes its input before the
+first write, and a retry takes that input, whatever has come in since. Runs
+are expected one at a time per warehouse.
 """
 
 from __future__ import annotations
@@ -45,6 +47,7 @@ from sedimenta.schemas import (
     TABLES,
     Table,
 )
+from sedimenta.session import stored
 from sedimenta.sources import landing
 from sedimenta.sources.storage import Load, Store, observe
 
@@ -53,24 +56,24 @@ from sedimenta.sources.storage import Load, Store, observe
 class Options:
     """Choices between the intended semantics (defaults) and historic ones.
 
-    dedupe_keys      ("id",) keeps a reading collected twice as two rows;
-                     ("city", "data_timestamp") makes it one
+    dedupe_keys      a reading collected twice is one row, the copy collected first,
+                     whichever loads its copies are in; ("id",) keeps both
     falsy_as_null    0 and '' in a payload count as missing
     null_safe_days   False: a stored NULL sunrise or sunset is not filled by itself
     local_day        days at the reading's own offset instead of UTC
     calendar         [first, end) dates outside which a reading is rejected
     shifted_wind     silver wind columns out of step, as once loaded by position
-    by_load          an increment is the loads not yet taken over, instead of the
-                     rows above the mark: nothing is lost that arrives late
+    by_load          an increment is the loads not yet taken over: nothing is lost that
+                     arrives late; False: the rows above the mark, as once
     """
 
-    dedupe_keys: tuple[str, ...] = ("id",)
+    dedupe_keys: tuple[str, ...] = ("city", "data_timestamp")
     falsy_as_null: bool = False
     null_safe_days: bool = True
     local_day: bool = False
     calendar: tuple[date, date] | None = None
     shifted_wind: bool = False
-    by_load: bool = False
+    by_load: bool = True
 
 
 @dataclass(frozen=True)
@@ -85,8 +88,7 @@ class Progress:
 
     def next_load(self, table: Table) -> Load:
         """Loads are numbered per step, so a failed one gets its number again."""
-        last, at = self.of(table, "load_id"), self.of(table, "recorded_at")
-        return Load((last or 0) + 1, str(at or ""))
+        return Load((self.of(table, "load_id") or 0) + 1)
 
 
 class Warehouse:
@@ -107,7 +109,8 @@ class Warehouse:
             self.spark.catalog.refreshTable(self.store.name(table))
 
     def audit(self) -> DataFrame:
-        return self.store.read(LOAD_LOG)
+        """The committed loads."""
+        return self.store.read(LOAD_LOG).where(~F.col("step").endswith(OPEN))
 
     # ---- log ---------------------------------------------------------------
 
@@ -134,14 +137,15 @@ class Warehouse:
         done = (F.col("step") == step) & (F.col("batch_key") == batch_key)
         return not self.audit().where(done).isEmpty()
 
-    def _increment(self, source: Table, target: Table, progress: Progress) -> DataFrame:
-        """Committed source rows newer than the target's mark.
+    def _increment(
+        self, source: Table, target: Table, progress: Progress, newest_load: int | None
+    ) -> DataFrame:
+        """Committed source rows up to a load that the target has not taken over.
 
-        The log knows the newest collected_at of every source load, so the
-        folders of older loads are not opened.
+        By mark, the log knows the newest collected_at of every source load, so
+        the folders of older loads are not opened.
         """
         rows = self.table(source)
-        newest_load = progress.of(source, "load_id")
         if newest_load is None:
             return rows.where(F.lit(False))
         if self.options.by_load:
@@ -156,6 +160,12 @@ class Warehouse:
         open_loads = rows.where(F.col("load_id").between(first_load, newest_load))
         return newer_than(open_loads, "collected_at", mark)
 
+    def _open_gold(self, progress: Progress) -> Row | None:
+        """The gold load that was begun and not committed."""
+        begun = F.col("step") == f"gold{OPEN}"
+        following = F.col("load_id") == progress.next_load(FACT_HOURLY).load_id
+        return self.store.read(LOAD_LOG).where(begun & following).sort("recorded_at").first()
+
     def _commit(self, load: Load, step: str, batch_key: str | None, rows: list[dict]) -> None:
         common = {
             "load_id": load.load_id,
@@ -183,7 +193,8 @@ class Warehouse:
         flat = landing.flatten(landing.parse(documents), self.options.falsy_as_null)
         seen, watched = observe(flat, rejected=F.count_if(F.col("reject_reason").isNotNull()))
         after = progress.of(BRONZE, "max_key") or 0
-        newest = landing.latest_landed(landing.good_documents(watched))
+        # The documents are read and parsed once; numbering reads the stored rows.
+        newest = landing.first_landed(landing.good_documents(watched))
         entry = self._write_bronze(landing.bronze_rows(newest, after), load, many_months)
         # The second read of the documents is made only when something was rejected.
         if seen.get["rejected"]:
@@ -226,9 +237,10 @@ class Warehouse:
         progress = self._progress()
         load = progress.next_load(SILVER)
         options = self.options
+        newest_load = progress.of(BRONZE, "load_id")
         tagged = clean.conform(
-            self._increment(BRONZE, SILVER, progress).drop("p_month", "load_id"),
-            options.dedupe_keys,
+            self._increment(BRONZE, SILVER, progress, newest_load).drop("p_month", "load_id"),
+            (),
             calendar=options.calendar,
             shifted_wind=options.shifted_wind,
         ).withColumn("created_at", _now())
@@ -241,9 +253,13 @@ class Warehouse:
                 rejected=F.count_if(F.col("reject_reason").isNotNull()),
                 newest=F.max("collected_at"),
             )
+            valid = with_month(clean.valid_rows(watched), "data_timestamp")
+            copies = self._copies(tagged, load, progress)
+            if copies is not None:
+                valid = valid.join(copies, "id", "left_anti")
             written = self.store.write_load(
                 SILVER,
-                with_month(clean.valid_rows(watched), "data_timestamp"),
+                valid,
                 load.load_id,
                 many_months,
                 newest=F.max("collected_at"),
@@ -266,35 +282,83 @@ class Warehouse:
             "rejected": rejected,
             "mark_high": written["newest"],
             "scanned_high": scan.get["newest"],
-            "source_load": progress.of(BRONZE, "load_id"),
+            "source_load": newest_load,
         }
         self._commit(load, "silver", batch_key, [entry])
 
+    def _copies(self, tagged: DataFrame, load: Load, progress: Progress) -> DataFrame | None:
+        """Ids of valid readings that are copies, of one in the increment or of a stored one.
+
+        Of the copies in an increment the one collected first stays. Only keys and ids
+        are shuffled, and of the stored rows only the months of the increment are
+        read; rows with a NULL key are nobody's copies. None when there are no copies.
+        """
+        keys = list(self.options.dedupe_keys)
+        if not keys or keys == ["id"]:
+            return None  # bronze numbered the rows itself
+        whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        valid = clean.valid_rows(tagged).where(whole)
+        narrow = stored(
+            with_month(valid, "data_timestamp").select("id", *keys, "collected_at", "p_month"),
+            "reading-keys",
+        )
+        months = narrow.agg(F.collect_set("p_month")).first()[0]
+        taken = self.table(SILVER).where(
+            F.col("p_month").isin(months) & (F.col("load_id") < load.load_id)
+        )
+        age = F.struct(F.col("collected_at").isNull(), "collected_at", "id")
+        firsts = narrow.groupBy(*keys).agg(F.min_by("id", age).alias("id"))
+        fresh = firsts.join(taken.select(*keys), keys, "left_anti").select("id")
+        copies = stored(narrow.select("id").join(fresh, "id", "left_anti"), "reading-copies")
+        return None if copies.isEmpty() else copies
+
     # ---- silver -> gold ----------------------------------------------------
 
     def load_gold(self, batch_key: str | None = None, many_months: bool = False) -> None:
-        """Bring dimensions and facts up to silver. The hourly fact, which holds
-        the mark, is written last; all writes before it can be repeated."""
+        """Bring dimensions and facts up to silver.
+
+        The hourly fact, which holds the mark, is written last; all writes before
+        it can be repeated. A load that failed is first repeated with its own
+        input; what silver has taken in since is a load after it.
+        """
         if self._committed("gold", batch_key):
             return
         progress = self._progress()
+        begun = self._open_gold(progress)
+        if begun is not None:
+            self._gold(begun, progress, many_months)
+            progress = self._progress()
+            taken = begun["source_load"] == progress.of(SILVER, "load_id")
+            if taken or self._committed("gold", batch_key):
+                return
         load = progress.next_load(FACT_HOURLY)
-        increment = self._increment(SILVER, FACT_HOURLY, progress)
+        source = {"table_name": FACT_HOURLY.full_name, "source_load": progress.of(SILVER, "load_id")}
+        self._commit(load, f"gold{OPEN}", batch_key, [source])
+        self._gold(self._open_gold(progress), progress, many_months)
+
+    def _gold(self, begun: Row, progress: Progress, many_months: bool) -> None:
+        load = Load(begun["load_id"], str(begun["recorded_at"]))
+        newest_load = begun["source_load"]
+        increment = self._increment(SILVER, FACT_HOURLY, progress, newest_load)
         increment = increment.drop("p_month", "load_id", "created_at")
+        # One narrow pass serves the dimensions and the daily fact, one wide pass the
+        # hourly fact.
+        days, _ = self.store.stage(
+            "city_days", star.city_days(increment, self.options.local_day), load
+        )
         entries = [
-            self._load_locations(increment, load),
-            self._load_conditions(increment),
-            self._load_days(increment, load),
-            self._load_hourly(increment, load, many_months)
-            | {"source_load": progress.of(SILVER, "load_id")},
+            self._load_locations(days, load),
+            self._load_conditions(days, load),
+            self._load_days(days, load),
+            self._load_hourly(increment, load, many_months) | {"source_load": newest_load},
         ]
-        self._commit(load, "gold", batch_key, entries)
+        self._commit(load, "gold", begun["batch_key"], entries)
         self.store.unstage(load)
 
-    def _load_locations(self, increment: DataFrame, load: Load) -> dict:
+    def _load_locations(self, days: DataFrame, load: Load) -> dict:
         """New cities are appended; only a moved city makes the table be rewritten."""
         dim = self.table(DIM_LOCATION)
-        merged = touched_rows(star.merge_locations(dim, increment, whole=False))
+        merged = touched_rows(star.merge_newest(dim, star.locations_of(days), whole=False))
         changes, counts = self.store.stage(
             "locations", _stamp_inserts(merged), load, **op_measures()
         )
@@ -307,16 +371,19 @@ class Warehouse:
             self.store.append(DIM_LOCATION, changes.join(dim, "city", "left_anti"))
         return _entry(DIM_LOCATION, counts["inserted"], counts["updated"])
 
-    def _load_conditions(self, increment: DataFrame) -> dict:
+    def _load_conditions(self, days: DataFrame, load: Load) -> dict:
+        dim = self.table(DIM_CONDITION)
         new = insert_if_absent(
-            self.table(DIM_CONDITION), increment, "weather_condition", "weather_condition_id"
+            dim, star.conditions_of(days), "weather_condition", "weather_condition_id"
         )
-        seen, rows = observe(new.withColumn("created_at", _now()))
-        self.store.append(DIM_CONDITION, rows)
-        return _entry(DIM_CONDITION, seen.get["row_count"])
+        rows, seen = self.store.stage("conditions", new.withColumn("created_at", _now()), load)
+        if seen["row_count"]:
+            # A failed attempt may have appended them already.
+            self.store.append(DIM_CONDITION, rows.join(dim, "weather_condition", "left_anti"))
+        return _entry(DIM_CONDITION, seen["row_count"])
 
-    def _load_days(self, increment: DataFrame, load: Load) -> dict:
-        source = star.day_source(increment, self.table(DIM_LOCATION), self.options.local_day)
+    def _load_days(self, days: DataFrame, load: Load) -> dict:
+        source = star.day_source_of(days, self.table(DIM_LOCATION))
         # A reading without a known city cannot be a row of the fact.
         known = source.where(F.col("location_id").isNotNull()).drop("city")
         rows, span = self.store.stage(
@@ -356,13 +423,24 @@ class Warehouse:
     # ---- checks ------------------------------------------------------------
 
     def check(self) -> DataFrame:
-        """Violations of every declared constraint of every table."""
+        """Violations of every declared constraint of every table, and the readings that
+        gold has taken over without an hourly row."""
         stored = {table.full_name: self.table(table) for table in TABLES}
         checks = [
             check_table(stored[table.full_name], table, stored)
             for table in TABLES
             if table.unique or table.required or table.references
         ]
+        taken = self._progress().of(FACT_HOURLY, "source_load") or 0
+        silver = self.table(SILVER).where(F.col("load_id") <= taken).select("id")
+        lost = silver.join(self.table(FACT_HOURLY).select("id"), "id", "left_anti")
+        checks.append(
+            lost.agg(F.count(F.lit(1)).alias("violations")).select(
+                F.lit(FACT_HOURLY.full_name).alias("table_name"),
+                F.lit("every silver id").alias("constraint_name"),
+                "violations",
+            )
+        )
         return reduce(DataFrame.unionByName, checks)
 
     # ---- whole runs --------------------------------------------------------
@@ -380,17 +458,28 @@ class Warehouse:
 
     def replay(self, path: str, layout: str = "landed") -> DataFrame:
         """Rebuild every table from the landed documents, one landing month after
-        the other, so that a step never holds more than a month."""
-        self.store.drop_tables(TABLES, delete_files=True)
-        self.store.create_tables()
+        the other, so that a step never holds more than a month.
+
+        The new tables grow beside the old ones and take their place when the last
+        month is committed; a replay that fails leaves the old tables as they were.
+        """
+        months = landing.landing_months(self.spark, path, layout)
         documents = landing.read_landed(self.spark, path, layout)
-        for month in landing.landing_months(self.spark, path, layout):
+        mark = uuid.uuid4().hex[:10]
+        beside = Warehouse(
+            self.spark, f"{self.store.root}/replay-{mark}", f"r{mark}_", self.options
+        )
+        for month in months:
             end = F.add_months(F.lit(month), 1)
             part = documents.where((F.col("ingest_date") >= month) & (F.col("ingest_date") < end))
-            self.run(part, f"replay {month:%Y-%m}", many_months=True)
+            beside.run(part, f"replay {month:%Y-%m}", many_months=True)
+        self.store.replace_with(beside.store)
         return self.audit()
 
 
+OPEN = " open"  # ends the step's name in the log rows that fix a load's input
+
+
 def _now() -> Column:
     """The time of the run: one literal, the same on every retried task."""
     return sql_timestamp(datetime.now(timezone.utc).replace(tzinfo=None))

@@ -11,13 +11,13 @@ from dataclasses import dataclass
 # JSON numbers are read as DOUBLE, so that "87" and "87.0" both parse; flatten()
 # casts them to the bronze types.
 PAYLOAD_DDL = """
-dt BIGINT, timezone BIGINT, name STRING,
+dt DOUBLE, timezone DOUBLE, name STRING,
 coord STRUCT<lon: DOUBLE, lat: DOUBLE>,
 main STRUCT<temp: DOUBLE, pressure: DOUBLE, humidity: DOUBLE, sea_level: DOUBLE, grnd_level: DOUBLE>,
 wind STRUCT<speed: DOUBLE, deg: DOUBLE, gust: DOUBLE>,
 clouds STRUCT<all: DOUBLE>,
 weather ARRAY<STRUCT<main: STRING, description: STRING>>,
-sys STRUCT<country: STRING, sunrise: BIGINT, sunset: BIGINT>,
+sys STRUCT<country: STRING, sunrise: DOUBLE, sunset: DOUBLE>,
 _corrupt_record STRING
 """
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -55,5 +55,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Written once to the shared folder and read from there: several steps can use the
+    rows without computing them again, and a lost executor costs only the steps after."""
+    spark = df.sparkSession
+    path = fresh_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/sedimenta/{purpose}-{uuid.uuid4().hex}"

@@ -69,15 +69,17 @@ def as_documents(df: DataFrame, document: Column, landed_at: datetime | str | Co
     )
 
 
-def land(documents: DataFrame, path: str) -> None:
+def land(documents: DataFrame, path: str, rows_per_file: int = 200_000) -> None:
     """Append documents, verbatim, under ingest_date=.../ as JSON lines.
 
-    Nothing is replaced on write; reading keeps the latest copy per reading.
+    Nothing is replaced on write. A gzip file is read by one task, so files are bounded:
+    200,000 documents are about 100 MB of text.
     """
     (
         documents.select("document", "landed_at", "ingest_date")
         .write.mode("append")
         .partitionBy("ingest_date")
+        .option("maxRecordsPerFile", rows_per_file)
         .option("compression", "gzip")
         .json(path)
     )
@@ -167,6 +169,8 @@ def flatten(parsed: DataFrame, falsy_as_null: bool = False) -> DataFrame:
         value = F.col(path)
         if c in _DOUBLES:
             value = nan_to_null(value)
+        elif dtype in _INTEGERS:
+            value = value.try_cast("bigint")
         if falsy_as_null:
             value = falsy_to_null(value, dtype)
         return value.alias(c)
@@ -183,7 +187,8 @@ def flatten(parsed: DataFrame, falsy_as_null: bool = False) -> DataFrame:
     epochs = {c: epoch_to_ntz(F.col(c)) for c, t in _TYPES.items() if t == "epoch"}
     reason = (
         F.when(F.col("_corrupt").isNotNull(), "malformed")
-        .when(epochs["data_timestamp"].isNull(), "data_timestamp missing")
+        .when(F.col("data_timestamp").isNull(), "data_timestamp missing")
+        .when(epochs["data_timestamp"].isNull(), "data_timestamp out of range")
         .otherwise(F.concat(F.lit("overflow: "), too_big))
     )
     typed = {c: F.col(c).try_cast(t) for c, t in _TYPES.items() if t.startswith("decimal")}
@@ -212,6 +217,24 @@ def latest_landed(flat: DataFrame) -> DataFrame:
     return latest_rows(slim, keys, ["landed_at", "_tie"]).drop("_tie")
 
 
+def first_landed(flat: DataFrame) -> DataFrame:
+    """One row per city, landing day and reading time: the first one landed.
+
+    A load takes a reading over once and later copies never replace it, so loading step
+    by step and replaying all that was landed give the same rows.
+    """
+    slim = flat.withColumns(
+        {
+            "_tie": F.xxhash64("document"),
+            "_age": F.timestamp_diff(
+                "MICROSECOND", F.col("landed_at"), sql_timestamp("1970-01-01 00:00:00")
+            ),
+        }
+    ).drop("document", "source_file")
+    keys = ["city", "ingest_date", "data_timestamp"]
+    return latest_rows(slim, keys, ["_age", "_tie"]).drop("_tie", "_age")
+
+
 def bronze_rows(good: DataFrame, after: int = 0) -> DataFrame:
     """Bronze columns with dense ids; the landing time is the collection time.
 

@@ -36,6 +36,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    files, hadoop = _hadoop_path(spark, source)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(goal.getParent())
+    if not files.rename(hadoop, goal):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     files, hadoop = _hadoop_path(spark, path)
     files.delete(hadoop, True)
@@ -43,12 +51,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 @dataclass(frozen=True)
 class Load:
-    """One load of one step. `follows` is the time of the step's commit before it,
-    which tells its scratch files from those of an earlier warehouse at the same
-    root; it is empty for the first load."""
+    """One load of one step. `opened` is the time at which its input was fixed, which
+    tells its scratch files from those of an earlier warehouse at the same root."""
 
     load_id: int
-    follows: str = ""
+    opened: str = ""
 
 
 @dataclass(frozen=True)
@@ -103,6 +110,30 @@ class Store:
             if delete_files:
                 delete_path(self.spark, self.location(table))
 
+    def replace_with(self, other: Store, tables: Iterable[Table] = TABLES) -> None:
+        """Put the other store's tables in the place of this one's.
+
+        Folders are moved, old ones aside first; these are deleted last, so a break in
+        between leaves both copies to be found.
+        """
+        tables = list(tables)
+        aside = f"{other.root}-before"
+        for table in tables:
+            for store in (self, other):
+                self.spark.sql(f"DROP TABLE IF EXISTS {store.name(table)}")
+            if path_exists(self.spark, self.location(table)):
+                move_path(self.spark, self.location(table), f"{aside}/{table.layer}/{table.name}")
+        for table in tables:
+            if path_exists(self.spark, other.location(table)):
+                move_path(self.spark, other.location(table), self.location(table))
+        self.create_tables(tables)
+        for table in tables:
+            self.spark.catalog.refreshTable(self.name(table))
+        for layer in {table.layer for table in tables}:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {other.database(layer)}")
+        for folder in (aside, other.root):
+            delete_path(self.spark, folder)
+
     def read(self, table: Table) -> DataFrame:
         return self.spark.table(self.name(table))
 
@@ -138,10 +169,12 @@ class Store:
     ) -> dict:
         """Append as the rows of one load; returns what was observed while writing.
 
-        The load is a partition, so repeating it after a failure replaces the
-        rows of the failed attempt. `many_months` (a backfill) first gathers each
-        month's rows; REBALANCE splits a month that is larger than a good file.
+        The load is a partition. What a failed attempt under its number has left,
+        in whatever months, is removed first. `many_months` (a backfill) first
+        gathers each month's rows; REBALANCE splits a month that is larger than a
+        good file.
         """
+        self.clear_load(table, load_id)
         placed = rows.withColumn("load_id", F.lit(load_id).cast("bigint"))
         if many_months and "p_month" in dict(table.partition_by):
             placed = placed.hint("rebalance", "p_month")
@@ -149,6 +182,20 @@ class Store:
         self.overwrite_partitions(table, placed)
         return observed.get
 
+    def clear_load(self, table: Table, load_id: int) -> None:
+        """Remove all folders of a load that was not committed."""
+        levels = [c for c, _ in table.partition_by]
+        pattern = "/".join(f"load_id={load_id}" if c == "load_id" else f"{c}=*" for c in levels)
+        files, folders = _hadoop_path(self.spark, f"{self.location(table)}/{pattern}")
+        left = [status.getPath() for status in files.globStatus(folders) or ()]
+        for folder in left:
+            steps = folder.toString().split("/")[-len(levels) :]
+            spec = ", ".join("{}='{}'".format(*step.split("=", 1)) for step in steps)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({spec})")
+            files.delete(folder, True)
+        if left:
+            self.spark.catalog.refreshTable(self.name(table))
+
     def stage(
         self, name: str, rows: DataFrame, load: Load, **measures: Column
     ) -> tuple[DataFrame, dict]:
@@ -161,7 +208,7 @@ class Store:
         """
         path = f"{self._staging(load)}/{name}"
         staged = self.spark.read.schema(rows.schema)
-        if load.follows and path_exists(self.spark, f"{path}/_SUCCESS"):
+        if path_exists(self.spark, f"{path}/_SUCCESS"):
             copy = staged.parquet(path)
             seen, watched = observe(copy, **measures)
             watched.write.format("noop").mode("overwrite").save()
@@ -174,7 +221,7 @@ class Store:
         delete_path(self.spark, self._staging(load))
 
     def _staging(self, load: Load) -> str:
-        owner = hashlib.md5(f"{self.root} {load.follows}".encode()).hexdigest()[:16]
+        owner = hashlib.md5(f"{self.root} {load.opened}".encode()).hexdigest()[:16]
         return f"{shared_folder(self.spark)}/sedimenta/staging-{owner}/{load.load_id}"
 
 

@@ -26,7 +26,8 @@ def stream_increments(
 
     The checkpoint decides which files are new. Each micro-batch is keyed by its
     number in the load log, so a batch that is delivered again after a failure
-    continues at its first uncommitted step. Increments go by load, not by mark:
+    continues at its first uncommitted step. A backlog may hold many months, so each
+    month's rows are gathered before they are written. Increments go by load, not by mark:
     a file that arrives late is loaded all the same. Without `every`, the stream
     stops when all present files are loaded. Call warehouse.refresh() before
     reading the tables: the batches run in a session of their own.
@@ -39,7 +40,7 @@ def stream_increments(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         own = Warehouse(batch.sparkSession, store.root, store.prefix, options)
-        own.run(batch, batch_key=f"{name} {batch_id}")
+        own.run(batch, batch_key=f"{name} {batch_id}", many_months=True)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (

@@ -93,7 +93,7 @@ def test_zeros_are_kept_unless_falsy_counts_as_missing(spark):
         ("", "data_timestamp missing"),
         ("[]", "malformed"),
         (payload(dt=None), "data_timestamp missing"),
-        (payload(dt=10**17), "data_timestamp missing"),
+        (payload(dt=10**17), "data_timestamp out of range"),
         (payload(dt="soon"), "malformed"),
         (payload(main={"temp": 999.995}), "overflow: temperature"),
         (payload(main={"temp": -1e30}), "overflow: temperature"),

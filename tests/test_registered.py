@@ -9,7 +9,7 @@ import __spark_entry__ as contract
 from checks import queries
 from checks.compare import differences, duck
 
-NAMES = list(contract.queries())
+NAMES = [query.__name__ for query in queries.ALL]
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +18,7 @@ def connection(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -54,8 +54,8 @@ def test_top_one_is_limited_before_the_shuffle(spark, sf_dir):
 def test_scans_read_the_needed_columns(spark, sf_dir):
     plan = plan_of(spark, sf_dir, "partition_counts")
     assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in plan
-    plan = plan_of(spark, sf_dir, "key_insert_scale")
-    assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan
+    plan = plan_of(spark, sf_dir, "month_range_read")
+    assert "PushedFilters: [IsNotNull(l_shipdate)" in plan
 
 
 def test_entry_runs(spark):

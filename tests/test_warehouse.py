@@ -105,7 +105,19 @@ def test_a_new_session_finds_the_tables(loaded):
     )
 
 
-@pytest.mark.parametrize("step", ["days", "hourly", "commit"])
+def failing_commit(warehouse, step):
+    """The commit of one step fails; the log rows that open a load are written."""
+    commit = warehouse._commit
+
+    def fail(load, done, *rest):
+        if done == step:
+            raise RuntimeError("driver lost")
+        commit(load, done, *rest)
+
+    return fail
+
+
+@pytest.mark.parametrize("step", ["locations", "conditions", "days", "hourly", "commit"])
 def test_failed_load_is_repeated_without_loss_or_copies(spark, parts, loaded, root, step, monkeypatch):
     warehouse = increments(Warehouse(spark, root, f"crash_{step}_"), parts[0])
     warehouse.append_readings(parts[1])
@@ -116,7 +128,7 @@ def test_failed_load_is_repeated_without_loss_or_copies(spark, parts, loaded, ro
 
     with monkeypatch.context() as patch:
         if step == "commit":
-            patch.setattr(warehouse, "_commit", fail)
+            patch.setattr(warehouse, "_commit", failing_commit(warehouse, "gold"))
         else:
             patch.setattr(warehouse, f"_load_{step}", fail)
         with pytest.raises(RuntimeError):
@@ -131,21 +143,133 @@ def test_failed_load_is_repeated_without_loss_or_copies(spark, parts, loaded, ro
     counts = lambda w: sorted(
         (r["table_name"], r["inserted"], r["updated"])
         for r in w.audit().where("step = 'gold' and load_id > 1").collect()
-        # Conditions appended by the failed attempt are not counted again.
-        if r["table_name"] != DIM_CONDITION.full_name
     )
     assert counts(warehouse) == counts(loaded)
 
 
+@pytest.mark.parametrize("step", ["locations", "conditions", "days", "hourly", "commit"])
+def test_silver_that_comes_between_attempts_is_the_next_load(spark, parts, root, step, monkeypatch):
+    warehouse = increments(Warehouse(spark, root, f"between_{step}_"), parts[0])
+    warehouse.append_readings(parts[1])
+    warehouse.transform()
+    with monkeypatch.context() as patch:
+        if step == "commit":
+            patch.setattr(warehouse, "_commit", failing_commit(warehouse, "gold"))
+        else:
+
+            def fail(*args):
+                raise RuntimeError("executor lost")
+
+            patch.setattr(warehouse, f"_load_{step}", fail)
+        with pytest.raises(RuntimeError):
+            warehouse.load_gold()
+    later = parts[0].where("id % 2 = 0").withColumns(
+        {"id": F.expr("id + 1000000"), "city": F.concat(F.lit("new "), F.trim("city"))}
+    )
+    warehouse.append_readings(later)
+    warehouse.transform()
+    for _ in range(2):
+        warehouse.load_gold()
+    assert warehouse.store.count(FACT_HOURLY) == warehouse.store.count(SILVER)
+    assert [r for r in warehouse.check().collect() if r["violations"]] == []
+    days = warehouse.table(SILVER).select("city", F.to_date("data_timestamp")).distinct().count()
+    assert warehouse.store.count(FACT_DAY) == days
+
+
+def by_month(readings, month):
+    """The readings moved to another month."""
+    moved = {c: F.expr(f"{c} + interval {month} months") for c in ("data_timestamp", "collected_at")}
+    return readings.withColumns(moved)
+
+
+@pytest.mark.parametrize("step", ["bronze", "silver", "gold"])
+def test_nothing_of_a_failed_attempt_in_other_months_stays(spark, parts, root, step, monkeypatch):
+    warehouse = Warehouse(spark, root, f"months_{step}_")
+    first, other = by_month(parts[0], 0), by_month(parts[1], 3)
+
+    def attempt(readings):
+        if step == "bronze":
+            warehouse.append_readings(readings)
+            return
+        rows = warehouse.store
+        number = 7 if step == "silver" else 9
+        table = SILVER if step == "silver" else FACT_HOURLY
+        shaped = rows.read(table).limit(0)
+        made = readings.select(
+            *[
+                (F.col(c) if c in readings.columns else F.lit(None)).cast(shaped.schema[c].dataType).alias(c)
+                for c, _ in table.columns
+            ]
+        ).withColumn("p_month", F.date_format("data_timestamp", "yyyy-MM"))
+        rows.write_load(table, made, number)
+
+    with monkeypatch.context() as patch:
+        if step == "bronze":
+            patch.setattr(warehouse, "_commit", failing_commit(warehouse, "bronze"))
+            with pytest.raises(RuntimeError):
+                attempt(first)
+        else:
+            attempt(first)
+    attempt(other)
+    table = {"bronze": BRONZE, "silver": SILVER, "gold": FACT_HOURLY}[step]
+    assert warehouse.store.count(table) == other.count()
+    if step == "bronze":
+        logged = warehouse.audit().where("step = 'bronze'").first()["inserted"]
+        assert logged == warehouse.store.count(BRONZE)
+
+
+def test_a_failed_replay_leaves_the_tables(spark, parts, root, monkeypatch):
+    path = fresh_folder(spark, "landing")
+    warehouse = Warehouse(spark, root, "safe_")
+    for part in (parts[0], by_month(parts[1], 2)):
+        landing.land(_documents(part), path)
+    warehouse.run(_documents(parts[0]))
+    before = content(warehouse, FACT_HOURLY)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        warehouse.replay(path + "-missing")
+    assert content(warehouse, FACT_HOURLY) == before
+    run = Warehouse.run
+
+    def fail_second(self, documents, batch_key=None, many_months=False):
+        if batch_key == "replay 2024-03":
+            raise RuntimeError("driver lost")
+        return run(self, documents, batch_key, many_months)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "run", fail_second)
+        with pytest.raises(RuntimeError):
+            warehouse.replay(path)
+    assert content(warehouse, FACT_HOURLY) == before
+    warehouse.replay(path)
+    assert warehouse.store.count(FACT_HOURLY) > len(before)
+
+
+def test_landing_bounds_rows_per_file_and_streams_write_few_files(spark, parts, root):
+    path, checkpoint = fresh_folder(spark, "landing"), fresh_folder(spark, "checkpoint")
+    months = parts[0].limit(240).withColumn("_m", F.col("id") % 24)
+    shifted = {
+        c: F.expr(f"add_months({c}, cast(_m as int)) + make_dt_interval(0, hour({c}))")
+        for c in ("data_timestamp", "collected_at")
+    }
+    readings = months.withColumns(shifted).withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in shifted}
+    )
+    landing.land(_documents(readings).coalesce(1), path, rows_per_file=3)
+    rows = landing.read_landed(spark, path).groupBy("source_file").count()
+    assert rows.agg(F.max("count")).first()[0] <= 3
+    warehouse = Warehouse(spark, root, "backlog_")
+    stream_increments(warehouse, path, checkpoint, files_per_batch=10_000).awaitTermination()
+    warehouse.refresh()
+    files = warehouse.table(BRONZE).select("p_month", F.input_file_name().alias("file")).distinct()
+    assert files.groupBy("p_month").count().agg(F.max("count")).first()[0] == 1
+
+
 def test_failed_silver_write_is_replaced(spark, parts, loaded, root, monkeypatch):
     warehouse = Warehouse(spark, root, "silver_crash_")
     warehouse.append_readings(parts[0])
     with monkeypatch.context() as patch:
 
-        def fail(*args):
-            raise RuntimeError("driver lost")
-
-        patch.setattr(warehouse, "_commit", fail)
+        patch.setattr(warehouse, "_commit", failing_commit(warehouse, "silver"))
         with pytest.raises(RuntimeError):
             warehouse.transform()
     warehouse.transform()
