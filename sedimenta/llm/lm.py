@@ -44,7 +44,7 @@ BASES = {1: 2**0.25, 2: 2.0}  # of the levels, by order
 PRIOR = 8.0
 BLOCK_WORDS = 8_000_000
 _TOKENS_AT_ONCE = 2_000_000
-_REMEMBERED = 400_000
+_REMEMBERED = 250_000
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 END = xxhash.xxh3_64_intdigest(b"\nend")  # no word holds a newline
 START = xxhash.xxh3_64_intdigest(b"\nstart")
@@ -364,7 +364,9 @@ def _word_block(model: Model, block: int, blocks: int) -> tuple[np.ndarray, np.n
     ).select("h", F.col("n"))
     table = rows.toArrow()
     h, n = table.column("h"), table.column("n")
-    return h.to_numpy().view(np.uint64), n.to_numpy()
+    n = n.to_numpy()
+    small = len(n) == 0 or n.max() < 1 << 32
+    return h.to_numpy().view(np.uint64), n.astype(np.uint32) if small else n
 
 
 def score(
