@@ -31,6 +31,7 @@ BINS = 400
 RIDGE = 1e-3
 WIDTH = 4.0  # of the kernel, in standard deviations
 SEED = 20240607
+ORDER = 0.01  # share of the ridge score in a score, so that equal probabilities keep their order
 _LOW, _HIGH = -0.5, 1.5  # ridge scores are held within
 
 
@@ -39,7 +40,7 @@ class Model:
     mean: np.ndarray
     scale: np.ndarray
     ridge: np.ndarray
-    knots: np.ndarray  # rising ridge scores
+    knots: np.ndarray  # rising ridge scores, one per bin
     heights: np.ndarray  # their probabilities, never falling
 
     def raw(self, stats: np.ndarray) -> np.ndarray:
@@ -49,7 +50,9 @@ class Model:
     def score(self, stats: np.ndarray) -> np.ndarray:
         if not len(self.knots):
             return np.full(len(stats), 0.5)
-        return np.interp(self.raw(stats), self.knots, self.heights)
+        raw = self.raw(stats)
+        rising = (raw - _LOW) / (_HIGH - _LOW)
+        return (1 - ORDER) * np.interp(raw, self.knots, self.heights) + ORDER * rising
 
 
 def projections() -> tuple[np.ndarray, np.ndarray]:
@@ -84,24 +87,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(-1, DOCUMENT_STATS)
 
 
-def isotonic(
-    at: np.ndarray, counts: np.ndarray, ones: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Pools adjacent bins until the shares of ones never fall.
-
-    Returns the centre and the share of every block: scores between two centres are
-    interpolated, so different ridge scores seldom meet in one probability.
-    """
-    blocks: list[list[float]] = []  # ones, rows, sum of scores
-    for score, n, k in zip(at, counts, ones):
-        blocks.append([k, n, score * n])
+def isotonic(counts: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """The share of ones of each bin after adjacent bins are pooled until it never falls."""
+    blocks: list[list[float]] = []  # ones, rows, bins
+    for n, k in zip(counts, ones):
+        blocks.append([k, n, 1])
         while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
             last = blocks.pop()
             blocks[-1] = [a + b for a, b in zip(blocks[-1], last)]
-    return (
-        np.array([total / n for _, n, total in blocks]),
-        np.array([k / n for k, n, _ in blocks]),
-    )
+    return np.concatenate([np.full(int(bins), k / n) for k, n, bins in blocks])
 
 
 def fit(labelled: DataFrame, label: str = "quality") -> Model:
@@ -160,8 +154,8 @@ def fit(labelled: DataFrame, label: str = "quality") -> Model:
         .orderBy("bin")
         .collect()
     )
-    knots, heights = isotonic(*(np.array([b[c] for b in bins], float) for c in ("at", "n", "ones")))
-    return Model(mean, scale, ridge, knots, heights)
+    at, n, ones = (np.array([b[c] for b in bins], float) for c in ("at", "n", "ones"))
+    return Model(mean, scale, ridge, at, isotonic(n, ones))
 
 
 def score(df: DataFrame, model: Model, stats: str = "stats", into: str = "score") -> DataFrame:
