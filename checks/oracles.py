@@ -539,6 +539,16 @@ select t as table_name, cast(part as bigint) as increment, count(*) as row_count
   cast(1 as bigint) as times, cast(0 as bigint) as missing
 from silver_loads, (values ('silver.transform_weather_data'), ('gold.fact_weather_hourly')) as v(t)
 group by t, part""",
+    "load_profile": _TWO_LOAD_COUNTS
+    + " union all ".join(
+        f"""
+select cast(part as bigint) as increment, 'silver.transform_weather_data' as table_name,
+  '{c}' as column_name, count(*) as row_count, count(*) - count({c}) as null_count,
+  round((count(*) - count({c})) / count(*), 6) as null_rate,
+  cast(min({c}) as double) as min_value, cast(max({c}) as double) as max_value
+from silver_loads group by part"""
+        for c in _MEASURES.split(", ")
+    ),
     "dropped_table": """
 select false as files_deleted, true as dropped, count(*) as row_count from events
 union all select true, true, 0""",

@@ -19,6 +19,7 @@ from sedimenta.schemas import (
     DIM_LOCATION,
     FACT_DAY,
     FACT_HOURLY,
+    LOAD_PROFILE,
     MEASURES,
     SILVER,
     SILVER_REJECTS,
@@ -651,6 +652,13 @@ class _FailingHourly(Warehouse):
         raise InterruptedError("stopped before the hourly fact")
 
 
+def load_profile(spark, sf_dir):
+    """What every load of silver has stored about its columns."""
+    return _loaded_warehouse(spark, sf_dir).table(LOAD_PROFILE).withColumnRenamed(
+        "load_id", "increment"
+    )
+
+
 def stored_created_at(spark, sf_dir):
     """created_at has one value per load and is never NULL."""
     warehouse = _loaded_warehouse(spark, sf_dir)
@@ -787,6 +795,7 @@ ALL = (
     stored_daily_summary,
     stored_counts,
     stored_created_at,
+    load_profile,
     dropped_table,
     silver_business_key_two_loads,
     replay_landed_twice,

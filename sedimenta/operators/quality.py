@@ -109,9 +109,17 @@ def check_table(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -
         counted(unique_violations(df, keys), f"unique({', '.join(keys)})")
         for keys in table.unique
     ]
-    checks += [
-        counted(df.where(F.col(c).isNull()), f"not null({c})") for c in table.required
-    ]
+    if table.required:
+        # One pass for all of them.
+        missing = [
+            F.struct(
+                F.lit(table.full_name).alias("table_name"),
+                F.lit(f"not null({c})").alias("constraint_name"),
+                F.count_if(F.col(c).isNull()).alias("violations"),
+            )
+            for c in table.required
+        ]
+        checks.append(df.agg(F.array(*missing).alias("found")).select(F.inline("found")))
     checks += [
         counted(
             orphan_rows(df, r.column, parents[r.table], r.table_column),

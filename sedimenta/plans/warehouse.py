@@ -32,7 +32,7 @@ from sedimenta.operators.merge import (
     touched_rows,
 )
 from sedimenta.operators.partitions import with_month
-from sedimenta.operators.quality import check_table
+from sedimenta.operators.quality import check_table, profile
 from sedimenta.schemas import (
     BRONZE,
     BRONZE_REJECTS,
@@ -42,6 +42,8 @@ from sedimenta.schemas import (
     FACT_HOURLY,
     FIRST_MARK,
     LOAD_LOG,
+    LOAD_PROFILE,
+    MEASURES,
     SILVER,
     SILVER_REJECTS,
     TABLES,
@@ -275,6 +277,7 @@ class Warehouse:
                 rejected = self.store.write_load(SILVER_REJECTS, fresh, load.load_id)["row_count"]
         finally:
             tagged.unpersist()
+        self._store_profile(load)
         entry = {
             "table_name": SILVER.full_name,
             "inserted": written["row_count"],
@@ -286,6 +289,13 @@ class Warehouse:
         }
         self._commit(load, "silver", batch_key, [entry])
 
+    def _store_profile(self, load: Load) -> None:
+        """Row counts, NULL rates and ranges of the measures of one load of silver."""
+        rows = self.table(SILVER).where(F.col("load_id") == load.load_id)
+        seen = profile(rows, [c for c, _ in MEASURES])
+        named = seen.withColumn("table_name", F.lit(SILVER.full_name))
+        self.store.write_load(LOAD_PROFILE, named.coalesce(1), load.load_id)
+
     def _copies(self, tagged: DataFrame, load: Load, progress: Progress) -> DataFrame | None:
         """Ids of valid readings that are copies, of one in the increment or of a stored one.
 

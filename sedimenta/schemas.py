@@ -206,6 +206,22 @@ LOAD_LOG = Table(
     ),
 )
 
+# What each load of silver looks like, by column.
+LOAD_PROFILE = Table(
+    "audit",
+    "load_profile",
+    (
+        ("table_name", "string"),
+        ("column_name", "string"),
+        ("row_count", "bigint"),
+        ("null_count", "bigint"),
+        ("null_rate", "double"),
+        ("min_value", "double"),
+        ("max_value", "double"),
+    ),
+    (("load_id", "bigint"),),
+)
+
 TABLES = (
     BRONZE,
     BRONZE_REJECTS,
@@ -216,6 +232,7 @@ TABLES = (
     FACT_HOURLY,
     FACT_DAY,
     LOAD_LOG,
+    LOAD_PROFILE,
 )
 
 # Tables that the yearly partition calendar covers.
