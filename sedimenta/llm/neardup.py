@@ -193,30 +193,21 @@ def _sided(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     return df.select(F.col("key").alias(key), *[F.col(c).alias(n) for c, n in columns.items()])
 
 
-def similar(left: Column, right: Column) -> Column:
-    """Whether two sets of distinct shingles are similar enough."""
-    common = F.size(F.array_intersect(left, right))
-    return 100 * common >= SIMILAR * (F.size(left) + F.size(right) - common)
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the pairs (u, v), those whose full sets are similar enough."""
+    common = F.size(F.array_intersect("_u", "_v"))
+    union = F.size("_u") + F.size("_v") - common
     return (
         pairs.join(_sided(sets, "u", {"_set": "_u"}), "u")
         .join(_sided(sets, "v", {"_set": "_v"}), "v")
-        .where(similar(F.col("_u"), F.col("_v")))
+        .where(100 * common >= SIMILAR * union)
         .select("u", "v")
     )
 
 
-def _further_links(
-    members: DataFrame, roots: DataFrame, sets: DataFrame, pivots: int
-) -> DataFrame | None:
-    """Links between members of different components that share an unfinished bucket, one of
-    them a pivot; None once there is no such bucket left.
-
-    Signatures and then full sets are compared inside the join, so only links become rows.
-    """
+def _pairs_to_test(members: DataFrame, roots: DataFrame, tested: DataFrame, pivots: int):
+    """Pairs of members of different components that share an unfinished bucket, one of them
+    a pivot; None once there is no such bucket left."""
     placed = members.join(
         roots.select(F.col("node").alias("key"), "root"), "key", "left"
     ).withColumn("root", F.coalesce("root", "key"))
@@ -227,8 +218,10 @@ def _further_links(
         .where((F.col("_a") != F.col("_b")) & (F.col("_n") > before))
         .select(F.col("bucket").alias("_bucket"), "_n")
     )
-    placed = placed.join(open_buckets, F.col("bucket") == F.col("_bucket")).drop("_bucket")
-    placed = stored(placed.join(sets, "key"), "open-buckets")
+    placed = stored(
+        placed.join(open_buckets, F.col("bucket") == F.col("_bucket")).drop("_bucket"),
+        "open-buckets",
+    )
     if placed.isEmpty():
         return None
     # about `pivots` of the n members, drawn by hash; all of them where there are no more
@@ -243,18 +236,16 @@ def _further_links(
         F.col("key").alias("_pivot"),
         F.col("root").alias("_root"),
         F.col("signature").alias("_signature"),
-        F.col("_set").alias("_pivot_set"),
     )
     dealt = placed.withColumn("_part", F.pmod(F.xxhash64("key"), parts).cast("int"))
-    links = dealt.repartition(tasks, "bucket", "_part").join(
+    pairs = dealt.repartition(tasks, "bucket", "_part").join(
         chosen.repartition(tasks, "_bucket", "_part_of"),
         (F.col("bucket") == F.col("_bucket"))
         & (F.col("_part") == F.col("_part_of"))
         & (F.col("root") != F.col("_root"))
-        & likely(F.col("signature"), F.col("_signature"))
-        & similar(F.col("_set"), F.col("_pivot_set")),
-    )
-    return stored(links.select(F.col("key").alias("u"), F.col("_pivot").alias("v")).distinct(), "links")
+        & likely(F.col("signature"), F.col("_signature")),
+    ).select(F.least("key", "_pivot").alias("u"), F.greatest("key", "_pivot").alias("v"))
+    return stored(pairs.distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
 
 
 def find(df: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -301,16 +292,18 @@ def find(df: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text")
         (F.col("u") == F.col("_u")) & likely(F.col("signature"), F.col("_signature")),
     )
     pairs = stored(met.select("u", "v"), "pairs")
-    pivots = 1
+    tested, pivots = pairs, 1
     roots = stored(connected(_confirmed(pairs, sets)), "roots")
     while True:
         pivots *= PIVOTS
-        found = _further_links(members, roots, sets, pivots)
-        if found is None:
+        pairs = _pairs_to_test(members, roots, tested, pivots)
+        if pairs is None:
             break
+        found = stored(_confirmed(pairs, sets), "links")
         if not found.isEmpty():
             stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
             roots = stored(connected(stars.union(found)), "roots")
+        tested = tested.union(pairs)
 
     by_class = (
         classed.where(F.col("n_shingles") > 0)
