@@ -7,8 +7,11 @@ missing, which gives the quantised count; a false hit can only raise it. All bit
 in one block of 512 bits, and blocks form segments by the n-gram's hash, so the filter is built
 segment by segment where the counts lie, without gathering n-grams.
 
-The filter is broadcast. Its size follows the number of entries up to MAX_BITS; beyond, the least
-count for a bigram to be kept rises until the entries fit, the same rule at every size.
+The filter's size follows the number of its entries at every scale; no n-gram is dropped. Up to
+MAX_BITS it is one broadcast. Beyond, words and bigrams have a filter each, cut by n-gram hash into
+parts of at most MAX_BITS, which are stored. One part of the bigrams is broadcast in turn and adds
+its bigrams' share of the scores, in one pass over the texts per part; the words come with it
+while they fit one part, else their levels are first noted beside the texts, part by part.
 Probabilities are smoothed with a Dirichlet prior: (bigram + PRIOR * unigram probability) /
 (context + PRIOR), where the unigram probability adds one to the counts.
 
@@ -154,25 +157,39 @@ def _values(order: int) -> np.ndarray:
     return np.concatenate([[0.0], np.sqrt(least[:-1] * np.maximum(least[:-1], least[1:] - 1)), least[-1:]])
 
 
+def _block(h: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of an n-gram within its segment."""
+    return ((h << np.uint64(12)) >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
+
+
 def _bits(h: np.ndarray, order: int, of: int, blocks: int) -> np.ndarray:
-    """Positions within the segment of the HASHES bits of an n-gram at a level."""
-    block = ((h << np.uint64(12)) >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)
+    """Positions within the segment, all parts, of the HASHES bits of an n-gram at a level."""
+    block = _block(h, blocks)
     mix = _mixed(h + np.uint64((of * 2 + order) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
     place = np.stack([(mix >> np.uint64(9 * k)) & np.uint64(511) for k in range(HASHES)])
     return block * np.uint64(BLOCK_BITS) + place
 
 
 class Filter:
-    def __init__(self, data: np.ndarray, blocks: int):
-        self.data, self.blocks = data, blocks
+    """One part of a filter; blocks are those of the part, per segment."""
+
+    def __init__(self, data: np.ndarray, blocks: int, part: int = 0, parts: int = 1):
+        self.data, self.blocks, self.part, self.parts = data, blocks, part, parts
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        """Whether the part is the one of an n-gram."""
+        if self.parts == 1:
+            return np.ones(len(h), bool)
+        return _block(h, self.blocks * self.parts) // np.uint64(self.blocks) == self.part
 
     def levels(self, h: np.ndarray, order: int) -> np.ndarray:
-        """The highest level up to which all levels of an n-gram are found."""
+        """The highest level up to which all levels of an n-gram are found; 0 in other parts."""
         found = np.zeros(len(h), np.int64)
-        rest = np.arange(len(h))
-        base = (h >> np.uint64(52)) * np.uint64(self.blocks * BLOCK_BITS)
+        rest = np.flatnonzero(self.holds(h))
+        size = self.blocks * BLOCK_BITS
+        base = (h >> np.uint64(52)) * np.uint64(size) - np.uint64(self.part * size)
         for of in range(1, len(_thresholds(order)) + 1):
-            bits = _bits(h[rest], order, of, self.blocks) + base[rest]
+            bits = _bits(h[rest], order, of, self.blocks * self.parts) + base[rest]
             hit = self.data[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8) & 1
             rest = rest[hit.all(axis=0)]
             if not len(rest):
@@ -184,14 +201,37 @@ class Filter:
         return _values(order)[self.levels(h, order)]
 
 
+@dataclass
+class Table:
+    """A filter in parts by n-gram hash."""
+
+    parts: int
+    blocks: int  # of BLOCK_BITS, per segment of a part
+    rows: DataFrame  # part, segment and bits
+    shared: object  # broadcast bytes, when there is one part
+
+    def load(self, part: int):
+        """The bytes of one part as a broadcast."""
+        if self.shared is not None:
+            return self.shared
+        return _gathered(self.rows.where(F.col("part") == part), self.blocks)
+
+
 @dataclass
 class Model:
     counts: DataFrame  # of all n-grams, stored
     n_tokens: int
     n_words: int  # distinct tokens
-    least: int  # count of the bigrams in the filter
-    blocks: int  # of BLOCK_BITS, per segment
-    filter: object  # broadcast bytes
+    words: Table
+    pairs: Table  # the same table while all fits one part
+
+    @property
+    def filter(self):
+        return self.pairs.shared
+
+    @property
+    def blocks(self) -> int:
+        return self.pairs.blocks
 
 
 def _entries(counts: DataFrame) -> dict[tuple[int, int], int]:
@@ -202,41 +242,64 @@ def _entries(counts: DataFrame) -> dict[tuple[int, int], int]:
 
 
 def sized(entries: dict[tuple[int, int], int]) -> tuple[int, int]:
-    """Least bigram count, a power of two, and blocks per segment."""
+    """Parts of at most MAX_BITS, and blocks per segment of a part, for all entries."""
 
     def levels(order: int, power: int) -> int:
         return int(level(np.array([2 ** (power + 1) - 1]), order)[0])
 
-    cut = 0
-    while True:
-        total = sum(
-            n * levels(order, power)
-            for (order, power), n in entries.items()
-            if order == 1 or power >= cut
-        )
-        bits = total * BITS_PER_ENTRY
-        if bits <= MAX_BITS or cut >= 60:
-            break
-        cut += 1
-    blocks = math.ceil(min(bits, MAX_BITS) / SEGMENTS / BLOCK_BITS) or 1
-    return 2**cut, blocks
+    total = sum(n * levels(order, power) for (order, power), n in entries.items())
+    bits = total * BITS_PER_ENTRY
+    parts = math.ceil(bits / MAX_BITS) or 1
+    return parts, math.ceil(bits / parts / SEGMENTS / BLOCK_BITS) or 1
 
 
 def fit(texts: DataFrame, text: str = "text") -> Model:
     """Counts the n-grams of all texts and builds the filter."""
-    spark = texts.sparkSession
     counts = stored(count(texts, text), "ngram-counts")
     words = counts.where(F.col("n_order") == 1).agg(F.sum("n"), F.count(F.lit(1))).first()
-    least, blocks = sized(_entries(counts))
-    size = blocks * BLOCK_BITS // 8  # bytes of a segment
+    entries = _entries(counts)
+    parts, blocks = sized(entries)
+    if parts == 1:
+        tables = [_table(counts, parts, blocks)] * 2
+    else:
+        tables = [
+            _table(
+                counts.where(F.col("n_order") == order),
+                *sized({key: n for key, n in entries.items() if key[0] == order}),
+            )
+            for order in (1, 2)
+        ]
+    return Model(counts, words[0] or 0, words[1], *tables)
+
+
+def _gathered(rows: DataFrame, blocks: int):
+    """Broadcast bytes of the segments of one part."""
+    size = blocks * BLOCK_BITS // 8
+    data = np.zeros(SEGMENTS * size, np.uint8)
+    built = rows.select("segment", "bits").toArrow()  # at most MAX_BITS, and a segment for each task
+    for segment, bits in zip(built.column("segment"), built.column("bits")):
+        at = segment.as_py() * size
+        data[at : at + size] |= np.frombuffer(bits.as_buffer(), np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(data.tobytes())
+
+
+def _table(counts: DataFrame, parts: int, blocks: int) -> Table:
+    """Builds the filter of these n-grams where their counts lie."""
+    size = blocks * BLOCK_BITS // 8  # bytes of a segment of a part
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, bits = None, np.zeros(size * 8, bool)
+        now, bits = None, np.zeros(parts * size * 8, bool)
 
         def done() -> pa.RecordBatch:
             data = np.packbits(bits, bitorder="little").tobytes()
+            cut = [data[k * size : (k + 1) * size] for k in range(parts)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([data], pa.binary())], ["segment", "bits"]
+                [
+                    pa.array(range(parts), pa.int32()),
+                    pa.array([now] * parts, pa.int32()),
+                    pa.array(cut, pa.binary()),
+                ],
+                ["part", "segment", "bits"],
             )
 
         for batch in batches:
@@ -257,61 +320,91 @@ def fit(texts: DataFrame, text: str = "text") -> Model:
                     mine = order[low:high] == own
                     grams, top = h[low:high][mine], level(n[low:high][mine], own)
                     for of in range(1, int(top.max(initial=0)) + 1):
-                        bits[_bits(grams[top >= of], own, of, blocks).ravel()] = True
+                        bits[_bits(grams[top >= of], own, of, parts * blocks).ravel()] = True
         if now is not None:
             yield done()
 
-    kept = counts.where((F.col("n_order") == 1) | (F.col("n") >= least))
-    parts = kept.mapInArrow(segments, "segment int, bits binary")
-    data = np.zeros(SEGMENTS * size, np.uint8)
-    built = parts.toArrow()  # at most MAX_BITS, and one more segment for each task
-    for segment, bits in zip(built.column("segment"), built.column("bits")):
-        at = segment.as_py() * size
-        data[at : at + size] |= np.frombuffer(bits.as_buffer(), np.uint8)
-    shared = spark.sparkContext.broadcast(data.tobytes())
-    return Model(counts, words[0] or 0, words[1], least, blocks, shared)
+    rows = counts.mapInArrow(segments, "part int, segment int, bits binary")
+    if parts == 1:
+        return Table(parts, blocks, rows, _gathered(rows, blocks))
+    rows = rows.repartition(parts, "part").sortWithinPartitions("part")
+    return Table(parts, blocks, stored(rows, "ngram-filter"), None)
 
 
-_filters: dict[int, Filter] = {}
+def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, starts)
 
 
-def _filter(shared, blocks: int) -> Filter:
-    """The filter of this worker; one at a time is kept."""
-    key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else id(shared.value)
-    if key not in _filters:
-        _filters.clear()
-        _filters[key] = Filter(np.frombuffer(shared.value, np.uint8), blocks)
-    return _filters[key]
+def _with_levels(rows: DataFrame, words: Table, text: str) -> DataFrame:
+    """Adds _levels: a byte for each token, the level of its word, found part by part."""
+    rows = rows.withColumn("_levels", F.lit(None).cast("binary"))
+    for part in range(words.parts):
+        rows, shared = _levels_of(rows, words, part, text)
+        rows = stored(rows, "word-levels")
+        shared.destroy()
+    return rows
 
 
-def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values, starts)
+def _levels_of(rows: DataFrame, words: Table, part: int, text: str) -> tuple[DataFrame, object]:
+    shared, read = words.load(part), _reader(words, part)
+
+    @F.arrow_udf("binary")
+    def added(texts: pa.Array, before: pa.Array) -> pa.Array:
+        known = read(shared)
+        out: list[np.ndarray] = []
+        for tokens, starts in _chunks(texts, _TOKENS_AT_ONCE // 4):
+            own, place = np.unique(tokens, return_inverse=True)
+            found = known.levels(_mixed(own), 1).astype(np.uint8)[place]
+            out += np.split(found, starts[1:])
+        if before.null_count == 0:
+            out = [new + np.frombuffer(old.as_buffer(), np.uint8) for new, old in zip(out, before)]
+        return pa.array([levels.tobytes() for levels in out], pa.binary())
+
+    return rows.withColumn("_levels", added(F.col(text), F.col("_levels"))), shared
+
+
+def _reader(table: Table, part: int):
+    """Makes the filter of a part from its broadcast; without the table's rows, for the workers."""
+    blocks, parts = table.blocks, table.parts
+    return lambda shared: Filter(np.frombuffer(shared.value, np.uint8), blocks, part, parts)
 
 
-def with_score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Adds n_tokens and score, the log10 probability of the text under the model."""
+def with_score(df: DataFrame, model: Model, text: str = "text", part: int = 0, shared=None) -> DataFrame:
+    """Adds n_tokens and score, the log10 probability of the text under the model; with bigrams in
+    several parts, only what those of one part add to it."""
     ship_package(df.sparkSession)
-    shared, blocks = model.filter, model.blocks
     total = model.n_tokens + model.n_words + 1
+    shared = shared or model.pairs.load(part)
+    pairs_of, words_of = _reader(model.pairs, part), _reader(model.words, 0)
+    shared_words, several = model.words.load(0) if model.words.parts == 1 else None, model.pairs.parts > 1
+    noted = F.lit(None).cast("binary") if model.words.parts == 1 else F.col("_levels")
 
     @F.arrow_udf("struct<n_tokens: bigint, score: double>")
-    def scored(texts: pa.Array) -> pa.Array:
-        known = _filter(shared, blocks)
+    def scored(texts: pa.Array, levels: pa.Array) -> pa.Array:
+        known, at = pairs_of(shared), 0
+        if shared_words is None:
+            noted = np.concatenate([np.frombuffer(v.as_buffer(), np.uint8) for v in levels] or [np.zeros(0, np.uint8)])
         sizes, scores = [], []
         for tokens, starts in _chunks(texts, _TOKENS_AT_ONCE // 4):
-            words, place = np.unique(tokens, return_inverse=True)
-            single = known.counts(_mixed(words), 1)[place]
+            if shared_words is None:
+                single = _values(1)[noted[at : at + len(tokens)]]
+                at += len(tokens)
+            else:
+                words, place = np.unique(tokens, return_inverse=True)
+                single = words_of(shared_words).counts(_mixed(words), 1)[place]
             before = contexts_of(tokens, starts)
             context = np.empty_like(single)
             context[1:] = single[:-1]
             # every text has one start and one end, so the end's count is the start's
-            context[starts] = known.counts(_mixed(np.array([END], np.uint64)), 1)[0]
-            grams, at = np.unique(bigrams(before, tokens), return_inverse=True)
-            pair = np.minimum(known.counts(grams, 2)[at], np.minimum(context, single))
+            context[starts] = single[-1]
+            grams, place = np.unique(bigrams(before, tokens), return_inverse=True)
+            pair = np.minimum(known.counts(grams, 2)[place], np.minimum(context, single))
             prior = (single + 1) / total
-            p = (pair + PRIOR * prior) / (context + PRIOR)
+            logs = np.log10((pair + PRIOR * prior) / (context + PRIOR))
+            if several:
+                logs[~known.holds(grams)[place]] = 0
             sizes.append(np.diff([*starts, len(tokens)]))
-            scores.append(_sums(np.log10(p), starts))
+            scores.append(_sums(logs, starts))
         empty = [np.zeros(0)]
         return pa.StructArray.from_arrays(
             [
@@ -321,7 +414,7 @@ def with_score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             ["n_tokens", "score"],
         )
 
-    return df.withColumn("_scored", scored(F.col(text))).withColumns(
+    return df.withColumn("_scored", scored(F.col(text), noted)).withColumns(
         {"n_tokens": F.col("_scored.n_tokens"), "score": F.col("_scored.score")}
     ).drop("_scored")
 
@@ -373,31 +466,44 @@ def score(
     df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row."""
-    blocks = max(1, math.ceil(model.n_words / BLOCK_WORDS))
+    blocks, parts = max(1, math.ceil(model.n_words / BLOCK_WORDS)), model.pairs.parts
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
+    if model.words.parts > 1:
+        rows = _with_levels(rows, model.words, "_text")
     first = _block_sums(with_score(rows, model, "_text"), *_word_block(model, 0, blocks), "_text", "_b")
     scored = first.select(
         "doc_id", F.xxhash64("_text").alias("_hash"), "n_tokens", "score", "_b.n_known", "_b.log_sum"
     )
-    if blocks > 1:
+    if max(blocks, parts) > 1:
         more = []
-        for block in range(1, blocks):
-            part = _block_sums(rows, *_word_block(model, block, blocks), "_text", "_b")
+        for k in range(1, max(blocks, parts)):
+            part, shared = rows, model.pairs.load(k) if k < parts else None
+            if k < blocks:
+                part = _block_sums(part, *_word_block(model, k, blocks), "_text", "_b")
+            if k < parts:
+                part = with_score(part, model, "_text", k, shared)
             part = part.select(
                 F.col("doc_id").alias("_id"),
                 F.xxhash64("_text").alias("_of"),
-                F.col("_b.n_known").alias("_known"),
-                F.col("_b.log_sum").alias("_sum"),
+                (F.col("_b.n_known") if k < blocks else F.lit(0).cast("long")).alias("_known"),
+                (F.col("_b.log_sum") if k < blocks else F.lit(0.0)).alias("_sum"),
+                (F.col("score") if k < parts else F.lit(0.0)).alias("_score"),
             )
             more.append(stored(part.dropDuplicates(["_id", "_of"]), "word-block"))
+            if model.pairs.shared is None and shared is not None:
+                shared.destroy()
         rest = more[0]
         for part in more[1:]:
             rest = rest.union(part)
-        rest = rest.groupBy("_id", "_of").agg(F.sum("_known").alias("_known"), F.sum("_sum").alias("_sum"))
+        rest = rest.groupBy("_id", "_of").agg(*[F.sum(c).alias(c) for c in ("_known", "_sum", "_score")])
         scored = scored.join(
             rest, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of"))
         ).withColumns(
-            {"n_known": F.col("n_known") + F.col("_known"), "log_sum": F.col("log_sum") + F.col("_sum")}
+            {
+                "n_known": F.col("n_known") + F.col("_known"),
+                "log_sum": F.col("log_sum") + F.col("_sum"),
+                "score": F.col("score") + F.col("_score"),
+            }
         )
     unit = math.log10(model.n_tokens + model.n_words + 1)
     return scored.select(

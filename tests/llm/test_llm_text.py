@@ -258,6 +258,29 @@ def test_filter_size_is_bounded():
     assert least > 1 and blocks * lm.SEGMENTS * lm.BLOCK_BITS <= lm.MAX_BITS * 1.01
 
 
+def test_no_bigram_is_dropped_beyond_one_part(spark, edge, monkeypatch):
+    """Scores are those of one filter that holds all, but for false hits of either."""
+    draw = random.Random(4)
+    texts = [(100 + k, " ".join(f"w{draw.randrange(300)}" for _ in range(1500))) for k in range(40)]
+    docs = spark.createDataFrame(texts + texts[:2], "doc_id bigint, text string")
+    docs = docs.union(edge.select("doc_id", "text"))
+    whole = lm.fit(docs)
+    expected = sorted((r.doc_id or -1, r.n_tokens, r.score) for r in lm.score(docs, whole).collect())
+    entries = lm._entries(whole.counts)
+    monkeypatch.setattr(lm, "MAX_BITS", 1)
+    of_words, _ = lm.sized({key: n for key, n in entries.items() if key[0] == 1})
+    for bits in (of_words, of_words // 2):  # words in one part, then in several
+        monkeypatch.setattr(lm, "MAX_BITS", bits)
+        model = lm.fit(docs)
+        assert model.pairs.parts > 1 and (model.words.parts > 1) == (bits < of_words)
+        found = sorted((r.doc_id or -1, r.n_tokens, r.score) for r in lm.score(docs, model).collect())
+        assert [r[:2] for r in found] == [r[:2] for r in expected]
+        for own, other in zip(found, expected):
+            assert own[2] == pytest.approx(other[2], rel=0.03, abs=0.3)
+        kept = sum(t.parts * t.blocks * lm.SEGMENTS * lm.BLOCK_BITS for t in (model.words, model.pairs))
+        assert kept >= sum(entries.values()) * lm.BITS_PER_ENTRY  # room for each, the rare ones too
+
+
 def test_lm_edge_rows(spark, edge):
     rows = lm.score(edge, lm.fit(edge)).collect()
     assert len(rows) == edge.count()
