@@ -7,8 +7,9 @@ sequence of every whole text; the share of its words in content lines decides wh
 text is retained. Two base rules reject before that: fewer than 50 words, or more than half
 of the words inside repeated 3-word windows.
 
-Fitting takes a bounded sample, on the driver: the SAMPLE documents per label with the
-lowest text hash among those of at most SAMPLE_LINES lines and SAMPLE_BYTES bytes. Labelling
+Fitting takes a bounded sample, on the driver: the SAMPLE distinct texts per label with the
+lowest text hash among those of at most SAMPLE_LINES lines and SAMPLE_BYTES bytes; copies
+of a text count once. Labelling
 covers every line of every text, one text at a time within a batch.
 
 Defined results: a null, empty or blank text has no words, so the base rule rejects it. Without
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import ship_package
+from sedimenta.llm.common import ship_package, stored
 from sedimenta.llm.stats import LINE_FEATURES, base_counts, line_features, word_lines
 
 SAMPLE = 600
@@ -136,10 +137,18 @@ def train(labelled: DataFrame, text: str = "text", label: str = "quality") -> Ch
     usable = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where(
         (F.octet_length("text") <= SAMPLE_BYTES) & (n_lines <= SAMPLE_LINES)
     )
-    sample = []
+    hashed = usable.withColumn("_hash", F.xxhash64("text"))
+    hashes = stored(hashed.select("label", "_hash").distinct(), "label-hashes")
+    chosen = F.lit(False)
     for value in (0, 1):
-        chosen = usable.where(F.col("label") == value).orderBy(F.xxhash64("text"), "text")
-        sample += [(r.text.encode(), value) for r in chosen.limit(SAMPLE).toLocalIterator()]
+        lowest = hashes.where(F.col("label") == value).orderBy("_hash").limit(SAMPLE).collect()
+        chosen |= (F.col("label") == value) & F.col("_hash").isin([r["_hash"] for r in lowest])
+    texts = hashed.where(chosen).select("label", "_hash", "text").distinct()
+    sample, taken = [], [0, 0]
+    for r in texts.orderBy("label", "_hash", "text").toLocalIterator():
+        if taken[r.label] < SAMPLE:  # distinct texts can share a hash
+            taken[r.label] += 1
+            sample.append((r.text.encode(), r.label))
     rows = [(features_of(data)[0], value) for data, value in sample]
     rows = [(x, value) for x, value in rows if len(x)]
     return fit_chain([x for x, _ in rows], [value for _, value in rows])

@@ -201,6 +201,22 @@ def test_isotonic_never_falls():
     assert (heights * n).sum() == pytest.approx(ones.sum())
 
 
+def test_copies_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(lines, "SAMPLE", 5)
+    texts = [(f"text {k}", k % 2) for k in range(30)]
+    once = spark.createDataFrame(texts, "text string, quality int")
+    lowest = once.orderBy(F.xxhash64("text")).where("quality = 1").limit(2)
+    copies = lowest.crossJoin(spark.range(40)).select("text", "quality")
+    fitted = []
+    monkeypatch.setattr(lines, "fit_chain", lambda rows, labels: fitted.append((len(rows), labels)))
+    seen = []
+    monkeypatch.setattr(lines, "features_of", lambda data: (seen.append(data) or [data], []))
+    lines.train(once)
+    lines.train(once.union(copies))
+    assert seen[:10] == seen[10:] and len(set(seen)) == 10
+    assert fitted == [(10, [0] * 5 + [1] * 5)] * 2
+
+
 # ---- language model ------------------------------------------------------------
 
 
