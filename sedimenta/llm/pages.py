@@ -10,7 +10,7 @@ Contents that stand on all pages and presentations that never vary carry no info
     presentation  the entropy of its presentations, with the number of pages as the base
     importance    presentation weighs 1 - DAMPING ** presentations, content the rest
 
-Branches below LEAST are removed from every page of the host. A node on fewer than FEW pages
+Copies of a page count once. Branches below LEAST are removed from every page of the host. A node on fewer than FEW pages
 says nothing about a site and stays. Markup that names its role comes before the statistics:
 menus, headers, footers, sidebars, notices, adverts, forms and comments go although they may
 differ on every page; what an article element holds stays although every page may hold
@@ -239,7 +239,8 @@ _PARSED_TYPE = pa.struct(
 
 
 def style_tree(parsed: DataFrame) -> DataFrame:
-    """_host, path, pages, content, presentation and importance of every style node."""
+    """_host, path, pages, content, presentation and importance of every style node; of distinct
+    pages, as copies of a page would pass for what a site repeats."""
 
     def counted(column: str) -> DataFrame:
         rows = parsed.select("_host", F.explode(f"_page.{column}").alias("_f"))
@@ -291,10 +292,14 @@ def style_tree(parsed: DataFrame) -> DataFrame:
 def extract(df: DataFrame, source: str = "html", url: str = "url") -> DataFrame:
     """Adds text, the blocks of the main text with an empty line between them, and n_chars."""
     names = [c for c in df.columns if c not in ("text", "n_chars", source)]
-    parsed = _parsed(df.withColumn("_host", host_of(F.col(url))), source)
-    parsed = stored(parsed.select(*names, "_host", "_page"), "parsed-pages")
+    parsed = _parsed(df.withColumn("_host", host_of(F.col(url))), source).withColumns(
+        {"_of_page": F.xxhash64(source), "_row": F.monotonically_increasing_id()}
+    )
+    parsed = stored(parsed.select(*names, "_host", "_of_page", "_row", "_page"), "parsed-pages")
+    # the stored row numbers are unique, so a page of many copies is no hot key of the join
+    firsts = parsed.groupBy("_host", "_of_page").agg(F.min("_row").alias("_row")).select("_row")
     poor = (
-        style_tree(parsed)
+        style_tree(parsed.join(firsts, "_row", "left_semi"))
         .where((F.col("pages") >= FEW) & (F.col("importance") < LEAST))
         .groupBy(F.col("_host").alias("_of"))
         .agg(F.collect_set("path").alias("_poor"))

@@ -454,6 +454,17 @@ def test_style_tree_removes_what_a_site_repeats(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_boilerplate(spark):
+    page = "<div class='end'><p>All rights</p></div><div id='post-{0}'><p>story {0}</p></div>"
+    rows = [(k, "http://one.example/", page.format(7)) for k in range(9)]
+    rows += [(100 + k, "http://h.example/", page.format(k // 5)) for k in range(30)]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string").repartition(4)
+    texts = {r.page_id: r.text for r in pages.extract(df).collect()}
+    assert len(texts) == len(rows)
+    assert all(texts[k] == "All rights\n\nstory 7" for k in range(9))
+    assert all(texts[100 + k] == f"story {k // 5}" for k in range(30))
+
+
 # ---- shards --------------------------------------------------------------------
 
 
