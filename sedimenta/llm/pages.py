@@ -14,7 +14,9 @@ Copies of a page count once. Branches below LEAST are removed from every page of
 says nothing about a site and stays. Markup that names its role comes before the statistics:
 menus, headers, footers, sidebars, notices, adverts, forms and comments go although they may
 differ on every page; what an article element holds stays although every page may hold
-it, and where a page has such an element, all else goes.
+it, and where a page has such an element, all else goes. A name counts when the whole class or
+id states a role (cookie-notice, not related-work), on no heading and on no paragraph of an
+article. Text of formulas and drawings stays.
 
 Counting is by host and path hash, with partial sums before the shuffle, so a host that holds
 a third of all pages is not gathered anywhere; what comes back per host are the paths of
@@ -53,9 +55,19 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q"
-    " rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split()
+    " rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img"
+    " math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover"
+    " mmultiscripts mprescripts mtable mtr mtd mspace mstyle mpadded mphantom menclose mfenced"
+    " merror semantics"
+    " svg g path rect circle ellipse line polyline polygon text tspan textpath defs use symbol"
+    " lineargradient radialgradient stop clippath mask pattern marker".split()
+)
+#: Inline elements that begin a word of their own.
+_APART = frozenset("br mtr mtd text".split())
+_RAW = frozenset(
+    "script style textarea title noscript iframe template xmp desc metadata annotation"
+    " annotation-xml".split()
 )
-_RAW = frozenset("script style textarea title noscript iframe template svg math xmp".split())
 #: Elements and names that say what a branch is for; none of it is the article.
 _ASIDE = frozenset(
     "head nav footer aside form button select option fieldset dialog menu object".split()
@@ -69,6 +81,14 @@ _ASIDE_NAMES = frozenset(
 )
 #: Only outside an article: there a header holds its title.
 _SITE = frozenset(["header", "masthead"])
+#: What may stand beside such a name within one class or id; any other word makes it a topic.
+_LAYOUT = frozenset(
+    "main site page left right top bottom side primary secondary global container wrapper wrap"
+    " box bar block list item items area section inner outer widget panel group link links button"
+    " buttons".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_PARAGRAPHS = frozenset("p dt dd caption figcaption blockquote pre address summary".split())
 #: An element of these ends an open one of the set when it begins.
 _ENDS = {
     "li": frozenset(["li"]),
@@ -93,6 +113,15 @@ def _hash(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _states(tokens: list[str], role: frozenset[str]) -> bool:
+    """Whether a whole class, id or role says what the element is for."""
+    for token in tokens:
+        words = [w for w in _SPLIT.split(token) if w]
+        if not role.isdisjoint(words) and all(w in role or w in _LAYOUT or w.isdigit() for w in words):
+            return True
+    return False
+
+
 class _Node:
     __slots__ = ("tag", "path", "paths", "aside", "article", "children")
 
@@ -138,9 +167,9 @@ class Page:
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in _INLINE:
-            if tag == "br":
+            if tag in _APART:
                 self._text.append(" ")
-            elif tag not in _VOID and not attributes.endswith("/"):
+            if tag not in _VOID and not attributes.endswith("/"):
                 self.stack.append(tag)
             return
         self._flush()
@@ -148,17 +177,21 @@ class Page:
         if tag in _ENDS:
             self._close(_ENDS[tag], _SCOPE)
         parent = self._node()
-        names = []
+        names, tokens = [], []
         for _, value in _NAMES.findall(attributes) if attributes else ():
-            names += _SPLIT.split(value.lower().strip("\"'"))
+            value = value.lower().strip("\"'")
+            names += _SPLIT.split(value)
+            tokens += value.split()
+        if tag in _HEADINGS or parent.article and tag in _PARAGRAPHS:
+            tokens = []
         article = parent.article or tag in ("article", "main") or "main" in names[:1] and tag != "body"
         aside = (
             parent.aside
             or tag in _ASIDE
-            or not _ASIDE_NAMES.isdisjoint(names)
+            or _states(tokens, _ASIDE_NAMES)
             or not parent.article
             and not article
-            and (tag in _SITE or not _SITE.isdisjoint(names))
+            and (tag in _SITE or _states(tokens, _SITE))
         )
         step = ".".join([tag, *sorted(set(filter(None, names)))])
         node = _Node(tag, step, parent, aside and tag not in ("html", "body"), article)

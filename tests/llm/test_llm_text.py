@@ -454,6 +454,22 @@ def test_style_tree_removes_what_a_site_repeats(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article><h2 id='related-work'>a</h2><h2 id='search'>b</h2><p class='share-price'>c</p></article>", "a\n\nb\n\nc"),
+        ("<section id='social-history'>a</section><div class='form-factor'>b</div>", "a\n\nb"),
+        ("<div id='search-results'>a</div><p class='comment'>b</p>", "a"),
+        ("<article><p class='notice'>a</p><div class='ad-box-2'>b</div><ul class='x share-buttons'><li>c</ul></article>", "a"),
+        ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>.</p></article>", "so x=1."),
+        ("<article><svg><title>t</title><g><path d='M0 0'/><text>a</text><text>b</text></g></svg>c</article>", "a bc"),
+        ("<div id='main-menu'>m</div><div class='page-header'>h</div><p>a</p>", "a"),
+    ],
+)
+def test_names_state_a_role_as_a_whole(page, text):
+    assert "\n\n".join(t for _, t in pages.Page(page).kept()) == text
+
+
 def test_copies_of_a_page_are_no_boilerplate(spark):
     page = "<div class='end'><p>All rights</p></div><div id='post-{0}'><p>story {0}</p></div>"
     rows = [(k, "http://one.example/", page.format(7)) for k in range(9)]
