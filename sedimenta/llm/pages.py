@@ -14,7 +14,8 @@ Copies of a page count once. Branches below LEAST are removed from every page of
 says nothing about a site and stays. Markup that names its role comes before the statistics:
 menus, headers, footers, sidebars, notices, adverts, forms and comments go although they may
 differ on every page; what an article element holds stays although every page may hold
-it, and where a page has such an element, all else goes. A name counts when the whole class or
+it, and where a page has a main element, or an article of at least half its unnamed text, all else
+goes. A name counts when the whole class or
 id states a role (cookie-notice, not related-work), on no heading and on no paragraph of an
 article. Text of formulas and drawings stays.
 
@@ -228,7 +229,11 @@ class Page:
         still remove; none for those in an article."""
         blocks = [(node, text) for node, text in self.blocks if not node.aside]
         inside = [(node, text) for node, text in blocks if node.article]
-        if inside:
+        held = sum(len(text) for _, text in inside)
+        # a card of an article beside a longer text is not the page's article; main is by meaning
+        if inside and (
+            any(n.tag == "main" for n in self.nodes) or 2 * held >= sum(len(t) for _, t in blocks)
+        ):
             return [((), text) for _, text in inside]
         return [(node.paths[1:], text) for node, text in blocks]
 

@@ -463,6 +463,7 @@ def test_style_tree_removes_what_a_site_repeats(spark):
         ("<article><p class='notice'>a</p><div class='ad-box-2'>b</div><ul class='x share-buttons'><li>c</ul></article>", "a"),
         ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>.</p></article>", "so x=1."),
         ("<article><svg><title>t</title><g><path d='M0 0'/><text>a</text><text>b</text></g></svg>c</article>", "a bc"),
+        ("<div><p>the long main text</p></div><article><p>card</p></article>", "the long main text\n\ncard"),
         ("<div id='main-menu'>m</div><div class='page-header'>h</div><p>a</p>", "a"),
     ],
 )
