@@ -22,6 +22,7 @@ from sedimenta.functions import (
     object_key,
     sql_timestamp,
 )
+from sedimenta.operators.conform import apply_ranges, clean_text, reject_reason
 from sedimenta.operators.keys import dense_ids
 from sedimenta.operators.latest import latest_rows
 from sedimenta.operators.quality import too_large
@@ -218,7 +219,8 @@ def latest_landed(flat: DataFrame) -> DataFrame:
 
 
 def first_landed(flat: DataFrame) -> DataFrame:
-    """One row per city, landing day and reading time: the first one landed.
+    """One row per city, landing day and reading time: the first one landed that silver takes
+    for valid, or the first of all when none is.
 
     A load takes a reading over once and later copies never replace it, so loading step
     by step and replaying all that was landed give the same rows.
@@ -231,8 +233,12 @@ def first_landed(flat: DataFrame) -> DataFrame:
             ),
         }
     ).drop("document", "source_file")
+    # judged on a cleaned copy; the calendar looks at the reading time, which copies share
+    judged = apply_ranges(clean_text(slim.withColumn("_raw", F.struct(*slim.columns)))).select(
+        "_raw.*", reject_reason().isNull().alias("_valid")
+    )
     keys = ["city", "ingest_date", "data_timestamp"]
-    return latest_rows(slim, keys, ["_age", "_tie"]).drop("_tie", "_age")
+    return latest_rows(judged, keys, ["_valid", "_age", "_tie"]).drop("_valid", "_tie", "_age")
 
 
 def bronze_rows(good: DataFrame, after: int = 0) -> DataFrame:

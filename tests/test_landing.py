@@ -173,3 +173,13 @@ def test_foreign_layouts(spark, tmp_path, layout):
 def test_unknown_layout(spark):
     with pytest.raises(ValueError, match="layout"):
         landing.read_landed(spark, "/nowhere", "zip")
+
+
+def test_first_valid_landed_copy_stays(spark):
+    bad = documents(spark, [payload(timezone=None), payload(dt=1709632801, timezone=None)])
+    later = documents(spark, [payload(main={"temp": 5.0})], "2024-03-05 11:00:00")
+    last = documents(spark, [payload(main={"temp": 6.0})], "2024-03-05 12:00:00")
+    flat = landing.flatten(landing.parse(bad.union(later).union(last)))
+    rows = landing.first_landed(landing.good_documents(flat)).collect()
+    found = sorted((r["data_timestamp"].second, r["temperature"], r["timezone"] is None) for r in rows)
+    assert found == [(0, Decimal("5.00"), False), (1, Decimal("18.25"), True)]

@@ -369,3 +369,17 @@ def test_replay_rebuilds_the_same_facts(spark, parts, root):
     before = hourly_by_name(warehouse, ["id"])
     warehouse.replay(path)
     assert hourly_by_name(warehouse, ["id"]) == before
+
+
+def test_replay_keeps_the_valid_copy_of_an_invalid_first_one(spark, parts, root):
+    """Stepwise loads take the later valid copy; so does a replay, which loads both at once."""
+    path = fresh_folder(spark, "landing")
+    warehouse = Warehouse(spark, root, "replay_valid_")
+    bad = F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("timezone"))
+    hour = F.col("collected_at") + F.expr("interval 1 minute")
+    for part in (parts[0].withColumn("timezone", bad), parts[0].withColumn("collected_at", hour)):
+        landing.land(_documents(part), path)
+        warehouse.run(_documents(part))
+    before = hourly_by_name(warehouse, ["id"])
+    warehouse.replay(path)
+    assert before and hourly_by_name(warehouse, ["id"]) == before
