@@ -55,4 +55,29 @@ from doc_shingles join item_shingles using (shingle) join sizes using (item_id)
 group by doc_id, item_id having count(*) >= 0.8 * any_value(n_item)
 """
 
-ORACLES = {"op5_decontamination": OP5, "op6_url_filter": OP6}
+OP13 = """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda c: floor(256 * c::double)) as x
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+), scored as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+    list_dot_product(a.x, r.x)::bigint as score
+  from usable a join usable r on a.vec_id <> r.vec_id
+  where a.vec_id % 100 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.positive_id,
+  (row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.vec_id))::integer as rank,
+  n.vec_id as negative_id, p.positive_score, n.score as negative_score
+from positives p join scored n
+  on n.anchor_id = p.anchor_id and not n.same
+ and 80 * p.positive_score <= 100 * n.score and n.score <= p.positive_score
+qualify rank <= 5
+"""
+
+ORACLES = {"op5_decontamination": OP5, "op6_url_filter": OP6, "op13_hard_negatives": OP13}

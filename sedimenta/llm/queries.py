@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, contamination, lines, lm, neardup, pages, quality, shards, urls
+from sedimenta.llm import bpe, chat, contamination, lines, lm, negatives, neardup, pages, pieces
+from sedimenta.llm import quality, shards, urls, whitening
 from sedimenta.llm.common import literal_rows, read_table, stored
 from sedimenta.session import fresh_folder
 
@@ -109,12 +110,12 @@ def vocabulary(spark: SparkSession, path: str | None = None):
     return bpe.load_vocabulary(spark, path or public_tokenizers.path("word_bpe_49k.json"))
 
 
-def token_digests(df: DataFrame) -> DataFrame:
+def token_digests(df: DataFrame, between: str = " ") -> DataFrame:
     """n_tokens and the digests of the columns ids and decoded."""
     return df.withColumns(
         {
             "n_tokens": F.size("ids").cast("long"),
-            "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256),
+            "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), between), 256),
             "decoded_sha256": F.sha2(F.encode("decoded", "UTF-8"), 256),
         }
     )
@@ -166,6 +167,43 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    shared = pieces.load_model(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    coded = pieces.decode(pieces.encode(documents, shared), shared)
+    return token_digests(coded, ",").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+COMPONENTS = 4
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    white = whitening.whiten(vectors, wanted=COMPONENTS)
+    return white.select(
+        "vec_id",
+        "n",
+        "deviation",
+        "identity_error",
+        F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "found"),
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        "deviation",
+        "found.whitened",
+        "found.explained",
+        "identity_error",
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the ids divisible by 100; ids divisible by 7 take the label after theirs."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 ALL = [
     op1_minhash_dedup,
     op2_quality_classifier,
@@ -177,4 +215,7 @@ ALL = [
     op8_chat_format,
     op9_bpe,
     op10_sharding,
+    op11_sentencepiece,
+    op12_embedding_whitening,
+    op13_hard_negatives,
 ]
