@@ -555,6 +555,103 @@ union all select true, true, 0""",
     "silver_business_key_two_loads": _with(_SENSOR, _silver()) + "select * from silver",
     "replay_landed_twice": _with(_SENSOR, _SECONDS, _silver("landed"))
     + "select * exclude (id), cast(2 as bigint) as copies from silver",
+    "namesake_cities": _with(
+        _SENSOR,
+        f"""
+named as (
+  select case when id % 3 = 0 then '' when id % 3 = 1 then 'Paris' else trim(city) end as name,
+    case when humidity % 4 = 0 then 'FR' else 'US' end as land, latitude, longitude,
+    collected_at - interval 1 hour as data_timestamp, cast(collected_at as date) as landed_on,
+    case when collected_at <= {_CUT} then 1 else 2 end as part, {_VALID} as valid
+  from sensor
+),
+landed_once as (
+  select part, landed_on, data_timestamp, name, land, case when name = '' then latitude end as lat,
+    case when name = '' then longitude end as lon, bool_or(valid) as valid, count(*) as documents
+  from named group by all
+),
+known as (
+  select name, land, lat, lon, data_timestamp, min(part) as part, count(*) as versions
+  from landed_once where valid group by all
+),
+places as (
+  select case when name = '' then land else name || ', ' || land end as city, count(*) as readings
+  from known group by 1
+)""",
+    )
+    + """
+select 'stepwise' as stage, city, readings from places
+union all select 'replayed', city, readings from places
+union all
+select 'copies bronze ' || part, '', cast(sum(documents) - count(*) as bigint)
+from landed_once group by part
+union all
+select 'copies silver ' || part, '', cast(count(*) filter (where valid) as bigint)
+    - (select count(*) from known k where k.part = l.part)
+from landed_once l group by part""",
+    "repeated_loads": _with(
+        _SENSOR,
+        f"""
+judged as (select *, {_VALID} as valid from sensor),
+loaded as (
+  select id % 6 + 1 as load_id, valid, true as is_new from judged
+  union all
+  select id % 6 + 2, valid, false from judged where id % 4 < 2 and id % 6 < 5
+)""",
+    )
+    + """
+select cast(load_id as bigint) as load_id, count(*) filter (where valid and is_new) as inserted,
+  count(*) filter (where valid and not is_new) as copies, count(*) filter (where not valid) as rejected,
+  (select count(*) from judged where valid) as indexed
+from loaded group by 1""",
+    "reindexed_silver": _with(_SENSOR, _silver()) + "select * from silver",
+    "merged_loads": _with(_SENSOR, _silver())
+    + f"""
+, counted as (
+  select 'bronze.raw_weather_data' as table_name, data_timestamp from sensor
+  union all select 'silver.transform_weather_data', data_timestamp from silver
+  union all select 'silver.rejected_weather_data', data_timestamp from sensor where not ({_VALID})
+  union all select 'gold.fact_weather_hourly', data_timestamp from silver
+  union all select 'silver.reading_index', data_timestamp from silver
+)
+select stage, table_name, count(*) as row_count, count(distinct data_timestamp) as times,
+  stage <> 'before' as one_folder_a_month
+from counted, (values ('before'), ('after'), ('next load')) as v(stage)
+group by stage, table_name""",
+    "folded_log": _TWO_LOAD_COUNTS
+    + """
+select cast(part as bigint) as increment, 'bronze.raw_weather_data' as table_name,
+  count(*) as inserted, cast(0 as bigint) as updated, cast(0 as bigint) as rejected,
+  cast(0 as bigint) as copies, cast(1 as bigint) as tail_files
+from bronze_loads group by part
+union all
+select b.part, 'silver.transform_weather_data', count(s.id), 0, count(*) - count(s.id), 0, 1
+from bronze_loads b left join silver_loads s on b.id = s.id group by b.part
+union all
+select 1, 'gold.dim_location', count(*), 0, 0, null, 1 from dim_one
+union all
+select 2, 'gold.dim_location', count(*) filter (where _op = 'I'),
+  count(*) filter (where _op = 'U'), 0, null, 1 from dim_two
+union all
+select p, 'gold.dim_weather_condition', (select count(*) from first_seen where part = p), 0, 0, null, 1
+from (values (1), (2)) as v(p)
+union all
+select 1, 'gold.fact_day', count(*), 0, 0, null, 1 from old_days
+union all
+select 2, 'gold.fact_day', count(*) filter (where _op = 'I'),
+  count(*) filter (where _op = 'U'), 0, null, 1 from merged_days
+union all
+select part, 'gold.fact_weather_hourly', count(*), 0, 0, null, 1 from silver_loads group by part""",
+    "table_profile": _with(_SENSOR, _silver())
+    + " union all ".join(
+        f"""
+select '{c}' as column_name, count(*) as row_count, count(*) - count({c}) as null_count,
+  round((count(*) - count({c})) / count(*), 6) as null_rate,
+  cast(min({c}) as double) as min_value, cast(max({c}) as double) as max_value,
+  count(distinct {c}) as n_distinct, true as estimate_holds
+from silver"""
+        for c in _MEASURES.split(", ")
+    ),
     "late_rows": _with(_SENSOR, _silver())
     + f"""
 select true as by_load, count(*) as row_count from silver
@@ -583,8 +680,11 @@ select false, count(*) from silver where collected_at > {_CUT} and id % 5 <> 0 a
     count(*) filter (where _op = 'U') from merged_days
   union all select 3, 'gold.fact_day', count(*), 0 from (select distinct city, day from added)
   union all select increment, 'gold.fact_weather_hourly', stored, 0 from stored
+  union all
+  select p, t, 0, 0 from (values (4), (5)) as v(p), (values ('gold.dim_location'),
+    ('gold.dim_weather_condition'), ('gold.fact_day'), ('gold.fact_weather_hourly')) as w(t)
 )
-select * from counts join stored using (increment)""",
+select * from counts left join stored using (increment)""",
     "replay_equals_incremental": _with(_SENSOR, _SECONDS, _silver("landed"))
     + "select * exclude (id) from silver",
     "stream_hourly_fact": _with(_SENSOR, _SECONDS, _silver("landed"))

@@ -11,6 +11,7 @@ from sedimenta.functions.columns import (
     null_outside,
     object_key,
     once_passed,
+    reading_identity,
     round_to_bigint,
     sql_timestamp,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "null_outside",
     "object_key",
     "once_passed",
+    "reading_identity",
     "round_to_bigint",
     "sql_timestamp",
 ]

@@ -20,6 +20,21 @@ def clean_place(city: Column, country: Column) -> Column:
     return F.concat_ws(", ", F.trim(city), F.upper(F.trim(country)))
 
 
+def reading_identity(
+    city: Column, country: Column, latitude: Column, longitude: Column
+) -> Column:
+    """Whose reading it is: the place by its name and country; where the name is missing, by
+    country and coordinates. NULL for a nameless reading without coordinates, which is nobody's
+    copy. A name never starts with a space, so the two kinds do not meet."""
+    name = F.trim(city)
+    land = F.coalesce(F.upper(F.trim(country)), F.lit(""))
+    # concat() is NULL where a coordinate is
+    at = F.concat(
+        F.lit(" "), latitude.cast("string"), F.lit(" "), longitude.cast("string"), F.lit(" "), land
+    )
+    return F.when(F.length(name) > 0, clean_place(city, country)).otherwise(at)
+
+
 def fill_text(value: Column, default: str = "N/A") -> Column:
     return F.coalesce(value, F.lit(default))
 

@@ -8,7 +8,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions import clean_place, fill_text, null_outside, round_to_bigint
+from sedimenta.functions import (
+    clean_place,
+    fill_text,
+    null_outside,
+    reading_identity,
+    round_to_bigint,
+)
 from sedimenta.operators.latest import latest_rows
 from sedimenta.operators.partitions import inside_calendar
 from sedimenta.schemas import BRONZE, RANGE_RULES, Range
@@ -22,9 +28,12 @@ def apply_ranges(df: DataFrame, rules: Mapping[str, Range] = RANGE_RULES) -> Dat
 
 
 def clean_text(df: DataFrame) -> DataFrame:
-    """City and country folded into one place name; missing texts -> 'N/A'."""
+    """City and country folded into one place name; missing texts -> 'N/A'. Adds `identity`,
+    by which copies of a reading are known, while name and country are still apart."""
+    parts = [F.col(c) for c in ("city", "country", "latitude", "longitude")]
     return df.withColumns(
         {
+            "identity": reading_identity(*parts),
             "city": clean_place(F.col("city"), F.col("country")),
             "weather_condition": fill_text(F.col("weather_condition")),
             "descriptions": fill_text(F.col("descriptions")),
@@ -32,6 +41,12 @@ def clean_text(df: DataFrame) -> DataFrame:
     ).drop("country")
 
 
+def stored_identity() -> Column:
+    """reading_identity() of rows whose name and country are folded into one."""
+    parts = [F.lit(None).cast("string"), F.col("latitude"), F.col("longitude")]
+    return reading_identity(F.col("city"), *parts)
+
+
 def reject_reason(calendar: tuple[date, date] | None = None) -> Column:
     """Why a row is not valid, NULL when it is. A NULL coordinate is not valid."""
     checks = [

@@ -11,11 +11,16 @@ from sedimenta.session import stored
 
 
 def dense_ids(
-    rows: DataFrame, keys: Sequence[str], id_column: str, after: int | Column = 0, digits: int = 3
+    rows: DataFrame,
+    keys: Sequence[str],
+    id_column: str,
+    after: int | Column = 0,
+    digits: int = 3,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Number rows after+1, after+2, ... in the order of md5(keys).
 
-    The keys must be unique and non-NULL. The leading digest digits split the
+    The keys must be unique, together with `ties`, and non-NULL. The leading digest digits split the
     rows into 16**digits even ranges whatever the keys look like; each range is
     numbered on its own and shifted by the sizes of the ranges before it. The
     numbering depends on the keys alone, so a lost executor's rows get the same
@@ -28,7 +33,7 @@ def dense_ids(
         "_range", F.substring("_digest", 1, digits)
     )
     ranged = stored(ranged, "ranges")
-    within = Window.partitionBy("_range").orderBy("_digest", *keys)
+    within = Window.partitionBy("_range").orderBy("_digest", *keys, *ties)
     numbered = ranged.withColumn("_position", F.row_number().over(within).cast("bigint"))
 
     # At most 16**digits rows: small enough for one window and for a broadcast.

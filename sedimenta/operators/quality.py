@@ -95,6 +95,54 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return one.select(F.inline("columns")).withColumn("null_rate", F.round(rate, 6))
 
 
+def profile_measures(columns: Sequence[str]) -> dict[str, Column]:
+    """The aggregates of a profile, to be observed while a table is written: with row_count,
+    NULLs, lowest and highest value of every column, and a sketch of its distinct values."""
+    measures = {}
+    for k, c in enumerate(columns):
+        measures[f"nulls_{k}"] = F.count_if(F.col(c).isNull())
+        measures[f"low_{k}"] = F.min(c).cast("double")
+        measures[f"high_{k}"] = F.max(c).cast("double")
+        measures[f"sketch_{k}"] = F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_BITS))
+    return measures
+
+
+#: log2 of a sketch's buckets: estimates are within 3 standard errors of 1.04 / sqrt(2^12), 4.9 %.
+SKETCH_BITS = 12
+
+
+def profile_rows(seen: Mapping[str, object], columns: Sequence[str]) -> list[dict]:
+    """What profile_measures() has observed, one row per column."""
+    total = seen["row_count"]
+    return [
+        {
+            "column_name": c,
+            "row_count": total,
+            "null_count": seen[f"nulls_{k}"],
+            "null_rate": round(seen[f"nulls_{k}"] / total, 6) if total else None,
+            "min_value": seen[f"low_{k}"],
+            "max_value": seen[f"high_{k}"],
+            "distinct_sketch": seen[f"sketch_{k}"] if total else None,
+        }
+        for k, c in enumerate(columns)
+    ]
+
+
+def merged_profiles(profiles: DataFrame) -> DataFrame:
+    """The profile of a whole table from those of its loads, without reading the table."""
+    merged = profiles.groupBy("table_name", "column_name").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("null_count").alias("null_count"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch", F.lit(True))).alias(
+            "distinct_estimate"
+        ),
+    )
+    rate = F.when(F.col("row_count") > 0, F.col("null_count") / F.col("row_count"))
+    return merged.withColumn("null_rate", F.round(rate, 6))
+
+
 def check_table(df: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> DataFrame:
     """Violations per declared constraint: (table_name, constraint_name, violations)."""
 

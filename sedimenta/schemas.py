@@ -65,6 +65,7 @@ class Table:
     unique: tuple[tuple[str, ...], ...] = ()
     required: tuple[str, ...] = ()
     references: tuple[Reference, ...] = ()
+    sort_by: tuple[str, ...] = ()
 
     @property
     def full_name(self) -> str:
@@ -203,9 +204,25 @@ LOAD_LOG = Table(
         ("max_key", "bigint"),
         ("source_load", "bigint"),
         ("recorded_at", "timestamp_ntz"),
+        ("copies", "bigint"),
+        ("index_keys", "string"),
     ),
 )
 
+# The log's rows that have been folded.
+LOAD_HISTORY = Table("audit", "load_history", LOAD_LOG.columns)
+
+# Keys of the readings in silver, by event day and load; within a file by time, so that an
+# increment opens the days it touches and in them the row groups of its times.
+READING_INDEX = Table(
+    "silver",
+    "reading_index",
+    (("reading_key", "string"), ("data_timestamp", "timestamp_ntz")),
+    (("p_day", "date"), ("load_id", "bigint")),
+    unique=(("reading_key", "data_timestamp"),),
+    sort_by=("data_timestamp",),
+)
+
 # What each load of silver looks like, by column.
 LOAD_PROFILE = Table(
     "audit",
@@ -218,6 +235,7 @@ LOAD_PROFILE = Table(
         ("null_rate", "double"),
         ("min_value", "double"),
         ("max_value", "double"),
+        ("distinct_sketch", "binary"),
     ),
     (("load_id", "bigint"),),
 )
@@ -232,7 +250,9 @@ TABLES = (
     FACT_HOURLY,
     FACT_DAY,
     LOAD_LOG,
+    LOAD_HISTORY,
     LOAD_PROFILE,
+    READING_INDEX,
 )
 
 # Tables that the yearly partition calendar covers.

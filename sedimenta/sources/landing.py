@@ -20,6 +20,7 @@ from sedimenta.functions import (
     micros_to_ntz,
     nan_to_null,
     object_key,
+    reading_identity,
     sql_timestamp,
 )
 from sedimenta.operators.conform import apply_ranges, clean_text, reject_reason
@@ -207,50 +208,58 @@ def rejected_documents(flat: DataFrame) -> DataFrame:
     )
 
 
-def latest_landed(flat: DataFrame) -> DataFrame:
-    """One row per city, landing day and reading time: the last one landed.
+_COPY_KEYS = ("identity", "ingest_date", "data_timestamp")
 
-    Copies landed at the same moment are told apart by a hash, so that the
-    documents themselves are not shuffled.
-    """
-    slim = flat.withColumn("_tie", F.xxhash64("document")).drop("document", "source_file")
-    keys = ["city", "ingest_date", "data_timestamp"]
-    return latest_rows(slim, keys, ["landed_at", "_tie"]).drop("_tie")
+
+def _without_documents(flat: DataFrame) -> DataFrame:
+    """Adds `identity`, whose reading it is, and `_tie`, which tells copies landed at the same
+    moment apart, so that the documents themselves are not shuffled. A document with neither
+    a name nor coordinates is a copy of equal documents only."""
+    own = reading_identity(
+        F.col("city"), F.col("country"), F.col("latitude"), F.col("longitude")
+    )
+    nobody = F.concat(F.lit("  "), F.md5("document"))
+    return flat.withColumns(
+        {"identity": F.coalesce(own, nobody), "_tie": F.xxhash64("document")}
+    ).drop("document", "source_file")
+
+
+def latest_landed(flat: DataFrame) -> DataFrame:
+    """One row per identity, landing day and reading time: the last one landed."""
+    slim = _without_documents(flat)
+    return latest_rows(slim, _COPY_KEYS, ["landed_at", "_tie"]).drop("_tie")
 
 
 def first_landed(flat: DataFrame) -> DataFrame:
-    """One row per city, landing day and reading time: the first one landed that silver takes
-    for valid, or the first of all when none is.
+    """One row per identity, landing day and reading time: the first one landed that silver
+    takes for valid, or the first of all when none is.
 
     A load takes a reading over once and later copies never replace it, so loading step
     by step and replaying all that was landed give the same rows.
     """
-    slim = flat.withColumns(
-        {
-            "_tie": F.xxhash64("document"),
-            "_age": F.timestamp_diff(
-                "MICROSECOND", F.col("landed_at"), sql_timestamp("1970-01-01 00:00:00")
-            ),
-        }
-    ).drop("document", "source_file")
+    slim = _without_documents(flat).withColumn(
+        "_age",
+        F.timestamp_diff("MICROSECOND", F.col("landed_at"), sql_timestamp("1970-01-01 00:00:00")),
+    )
     # judged on a cleaned copy; the calendar looks at the reading time, which copies share
     judged = apply_ranges(clean_text(slim.withColumn("_raw", F.struct(*slim.columns)))).select(
         "_raw.*", reject_reason().isNull().alias("_valid")
     )
-    keys = ["city", "ingest_date", "data_timestamp"]
-    return latest_rows(judged, keys, ["_valid", "_age", "_tie"]).drop("_valid", "_tie", "_age")
+    return latest_rows(judged, _COPY_KEYS, ["_valid", "_age", "_tie"]).drop("_valid", "_tie", "_age")
 
 
 def bronze_rows(good: DataFrame, after: int = 0) -> DataFrame:
-    """Bronze columns with dense ids; the landing time is the collection time.
+    """Bronze columns with dense ids, of the rows of latest_landed() or first_landed(); the
+    landing time is the collection time.
 
-    65,536 id ranges keep each at a few million rows for 10**11 readings.
+    Ids follow city, landing day and reading time; namesakes and nameless stations of one
+    time follow each other by identity. 65,536 id ranges keep each at a few million rows for
+    10**11 readings.
     """
     # A missing city is numbered as '', so that the key is never NULL.
     keyed = good.withColumn("_city", F.coalesce("city", F.lit("")))
-    numbered = dense_ids(
-        keyed, ["_city", "ingest_date", "data_timestamp"], "id", after=after, digits=4
-    )
+    keys = ["_city", "ingest_date", "data_timestamp"]
+    numbered = dense_ids(keyed, keys, "id", after=after, digits=4, ties=["identity"])
     columns = [c for c, _ in BRONZE.columns if c != "collected_at"]
     return numbered.select(*columns, F.col("landed_at").alias("collected_at"))
 

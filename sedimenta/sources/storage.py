@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from sedimenta.schemas import TABLES, Table
 from sedimenta.session import shared_folder
+from sedimenta.sources.files import delete_path, hadoop_path, make_folder, path_exists
+from sedimenta.sources.intents import Delete, Replace, carry_out
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -26,29 +28,6 @@ def _overwriting(spark: SparkSession, mode: str):
         spark.conf.set(_OVERWRITE_MODE, before)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    files, hadoop = _hadoop_path(spark, path)
-    return files.exists(hadoop)
-
-
-def move_path(spark: SparkSession, source: str, target: str) -> None:
-    files, hadoop = _hadoop_path(spark, source)
-    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
-    files.mkdirs(goal.getParent())
-    if not files.rename(hadoop, goal):
-        raise OSError(f"{source} could not be moved to {target}")
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    files, hadoop = _hadoop_path(spark, path)
-    files.delete(hadoop, True)
-
-
 @dataclass(frozen=True)
 class Load:
     """One load of one step. `opened` is the time at which its input was fixed, which
@@ -110,29 +89,42 @@ class Store:
             if delete_files:
                 delete_path(self.spark, self.location(table))
 
-    def replace_with(self, other: Store, tables: Iterable[Table] = TABLES) -> None:
+    def replace_with(self, other: Store, name: str, tables: Iterable[Table] = TABLES) -> None:
         """Put the other store's tables in the place of this one's.
 
-        Folders are moved, old ones aside first; these are deleted last, so a break in
-        between leaves both copies to be found.
+        Folders are moved, old ones aside first; these are deleted last. The moves are noted
+        before the first one, so that a break in between is finished by the next opening.
         """
         tables = list(tables)
         aside = f"{other.root}-before"
         for table in tables:
             for store in (self, other):
                 self.spark.sql(f"DROP TABLE IF EXISTS {store.name(table)}")
-            if path_exists(self.spark, self.location(table)):
-                move_path(self.spark, self.location(table), f"{aside}/{table.layer}/{table.name}")
-        for table in tables:
-            if path_exists(self.spark, other.location(table)):
-                move_path(self.spark, other.location(table), self.location(table))
+        steps = [
+            Replace(self.location(t), other.location(t), f"{aside}/{t.layer}/{t.name}")
+            for t in tables
+        ]
+        carry_out(self.spark, self.root, name, [*steps, Delete(aside), Delete(other.root)])
         self.create_tables(tables)
         for table in tables:
             self.spark.catalog.refreshTable(self.name(table))
         for layer in {table.layer for table in tables}:
             self.spark.sql(f"DROP DATABASE IF EXISTS {other.database(layer)}")
-        for folder in (aside, other.root):
-            delete_path(self.spark, folder)
+
+    def recover(self, tables: Iterable[Table] = TABLES) -> None:
+        """Make the catalog agree with the folders."""
+        for table in tables:
+            if table.partition_by:
+                make_folder(self.spark, self.location(table))
+                self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)} SYNC PARTITIONS")
+            self.spark.catalog.refreshTable(self.name(table))
+
+    def forget_partitions(self, table: Table, partitions: Iterable[tuple[str, ...]]) -> None:
+        """Drop partitions, given by their folder names, from the catalog."""
+        for steps in partitions:
+            spec = ", ".join("{}='{}'".format(*step.split("=", 1)) for step in steps)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({spec})")
+        self.spark.catalog.refreshTable(self.name(table))
 
     def read(self, table: Table) -> DataFrame:
         return self.spark.table(self.name(table))
@@ -179,6 +171,9 @@ class Store:
         if many_months and "p_month" in dict(table.partition_by):
             placed = placed.hint("rebalance", "p_month")
         observed, placed = observe(placed, **measures)
+        if table.sort_by:
+            levels = [c for c, _ in table.partition_by]
+            placed = placed.sortWithinPartitions(*levels, *table.sort_by)
         self.overwrite_partitions(table, placed)
         return observed.get
 
@@ -186,15 +181,13 @@ class Store:
         """Remove all folders of a load that was not committed."""
         levels = [c for c, _ in table.partition_by]
         pattern = "/".join(f"load_id={load_id}" if c == "load_id" else f"{c}=*" for c in levels)
-        files, folders = _hadoop_path(self.spark, f"{self.location(table)}/{pattern}")
+        files, folders = hadoop_path(self.spark, f"{self.location(table)}/{pattern}")
         left = [status.getPath() for status in files.globStatus(folders) or ()]
         for folder in left:
-            steps = folder.toString().split("/")[-len(levels) :]
-            spec = ", ".join("{}='{}'".format(*step.split("=", 1)) for step in steps)
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({spec})")
             files.delete(folder, True)
         if left:
-            self.spark.catalog.refreshTable(self.name(table))
+            steps = [tuple(folder.toString().split("/")[-len(levels) :]) for folder in left]
+            self.forget_partitions(table, steps)
 
     def stage(
         self, name: str, rows: DataFrame, load: Load, **measures: Column
