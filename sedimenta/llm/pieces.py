@@ -1,15 +1,15 @@
-"""SentencePiece encoding and decoding through a table of distinct chunks.
+"""SentencePiece encoding and decoding through a table of distinct words.
 
 No piece of a supported vocabulary holds a white-space marker after another character, so no
-merge reaches across the place before a marker, and none touches a character that stands in
-no piece. A text is cut there, into marked words; each batch of texts gives a table of its
-distinct chunks, every chunk of it is segmented once, and the ids are joined back by position.
-A worker remembers the chunks it has segmented, within a bound in bytes: of two generations the
-older one goes, and a chunk found in it moves to the younger.
+merge reaches across the place before a marker, and none touches a line end, which stands in no
+piece. A text is cut there, into marked words; each batch of texts gives a table of its distinct
+words, every word of it is segmented once, many of like length side by side, and the ids are
+joined back by position. A worker remembers the words it has segmented, within a bound in bytes:
+of two generations the older one goes, and a word found in it moves to the younger.
 
 Segmenting merges, again and again, the adjacent pair whose union is the piece of best score,
-the leftmost of equals. Characters that end in no piece become their bytes. A chunk of n
-characters takes n log n steps.
+the leftmost of equals. Characters that end in no piece become their bytes. A word of n
+characters takes n log n steps, however long it is.
 
 The model file is read once on the driver, its size is checked, and it is broadcast. It must be
 a BPE model with byte fallback that leaves characters as they are (no character map, a marker
@@ -36,11 +36,14 @@ from pyspark.sql import functions as F
 from sedimenta.llm.common import ship_package
 
 MAX_MODEL_BYTES = 64 << 20
-#: Bytes of remembered chunks and ids per generation, with what Python keeps for each.
+#: Bytes of remembered words per generation, with what Python keeps for each; checked between
+#: batches of texts.
 REMEMBERED_BYTES = 96 << 20
 ENTRY_BYTES = 200
-#: Chunks of more characters are merged with a heap and not remembered.
+#: Words of more characters are merged with a heap, each by itself.
 LONG = 48
+#: Slots of the hash table of mergeable pairs, a power of two; the model must fill half at most.
+PAIR_SLOTS = 1 << 19
 #: Characters of text taken at a time.
 AT_ONCE = 1 << 20
 MARK = "▁"
@@ -50,39 +53,10 @@ _NEVER = 1 << 60
 _LAST = np.int32(2**31 - 1)
 
 
-def chunk_pattern(pieces: Iterable[str]) -> re.Pattern:
-    """Cuts a marked text where no piece can reach across.
-
-    Characters that stand beside each other in a piece, directly or through others, form a
-    family. A chunk is a run of one family with the markers before it, a single character that
-    has no family, or a run of characters of no piece.
-    """
-    parent: dict[str, str] = {}
-
-    def family(c: str) -> str:
-        while parent.setdefault(c, c) != c:
-            parent[c] = c = parent[parent[c]]
-        return c
-
-    beside: set[str] = set()  # characters with a neighbour in a piece, be it their like
-    for piece in pieces:
-        inner = piece.lstrip(MARK)
-        for c in inner:
-            parent[family(inner[0])] = family(c)
-        if len(inner) > 1:
-            beside.update(inner)
-    families: dict[str, list[str]] = {}
-    for c in sorted(parent):
-        families.setdefault(family(c), []).append(c)
-
-    def any_of(characters: Iterable[str]) -> str:
-        return "".join(map(re.escape, characters))
-
-    runs = sorted((f for f in families.values() if f[0] in beside), key=lambda f: (-len(f), f))
-    alone = any_of(f[0] for f in families.values() if f[0] not in beside)
-    kinds = [f"[{any_of(f)}]+" for f in runs] + ([f"[{alone}]"] if alone else [])
-    marked = f"{MARK}*(?:{'|'.join(kinds)})|" if kinds else ""
-    return re.compile(f"{marked}{MARK}+|[^{MARK}{any_of(sorted(parent))}]+")
+def _slots(keys: np.ndarray) -> np.ndarray:
+    """Where in the hash table of pairs to look first."""
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(64 - PAIR_SLOTS.bit_length() + 1)).astype(np.int64)
 
 
 class Model:
@@ -124,19 +98,35 @@ class Model:
             else:
                 self.marked[i] = p.piece.startswith(MARK)
             self.surface.append(value)
-        self.surfaces = pa.array(self.surface, pa.large_binary())
-        self.chunk = chunk_pattern(self.ids)
-        # pairs of pieces whose union is a piece, for merging many chunks side by side
-        pairs = sorted(
-            (self.ids[left] << 32 | self.ids[right], self.place[piece], i)
-            for piece, i in self.ids.items()
-            for left, right in ((piece[:k], piece[k:]) for k in range(1, len(piece)))
-            if left in self.ids and right in self.ids
-        )
-        self.pair_keys = np.array([key for key, _, _ in pairs], np.int64)
-        self.pair_places = np.array([place for _, place, _ in pairs], np.int32)
-        self.pair_ids = np.array([i for _, _, i in pairs], np.int32)
-        self.single = {piece for piece in self.ids if len(piece) == 1}
+        # after the surfaces of all pieces the same without the marker before a text
+        unmarked = [s[1:] if marked else s for s, marked in zip(self.surface, self.marked)]
+        self.surfaces = pa.array(self.surface + unmarked, pa.large_binary())
+        # line ends stand alone where they are in no piece
+        self.alone = "" if any("\n" in piece for piece in self.ids) else "\n"
+        self.word = re.compile(f"{MARK}+[^{MARK}{self.alone}]*|{self.alone or MARK}|[^{MARK}{self.alone}]+")
+        # pairs of pieces whose union is a piece, in a hash table for many lookups at once
+        self.pair_keys = np.full(PAIR_SLOTS, -1, np.int64)
+        self.pair_places = np.full(PAIR_SLOTS, _LAST, np.int32)
+        self.pair_ids = np.zeros(PAIR_SLOTS, np.int32)
+        n_pairs = 0
+        for piece, i in self.ids.items():
+            if 2 * n_pairs > PAIR_SLOTS:
+                raise ValueError(f"more mergeable pairs than half of {PAIR_SLOTS}")
+            for k in range(1, len(piece)):
+                left, right = self.ids.get(piece[:k]), self.ids.get(piece[k:])
+                if left is not None and right is not None:
+                    key = left << 32 | right
+                    slot = int(_slots(np.array([key]))[0])
+                    while self.pair_keys[slot] >= 0:
+                        slot = (slot + 1) % PAIR_SLOTS
+                    self.pair_keys[slot] = key
+                    n_pairs += 1
+                    self.pair_places[slot], self.pair_ids[slot] = self.place[piece], i
+        self.character_ids = np.full(0x110000, -1, np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.character_ids[ord(piece)] = i
+        # ids of the words segmented so far, in two generations
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.young_bytes = 0
@@ -188,11 +178,11 @@ class Model:
                     heapq.heappush(waiting, (place[longer], before[k], longer))
         return [s for s in symbols if s]
 
-    def segment(self, chunk: str) -> list[int]:
-        """The ids of one chunk."""
-        merge = self._merge_short if len(chunk) <= LONG else self._merge_long
+    def segment(self, word: str) -> list[int]:
+        """The ids of one word."""
+        merge = self._merge_short if len(word) <= LONG else self._merge_long
         ids = []
-        for symbol in merge(list(chunk)):
+        for symbol in merge(list(word)):
             known = self.ids.get(symbol)
             if known is None:
                 ids += [self.byte_ids[b] for b in symbol.encode()]
@@ -203,12 +193,19 @@ class Model:
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and ids of the unions of pairs; _LAST where there is none."""
         keys = left.astype(np.int64) << 32 | right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        found = self.pair_keys[at] == keys
-        return np.where(found, self.pair_places[at], _LAST), self.pair_ids[at]
+        slots = _slots(keys)
+        there = self.pair_keys[slots]
+        other = np.nonzero((there != keys) & (there >= 0))
+        while len(other[0]):  # another pair is in the slot; this one may be in the next
+            slots[other] = (slots[other] + 1) % PAIR_SLOTS
+            there = self.pair_keys[slots[other]]
+            wrong = (there != keys[other]) & (there >= 0)
+            other = tuple(axis[wrong] for axis in other)
+        found = self.pair_keys[slots] == keys
+        return np.where(found, self.pair_places[slots], _LAST), self.pair_ids[slots]
 
     def _segment_rows(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids of many chunks of like length, one per row; -1 fills the rows."""
+        """The ids of many words of like length, one per row; -1 fills the rows."""
         n, width = symbols.shape
         rows = np.arange(n)
         out = np.full_like(symbols, -1)
@@ -240,59 +237,65 @@ class Model:
                 r, k = at[has], side[has]
                 places[r, k], unions[r, k] = self._pairs(symbols[r, k], symbols[r, k + 1])
 
-    def _segment_all(self, chunks: list[str]) -> dict[str, bytes]:
-        """The ids of new chunks, as the bytes of 32-bit integers."""
-        table, groups = {}, {}
-        single = self.single
-        for chunk in chunks:
-            if len(chunk) > LONG or not single.issuperset(chunk):
-                table[chunk] = np.array(self.segment(chunk), np.int32).tobytes()
-            elif len(chunk) == 1:
-                table[chunk] = np.int32(self.ids[chunk]).tobytes()
-            else:
-                groups.setdefault((len(chunk) + 3) // 4, []).append(chunk)
+    def _segment_all(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The ids of new words, as the bytes of 32-bit integers."""
+        table: dict[str, bytes] = {}
+        groups: dict[int, list[str]] = {}
+        for word in words:
+            groups.setdefault((len(word) + 3) // 4, []).append(word)
         for fours, group in groups.items():
+            if not fours or 4 * fours > LONG:
+                for word in group:
+                    table[word] = np.array(self.segment(word), np.int32).tobytes()
+                continue
             lengths = np.fromiter(map(len, group), np.int64, len(group))
+            characters = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32)
             symbols = np.full((len(group), 4 * fours), -1, np.int32)
             filled = np.arange(4 * fours) < lengths[:, None]
-            symbols[filled] = list(map(self.ids.__getitem__, "".join(group)))
+            symbols[filled] = self.character_ids[characters]
             ids = self._segment_rows(symbols)
             left = ids >= 0
             flat, ends = ids[left].tobytes(), (4 * left.sum(axis=1).cumsum()).tolist()
-            for chunk, start, end in zip(group, [0, *ends], ends):
-                table[chunk] = flat[start:end]
+            for word, start, end in zip(group, [0, *ends], ends):
+                table[word] = flat[start:end]
+            # characters of no piece become bytes, which the rows cannot hold
+            for k in np.flatnonzero((symbols < 0).sum(axis=1) > 4 * fours - lengths).tolist():
+                table[group[k]] = np.array(self.segment(group[k]), np.int32).tobytes()
         return table
 
     def cut(self, text: str) -> list[str]:
+        """Marked words: a marker, or several, with what follows up to the next one; line ends
+        stand alone."""
         if not text:
             return []
-        return self.chunk.findall(MARK + text.replace(" ", MARK))
-
-    def _remember(self, chunk: str, ids: bytes) -> None:
-        self.young[chunk] = ids
-        self.young_bytes += len(chunk) + len(ids) + ENTRY_BYTES
-        if self.young_bytes > REMEMBERED_BYTES:
-            self.old, self.young, self.young_bytes = self.young, {}, 0
-
-    def _table(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of each distinct chunk."""
-        young, old = self.young, self.old
-        table = {chunk: young[chunk] for chunk in chunks if chunk in young}
-        fresh = [chunk for chunk in chunks if chunk not in table]
-        moved = {chunk: old[chunk] for chunk in fresh if chunk in old}
-        learnt = self._segment_all([chunk for chunk in fresh if chunk not in moved])
-        for chunk, ids in (moved | learnt).items():
-            table[chunk] = ids
-            if len(chunk) <= LONG:
-                self._remember(chunk, ids)
-        return table
+        if "  " in text or MARK in text or text[0] == " ":
+            return self.word.findall(MARK + text.replace(" ", MARK))
+        marked = MARK + text.replace(" ", " " + MARK)
+        if self.alone:
+            marked = marked.replace("\n", " \n ")
+        return marked.split(" ")
+
+    def _learn(self, fresh: set[str]) -> None:
+        """Adds words to the younger generation, from the older one or segmented."""
+        old = self.old
+        found = {word: old[word] for word in fresh if word in old}
+        found |= self._segment_all([word for word in fresh if word not in found])
+        self.young |= found
+        self.young_bytes += sum(map(len, found)) + sum(map(len, found.values()))
+        self.young_bytes += ENTRY_BYTES * len(found)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the bytes of 32-bit integers."""
+        if self.young_bytes > REMEMBERED_BYTES:
+            self.old, self.young, self.young_bytes = self.young, {}, 0
+        known = self.young.get
         cut = [self.cut(text) for text in texts]
-        table = self._table({chunk for chunks in cut for chunk in chunks})
-        at = table.__getitem__
-        return [b"".join(map(at, chunks)) for chunks in cut]
+        found = [list(map(known, words)) for words in cut]
+        gaps = [k for k, ids in enumerate(found) if None in ids]
+        self._learn({w for k in gaps for w, ids in zip(cut[k], found[k]) if ids is None})
+        for k in gaps:
+            found[k] = [known(w) if ids is None else ids for w, ids in zip(cut[k], found[k])]
+        return list(map(b"".join, found))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_batch([text])[0], np.int32).tolist()
@@ -307,29 +310,27 @@ class Model:
             said = ~self.silent[ids]
             offsets = np.concatenate([[0], said.cumsum()])[offsets]
             ids = ids[said]
+        # the marker before the text is the first character of its first piece
+        starts = offsets[:-1][offsets[1:] > offsets[:-1]]
+        ids = ids.astype(np.int32)  # a copy
+        ids[starts] += len(self.surface)
         flat = self.surfaces.take(pa.array(ids, pa.int32()))
         lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), flat)
         joined = pc.binary_join(lists, pa.scalar(b"", pa.large_binary()))
         try:
-            texts = joined.cast(pa.large_string())
+            return joined.cast(pa.large_string())
         except pa.ArrowInvalid:  # bytes that are no UTF-8
             pairs = zip(offsets.tolist(), offsets[1:].tolist())
             whole = [self._decode_slowly(ids[a:b].tolist()) for a, b in pairs]
-            texts = pa.array(whole, pa.large_string())
-        if not len(ids):
-            return texts
-        # the marker before the text is the first character of its first piece
-        first = ids[np.minimum(offsets[:-1], len(ids) - 1)]
-        drop = (offsets[1:] > offsets[:-1]) & self.marked[first]
-        return pc.if_else(pa.array(drop), pc.utf8_slice_codeunits(texts, 1), texts)
+            return pa.array(whole, pa.large_string())
 
     def _decode_slowly(self, ids: list[int]) -> str:
         parts, run = [], b""
         for i in ids:
-            if self.is_byte[i]:
-                run += self.surface[i]
+            if self.is_byte[i % len(self.surface)]:
+                run += self.surfaces[i].as_py()
                 continue
-            parts += [utf8_or_marks(run), self.surface[i].decode()]
+            parts += [utf8_or_marks(run), self.surfaces[i].as_py().decode()]
             run = b""
         return "".join([*parts, utf8_or_marks(run)])
 
@@ -355,7 +356,7 @@ _loaded: dict[int, Model] = {}
 
 
 def _model(shared) -> Model:
-    """One model per worker process and file; its memory of chunks lasts as long."""
+    """One model per worker process and file; its memory of words lasts as long."""
     key = hash(shared.value)
     if key not in _loaded:
         _loaded[key] = Model(shared.value)

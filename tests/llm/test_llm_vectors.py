@@ -84,20 +84,21 @@ def test_any_ids_decode_as_in_the_library(library, model):
         decoded(model, [[32_000]])
 
 
-def test_chunks_never_cut_a_piece(model):
+def test_words_never_cut_a_piece(model):
     for piece in model.ids:
-        assert len(model.chunk.findall(piece)) == 1
+        assert model.word.findall(piece) == [piece]
 
 
-def test_remembered_chunks_stay_within_bytes(library, monkeypatch):
+def test_remembered_words_stay_within_bytes(library, monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED_BYTES", 40_000)
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
         model = pieces.Model(file.read())
     for k in range(30):
         text = " ".join(f"w{chr(97 + j % 26)}ord{k}{j}" for j in range(200)) + " common words"
         assert model.encode(text) == library.encode(text)
-        assert model.young_bytes <= 40_000
-    assert "▁common" in model.young or "▁common" in model.old
+        assert model.young_bytes <= 40_000 + 202 * (40 + pieces.ENTRY_BYTES)
+    assert "▁common" in model.young
+    assert len(model.young) + len(model.old) < 4 * 202
 
 
 def test_pieces_of_edge_rows(spark, library):
