@@ -118,15 +118,16 @@ def insert_if_absent(
     target: DataFrame, source: DataFrame, key: str, id_column: str
 ) -> DataFrame:
     """New distinct keys with their ids; existing rows are never touched."""
-    missing = (
-        source.select(key)
-        .where(F.col(key).isNotNull())
-        .distinct()
-        .join(target.select(key), key, "left_anti")
-    )
+    missing = absent_keys(target, source, key)
     return dense_ids(missing, [key], id_column, after=highest(target, id_column))
 
 
+def absent_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The distinct keys of the source that the target does not have."""
+    keys = source.select(key).where(F.col(key).isNotNull()).distinct()
+    return keys.join(target.select(key), key, "left_anti")
+
+
 def not_in(df: DataFrame, column: str, listing: DataFrame, listed: str) -> DataFrame:
     """SQL `column NOT IN (SELECT listed ...)` with its NULL rules, by a hash anti
     join that shuffles; Spark's own NOT IN has to broadcast the whole list.

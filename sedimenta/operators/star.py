@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions import day_of, once_passed
 from sedimenta.operators.keys import day_key
 from sedimenta.operators.latest import latest_rows, latest_values
-from sedimenta.operators.merge import upsert, upsert_with_ids
+from sedimenta.operators.merge import touched_rows, upsert, upsert_with_ids
 from sedimenta.schemas import MEASURES, SILVER
 
 _NEWEST_FIRST = ("collected_at", "data_timestamp", "id")
@@ -48,6 +48,12 @@ def merge_newest(
     )
 
 
+def changed_locations(dim: DataFrame, newest: DataFrame) -> DataFrame:
+    """What merge_newest() would insert or update, tagged `_op`; inserted rows have no id yet."""
+    merged = upsert(dim, newest, ["city"], update=["latitude", "longitude"], whole=False)
+    return touched_rows(merged)
+
+
 def with_day(silver: DataFrame, local_day: bool = False) -> DataFrame:
     """Adds `day`: the UTC date, or the date at the reading's own offset."""
     moment: Column = F.col("data_timestamp")

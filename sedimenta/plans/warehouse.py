@@ -24,10 +24,12 @@ from sedimenta.functions import day_of, sql_timestamp
 from sedimenta.operators import conform as clean
 from sedimenta.operators import star
 from sedimenta.operators.incremental import newer_than
+from sedimenta.operators.keys import dense_ids, highest
 from sedimenta.operators.merge import (
     INSERTED,
+    absent_keys,
     apply_changes,
-    insert_if_absent,
+    number_inserts,
     op_measures,
     touched_rows,
 )
@@ -405,10 +407,16 @@ class Warehouse:
     def _load_locations(self, days: DataFrame, load: Load) -> dict:
         """New cities are appended; only a moved city makes the table be rewritten."""
         dim = self.store.read(DIM_LOCATION)
-        merged = touched_rows(star.merge_newest(dim, star.locations_of(days), whole=False))
         changes, counts = self.store.stage(
-            "locations", _stamp_inserts(merged), load, **op_measures()
+            "changed_locations",
+            star.changed_locations(dim, star.locations_of(days)),
+            load,
+            **op_measures(),
         )
+        if counts["inserted"]:  # most increments bring no new city and need no numbers
+            top = highest(dim, "location_id")
+            numbered = number_inserts(changes, "location_id", ["city"], top)
+            changes, _ = self.store.stage("locations", _stamp_inserts(numbered), load)
         if counts["updated"]:
             after = apply_changes(dim, changes, ["city"])
             staged, _ = self.store.stage("dim_location", after, load)
@@ -420,11 +428,14 @@ class Warehouse:
 
     def _load_conditions(self, days: DataFrame, load: Load) -> dict:
         dim = self.store.read(DIM_CONDITION)
-        new = insert_if_absent(
-            dim, star.conditions_of(days), "weather_condition", "weather_condition_id"
+        key, id_column = "weather_condition", "weather_condition_id"
+        new, seen = self.store.stage(
+            "new_conditions", absent_keys(dim, star.conditions_of(days), key), load
         )
-        rows, seen = self.store.stage("conditions", new.withColumn("created_at", _now()), load)
         if seen["row_count"]:
+            numbered = dense_ids(new, [key], id_column, after=highest(dim, id_column))
+            stamped = numbered.withColumn("created_at", _now())
+            rows, _ = self.store.stage("conditions", stamped, load)
             # A failed attempt may have appended them already.
             self.store.append(DIM_CONDITION, rows.join(dim, "weather_condition", "left_anti"))
         return _entry(DIM_CONDITION, seen["row_count"])
