@@ -24,6 +24,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +32,12 @@ from pyspark.sql import functions as F
 from sedimenta.llm.common import ship_package
 
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Pieces and chunks remembered by a worker; the older half goes when there are more.
-REMEMBERED = 400_000
+#: Bytes of remembered pieces, and of chunks, per generation, with what Python keeps for each;
+#: checked between batches.
+REMEMBERED_BYTES = 48 << 20
+ENTRY_BYTES = 200
+#: Slots of the hash table of merges, a power of two; they must fill half at most.
+PAIR_SLOTS = 1 << 19
 #: Pieces of more bytes have a tree of their own; shorter ones are merged side by side.
 WIDEST = 64
 #: Characters of text taken at a time.
@@ -79,6 +84,40 @@ class PairTree:
             tree[node] = low
 
 
+class Remembered:
+    """Ids of pieces or chunks in two generations of bounded size. What is met again moves to
+    the younger one, so frequent words stay."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.bytes = 0
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """The keys that neither generation knows."""
+        fresh = {key for key in keys if key not in self.young}
+        old = self.old
+        for key in [key for key in fresh if key in old]:
+            self.put(key, old[key])
+            fresh.discard(key)
+        return fresh
+
+    def put(self, key: str, ids: bytes) -> None:
+        self.young[key] = ids
+        self.bytes += len(key) + len(ids) + ENTRY_BYTES
+
+    def age(self) -> None:
+        """Between batches: a full younger generation becomes the older one."""
+        if self.bytes > REMEMBERED_BYTES:
+            self.old, self.young, self.bytes = self.young, {}, 0
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    """Where in the hash table of merges to look first."""
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(64 - PAIR_SLOTS.bit_length() + 1)).astype(np.int64)
+
+
 class Tokenizer:
     def __init__(self, file: bytes):
         spec = json.loads(file)
@@ -97,15 +136,23 @@ class Tokenizer:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             merged = vocabulary[left + right]
             self.merges[vocabulary[left], vocabulary[right]] = (rank, merged)
-        order = sorted((left << 20 | right, *m) for (left, right), m in self.merges.items())
-        self.pair_keys = np.array([key for key, _, _ in order], np.int64)
-        self.pair_ranks = np.array([rank for _, rank, _ in order], np.int64)
+        if 2 * len(self.merges) > PAIR_SLOTS:
+            raise ValueError(f"more merges than half of {PAIR_SLOTS}")
+        self.pair_keys = np.full(PAIR_SLOTS, -1, np.int64)
+        self.pair_ranks = np.full(PAIR_SLOTS, NO_RANK, np.int64)
+        keys = np.array([left << 20 | right for left, right in self.merges], np.int64)
+        for key, slot, (rank, _) in zip(keys.tolist(), _slots(keys).tolist(), self.merges.values()):
+            while self.pair_keys[slot] >= 0:
+                slot = (slot + 1) % PAIR_SLOTS
+            self.pair_keys[slot], self.pair_ranks[slot] = key, rank
         self.merged = np.array([m for _, m in self.merges.values()], np.int32)
         self.inner_ids = np.array(self.inner, np.int32)
         self.last_ids = np.array(self.last, np.int32)
         self.tokens = {i: t for t, i in vocabulary.items()}
         self.special = {t["content"]: t["id"] for t in added}
         self.tokens |= {t["id"]: t["content"] for t in added}
+        texts = [self.tokens.get(i) for i in range(max(self.tokens) + 1)]
+        self.texts = pa.array(texts, pa.large_string())
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_pattern = (
             regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if added else None
@@ -114,8 +161,7 @@ class Tokenizer:
         pattern = splits[0]["pattern"]["Regex"].replace(r"\s", _WHITE)
         self.piece_pattern = regex.compile(pattern + r"|\n")
         self.chunk_pattern = regex.compile(f"[^{_WHITE}]+")
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.chunks, self.pieces = Remembered(), Remembered()
 
     def merge(self, ids: list[int]) -> list[int]:
         """The symbols of one piece after all merges."""
@@ -146,8 +192,15 @@ class Tokenizer:
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of ids; NO_RANK where there is no merge or an id is -1."""
         keys = left.astype(np.int64) << 20 | right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_RANK)
+        slots = _slots(keys)
+        there = self.pair_keys[slots]
+        other = np.nonzero((there != keys) & (there >= 0))
+        while len(other[0]):  # another pair is in the slot; this one may be in the next
+            slots[other] = (slots[other] + 1) % PAIR_SLOTS
+            there = self.pair_keys[slots[other]]
+            wrong = (there != keys[other]) & (there >= 0)
+            other = tuple(axis[wrong] for axis in other)
+        return np.where(self.pair_keys[slots] == keys, self.pair_ranks[slots], NO_RANK)
 
     def merge_rows(self, ids: np.ndarray) -> None:
         """Merges every row of a matrix of symbols in place; -1 fills the rows and what merges.
@@ -213,7 +266,7 @@ class Tokenizer:
             data = piece.encode()
             if len(data) > WIDEST:
                 ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-                self.pieces[piece] = np.array(self.merge(ids), np.int32).tobytes()
+                self.pieces.put(piece, np.array(self.merge(ids), np.int32).tobytes())
             else:
                 groups.setdefault(max(1, (len(data) - 1).bit_length()), []).append((piece, data))
         for power, group in groups.items():
@@ -228,7 +281,7 @@ class Tokenizer:
             flat, ends = ids[left].tobytes(), 4 * left.sum(axis=1).cumsum()
             start = 0
             for (piece, _), stop in zip(group, ends.tolist()):
-                self.pieces[piece] = flat[start:stop]
+                self.pieces.put(piece, flat[start:stop])
                 start = stop
 
     def learn(self, chunks: set[str]) -> None:
@@ -241,15 +294,15 @@ class Tokenizer:
         text = unicodedata.normalize("NFC", "\n".join(order))
         text = text.replace("Σ", "σ").lower()  # no final form of sigma
         cut = self.piece_pattern.findall(text)
-        self._merge_all(list(set(cut).difference(self.pieces, "\n")))
-        ids, k = [], 0
+        self._merge_all(list(self.pieces.missing(set(cut).difference("\n"))))
+        ids, k, known = [], 0, self.pieces.young
         for piece in cut:
             if piece == "\n":
-                self.chunks[order[k]] = b"".join(ids)
+                self.chunks.put(order[k], b"".join(ids))
                 ids, k = [], k + 1
             else:
-                ids.append(self.pieces[piece])
-        self.chunks[order[k]] = b"".join(ids)
+                ids.append(known[piece])
+        self.chunks.put(order[k], b"".join(ids))
 
     def _cut(self, text: str) -> list[str]:
         """The chunks of a text; split() knows four separators more than the pattern does."""
@@ -259,11 +312,9 @@ class Tokenizer:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the bytes of 32-bit integers."""
-        for remembered in (self.chunks, self.pieces):
-            if len(remembered) > REMEMBERED:
-                for old in list(remembered)[: len(remembered) // 2]:
-                    del remembered[old]
-        known = self.chunks
+        self.chunks.age()
+        self.pieces.age()
+        known = self.chunks.young
         cut: list[list[str | bytes]] = []
         for text in texts:
             if self.special_pattern is None or not self.special_pattern.search(text):
@@ -277,6 +328,7 @@ class Tokenizer:
                     parts += self._cut(part)
             cut.append(parts)
         fresh = {c for parts in cut for c in parts if c not in known and isinstance(c, str)}
+        fresh = self.chunks.missing(fresh)
         if fresh:
             self.learn(fresh)
         try:
@@ -288,7 +340,17 @@ class Tokenizer:
         return np.frombuffer(self.encode_batch([text])[0], np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join(map(self.tokens.__getitem__, ids))
+        return self.decode_lists(np.array(ids, np.int32), np.array([0, len(ids)]))[0].as_py()
+
+    def decode_lists(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The texts of lists of ids, given flat with their offsets."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.texts)):
+            raise KeyError("an id is not in the vocabulary")
+        words = self.texts.take(pa.array(ids, pa.int32()))
+        if words.null_count:
+            raise KeyError("an id is not in the vocabulary")
+        lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), words)
+        return pc.binary_join(lists, pa.scalar(" ", pa.large_string()))
 
 
 _loaded: dict[int, Tokenizer] = {}
@@ -341,11 +403,10 @@ def decode(df: DataFrame, vocabulary, ids: str = "ids", text: str = "decoded") -
 
     @F.arrow_udf("string")
     def decoded(lists: pa.Array) -> pa.Array:
-        tokenizer = _tokenizer(vocabulary)
         filled = lists.fill_null([])
-        values = filled.values.to_numpy(zero_copy_only=False)
-        offsets = filled.offsets.to_pylist()
-        pairs = zip(offsets, offsets[1:])
-        return pa.array([tokenizer.decode(values[a:b].tolist()) for a, b in pairs], pa.string())
+        offsets = filled.offsets.to_numpy().astype(np.int64)
+        values = filled.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+        texts = _tokenizer(vocabulary).decode_lists(values, offsets - offsets[0])
+        return texts.cast(pa.string())
 
     return df.withColumn(text, decoded(F.col(ids)))
