@@ -524,6 +524,8 @@ from silver_loads group by part""",
     + f"select {_DAY_KEY} as fact_day_id, * exclude (_op) from merged_days",
     "stored_daily_summary": _with(*_DIMS)
     + _SUMMARY.format(hourly="hourly join dim_location using (location_id)"),
+    "merged_daily_summary": _with(*_DIMS)
+    + _SUMMARY.format(hourly="hourly join dim_location using (location_id)"),
     "stored_counts": _TWO_LOAD_COUNTS
     + f"""
 select 'bronze.raw_weather_data' as table_name, count(*) as row_count from sensor

@@ -545,6 +545,19 @@ def stored_daily_summary(spark, sf_dir):
     return star.daily_summary(warehouse.table(FACT_HOURLY), warehouse.table(DIM_LOCATION))
 
 
+def merged_daily_summary(spark, sf_dir):
+    """The summary added up from three loads, which all have rows of every day, after their folders
+    have been merged."""
+    warehouse = _scratch_warehouse(spark)
+    readings = sensor_readings(spark, sf_dir)
+    for part in range(3):
+        warehouse.append_readings(readings.where(F.col("id") % 3 == part))
+        warehouse.transform()
+        warehouse.load_gold()
+    warehouse.merge_loads(least=2)
+    return warehouse.daily_summary()
+
+
 def stored_counts(spark, sf_dir):
     """Rows per stored table after two increments, and the listed tables."""
     warehouse = _loaded_warehouse(spark, sf_dir)
@@ -947,6 +960,7 @@ ALL = (
     load_audit,
     stored_fact_day,
     stored_daily_summary,
+    merged_daily_summary,
     stored_counts,
     stored_created_at,
     load_profile,

@@ -170,27 +170,47 @@ def hourly_rows(silver: DataFrame, dim_location: DataFrame, dim_condition: DataF
     )
 
 
-def daily_summary(hourly: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """Readings, mean, lowest and highest temperature per city and day.
-
-    Aggregates first, then joins the names to the few summary rows.
-    """
-    daily = (
+def daily_state(hourly: DataFrame) -> DataFrame:
+    """What hourly rows add to the summary, one row per location and day."""
+    return (
         hourly.withColumn("day", day_of(F.col("data_timestamp")))
         .groupBy("location_id", "day")
         .agg(
             F.count(F.lit(1)).alias("readings"),
-            (F.sum("temperature").cast("double") / F.count("temperature")).alias("mean"),
+            F.count("temperature").alias("measured"),
+            F.sum("temperature").cast("decimal(25,2)").alias("total_temperature"),
             F.min("temperature").alias("min_temperature"),
             F.max("temperature").alias("max_temperature"),
         )
     )
-    return daily.join(dim_location.select("location_id", "city"), "location_id").select(
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """States of several loads added up, one row per location and day."""
+    return states.groupBy("location_id", "day").agg(
+        F.sum("readings").alias("readings"),
+        F.sum("measured").alias("measured"),
+        F.sum("total_temperature").cast("decimal(25,2)").alias("total_temperature"),
+        F.min("min_temperature").alias("min_temperature"),
+        F.max("max_temperature").alias("max_temperature"),
+    )
+
+
+def summary_of(states: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """Readings, mean, lowest and highest temperature per city and day, from one state for each.
+
+    The names are joined to the few summary rows."""
+    mean = F.col("total_temperature").cast("double") / F.nullif(F.col("measured"), F.lit(0))
+    return states.join(dim_location.select("location_id", "city"), "location_id").select(
         "city",
         "day",
         "readings",
-        F.round("mean", 6).alias("avg_temperature"),
+        F.round(mean, 6).alias("avg_temperature"),
         "min_temperature",
         "max_temperature",
     )
 
+
+def daily_summary(hourly: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """The summary computed from the hourly rows themselves."""
+    return summary_of(daily_state(hourly), dim_location)

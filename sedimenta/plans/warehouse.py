@@ -44,6 +44,7 @@ from sedimenta.plans.log import MERGE, OPEN, LoadLog, Progress, own_key
 from sedimenta.schemas import (
     BRONZE,
     BRONZE_REJECTS,
+    DAILY_STATE,
     DIM_CONDITION,
     DIM_LOCATION,
     FACT_DAY,
@@ -94,7 +95,7 @@ class Options:
 
 #: Append tables whose load folders are merged, and the step that fills each. What its
 #: readers have taken over bounds the merge.
-_MERGED = (BRONZE, BRONZE_REJECTS, SILVER, SILVER_REJECTS, READING_INDEX, FACT_HOURLY)
+_MERGED = (BRONZE, BRONZE_REJECTS, SILVER, SILVER_REJECTS, READING_INDEX, FACT_HOURLY, DAILY_STATE)
 #: Days up to which the time range of an increment is given day by day.
 MOST_DAYS = 64
 
@@ -282,11 +283,12 @@ class Warehouse:
 
     def _store_profile(self, written: dict, load: Load) -> None:
         """What the write of a silver load has seen of its measures; no second read."""
-        rows = profile_rows(written, [c for c, _ in MEASURES])
+        seen = profile_rows(written, [c for c, _ in MEASURES])
+        names = [c for c, _ in LOAD_PROFILE.columns]
         ddl = ", ".join(f"{c} {t}" for c, t in LOAD_PROFILE.columns)
-        named = [tuple((row | {"table_name": SILVER.full_name}).get(c) for c, _ in LOAD_PROFILE.columns) for row in rows]
+        rows = [(SILVER.full_name, *[row[c] for c in names[1:]]) for row in seen]
         self.store.write_load(
-            LOAD_PROFILE, self.spark.createDataFrame(named, ddl).coalesce(1), load.load_id
+            LOAD_PROFILE, self.spark.createDataFrame(rows, ddl).coalesce(1), load.load_id
         )
 
     def profile(self) -> DataFrame:
@@ -401,6 +403,7 @@ class Warehouse:
             self._load_days(days, load),
             self._load_hourly(increment, load, many_months) | {"source_load": newest_load},
         ]
+        self._store_daily(load)
         self._commit(load, "gold", begun["batch_key"], entries)
         self.store.unstage(load)
 
@@ -468,7 +471,8 @@ class Warehouse:
         return _entry(FACT_DAY, counts["inserted"], counts["updated"])
 
     def _load_hourly(self, increment: DataFrame, load: Load, many_months: bool) -> dict:
-        rows = star.hourly_rows(increment, self.store.read(DIM_LOCATION), self.store.read(DIM_CONDITION))
+        locations, conditions = self.store.read(DIM_LOCATION), self.store.read(DIM_CONDITION)
+        rows = star.hourly_rows(increment, locations, conditions)
         seen = self.store.write_load(
             FACT_HOURLY,
             with_month(rows.withColumn("created_at", _now()), "data_timestamp"),
@@ -478,6 +482,25 @@ class Warehouse:
         )
         return _entry(FACT_HOURLY, seen["row_count"]) | {"mark_high": seen["newest"]}
 
+    def _store_daily(self, load: Load) -> None:
+        """What the load's hourly rows add to the daily summary. A warehouse that has loads
+        from before there was a summary gets theirs as one."""
+        hourly = self.store.read(FACT_HOURLY)
+
+        def add(rows: DataFrame, load_id: int) -> None:
+            state = star.daily_state(rows)
+            self.store.write_load(DAILY_STATE, with_month(state, "day"), load_id)
+
+        if load.load_id > 1 and not self.store.has_files(DAILY_STATE):
+            add(hourly.where(F.col("load_id") < load.load_id), load.load_id - 1)
+        add(hourly.where(F.col("load_id") == load.load_id), load.load_id)
+
+    def daily_summary(self) -> DataFrame:
+        """Readings and temperatures per city and day, from what every load has added: the
+        hourly fact is not read."""
+        states = star.merged_states(self.table(DAILY_STATE))
+        return star.summary_of(states, self.store.read(DIM_LOCATION))
+
     # ---- checks ------------------------------------------------------------
 
     def check(self) -> DataFrame:
@@ -567,6 +590,7 @@ def _committed_load(table: Table, progress: Progress) -> int:
         SILVER_REJECTS: SILVER,
         READING_INDEX: SILVER,
         LOAD_PROFILE: SILVER,
+        DAILY_STATE: FACT_HOURLY,
     }
     return progress.of(own.get(table, table), "load_id") or 0
 

@@ -188,6 +188,22 @@ FACT_DAY = Table(
     references=(Reference("location_id", "gold.dim_location", "location_id"),),
 )
 
+# What every load adds to the daily summary; summaries are sums and extremes over loads.
+DAILY_STATE = Table(
+    "gold",
+    "daily_summary_state",
+    (
+        ("location_id", "bigint"),
+        ("day", "date"),
+        ("readings", "bigint"),
+        ("measured", "bigint"),
+        ("total_temperature", "decimal(25,2)"),
+        ("min_temperature", "decimal(5,2)"),
+        ("max_temperature", "decimal(5,2)"),
+    ),
+    MONTH_AND_LOAD,
+)
+
 LOAD_LOG = Table(
     "audit",
     "load_log",
@@ -249,6 +265,7 @@ TABLES = (
     DIM_LOCATION,
     FACT_HOURLY,
     FACT_DAY,
+    DAILY_STATE,
     LOAD_LOG,
     LOAD_HISTORY,
     LOAD_PROFILE,

@@ -112,10 +112,8 @@ def _merge(store: Store, table: Table, bins: list[Bin]) -> dict:
     n_new = spark.read.schema(old.schema).parquet(beside).count()
     if n_old != n_new:
         raise ArithmeticError(f"{table.full_name}: {n_old} rows became {n_new} when merged")
-    replaced = [
-        Replace(one.top.path, f"{beside}/{'/'.join(one.top.steps)}", f"{aside}/{'/'.join(one.top.steps)}")
-        for one in bins
-    ]
+    tails = [(one.top.path, "/".join(one.top.steps)) for one in bins]
+    replaced = [Replace(path, f"{beside}/{tail}", f"{aside}/{tail}") for path, tail in tails]
     gone = [f for one in bins for f in one.folders[:-1]]
     deleted = [Delete(f.path) for f in gone] + [Delete(beside), Delete(aside)]
     carry_out(spark, store.root, f"merge-{mark}", [*replaced, *deleted])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.schemas import TABLES, Table
 from sedimenta.session import shared_folder
-from sedimenta.sources.files import delete_path, hadoop_path, make_folder, path_exists
+from sedimenta.sources.files import delete_path, hadoop_path, list_names, make_folder, path_exists
 from sedimenta.sources.intents import Delete, Replace, carry_out
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -80,6 +80,11 @@ class Store:
     def exists(self, table: Table) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
 
+    def has_files(self, table: Table) -> bool:
+        """Whether anything has been written; hidden names do not count."""
+        names = list_names(self.spark, self.location(table))
+        return any(not name.startswith(("_", ".")) for name in names)
+
     def list_tables(self, layer: str) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(self.database(layer)))
 

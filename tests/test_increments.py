@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 from checks.queries import _documents, _two_loads
 from checks.sensor import sensor_readings
 from sedimenta.functions import reading_identity
+from sedimenta.operators import star
 from sedimenta.operators.quality import merged_profiles, profile
 from sedimenta.plans import warehouse as plans
 from sedimenta.plans.warehouse import Options, Warehouse
 from sedimenta.schemas import (
     BRONZE,
     BRONZE_REJECTS,
+    DAILY_STATE,
+    DIM_LOCATION,
     FACT_HOURLY,
     LOAD_HISTORY,
     LOAD_PROFILE,
@@ -427,6 +430,25 @@ def test_merged_profiles_equal_one_of_the_table(spark, two_loads):
     assert SILVER.name not in plan
 
 
+def summary_rows(df):
+    return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
+
+
+def test_the_stored_summary_equals_one_of_the_fact(spark, two_loads):
+    def computed():
+        hourly = two_loads.table(FACT_HOURLY)
+        return summary_rows(star.daily_summary(hourly, two_loads.store.read(DIM_LOCATION)))
+
+    assert summary_rows(two_loads.daily_summary()) == computed()
+    plan = two_loads.daily_summary()._jdf.queryExecution().executedPlan().toString()
+    assert FACT_HOURLY.name not in plan
+    # a warehouse from before there was a summary
+    two_loads.store.drop_tables([DAILY_STATE], delete_files=True)
+    two_loads.store.create_tables([DAILY_STATE])
+    two_loads.load_gold()
+    assert summary_rows(two_loads.daily_summary()) == computed()
+
+
 def test_the_profile_of_an_empty_load(spark, parts, root):
     warehouse = Warehouse(spark, root, "empty_profile_")
     warehouse.append_readings(parts[0].limit(0))
