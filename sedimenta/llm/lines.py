@@ -2,7 +2,8 @@
 
 A linear-chain CRF reads the lines of a text that hold a word, in order. Its weights are
 fitted by maximum likelihood on labelled documents: lines of good documents count as
-content, lines of bad ones as boilerplate. Viterbi decoding gives the likeliest label
+content; which lines of a bad document are boilerplate is not known, only that some are, and
+the field finds out by itself. Viterbi decoding gives the likeliest label
 sequence of every whole text; the share of its words in content lines decides whether the
 text is retained. Two base rules reject before that: fewer than 50 words, or more than half
 of the words inside repeated 3-word windows.
@@ -79,7 +80,11 @@ def features_of(data: bytes) -> tuple[np.ndarray, list[bytes]]:
 
 
 def fit_chain(sequences: list[np.ndarray], labels: list[int]) -> Chain:
-    """Maximum likelihood by gradient steps over all sequences at once; both labels weigh alike."""
+    """Maximum likelihood by gradient steps over all sequences at once; both labels weigh alike.
+
+    All lines of a good document are content. Of a bad one only so much is known that not all are,
+    so its target is the field's own expectation given that.
+    """
     weights, steps = np.zeros((LINE_FEATURES, 2)), np.zeros((2, 2))
     if len(set(labels)) < 2:
         return Chain(weights, steps)
@@ -91,14 +96,10 @@ def fit_chain(sequences: list[np.ndarray], labels: list[int]) -> Chain:
     y = np.array(labels)
     share = np.bincount(y, minlength=2) / len(y)
     weight = (0.5 / share[y] / len(y))[:, None, None]
-    gold = np.zeros((len(y), longest, 2))
-    gold[np.arange(len(y)), :, y] = 1
-    gold *= mask
-    pairs = mask[:, 1:, 0] * mask[:, :-1, 0]  # a document has one label: all its steps are stays
+    bad = y == 0
+    pairs = mask[:, 1:, 0] * mask[:, :-1, 0]
     sizes = mask.sum(1)[:, 0]
     per_line = weight / sizes[:, None, None]  # documents weigh alike, however long
-    gold_steps = np.zeros((2, 2))
-    np.add.at(gold_steps, (y, y), pairs.sum(1) * per_line[:, 0, 0])
     moment = [np.zeros_like(weights), np.zeros_like(steps)]
     spread = [np.zeros_like(weights), np.zeros_like(steps)]
     for step in range(1, _STEPS + 1):
@@ -119,9 +120,18 @@ def fit_chain(sequences: list[np.ndarray], labels: list[int]) -> Chain:
             + (emit + backward)[:, 1:, None, :]
             - total[:, None, None]
         ) * (pairs[:, :, None, None])
+        # the share of sequences with a line of boilerplate, and expectations among these
+        all_content = (emit[:, :, CONTENT] * mask[:, :, 0]).sum(1) + pairs.sum(1) * steps[1, 1]
+        mixed = np.maximum(-np.expm1(np.minimum(all_content - total[:, 0], 0)), 1e-9)
+        given = np.where(bad, 1 / mixed, 0)[:, None]
+        gold, gold_joint = np.zeros_like(marginal), joint * given[:, :, None, None]
+        gold[:, :, 0] = np.minimum(marginal[:, :, 0] * given, mask[:, :, 0])
+        gold[:, :, CONTENT] = mask[:, :, 0] - gold[:, :, 0]
+        gold_joint[:, :, 1, 1] = 0
+        gold_joint[:, :, 1, 1] = np.maximum(pairs - gold_joint.sum((2, 3)), 0)
         gradients = [
             np.einsum("ntf,ntl->fl", x, (gold - marginal) * per_line) - _DECAY * weights,
-            gold_steps - np.einsum("ntab,n->ab", joint, per_line[:, 0, 0]) - _DECAY * steps,
+            np.einsum("ntab,n->ab", gold_joint - joint, per_line[:, 0, 0]) - _DECAY * steps,
         ]
         for k, (value, gradient) in enumerate(zip((weights, steps), gradients)):
             moment[k] = 0.9 * moment[k] + 0.1 * gradient
@@ -131,27 +141,32 @@ def fit_chain(sequences: list[np.ndarray], labels: list[int]) -> Chain:
     return Chain(weights, steps)
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "quality") -> Chain:
-    """Fits the field on the bounded sample of labelled documents described above."""
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Chain:
+    """Fits the field on the bounded sample of labelled documents described above.
+
+    labels has the columns doc_id and quality. Ids and text hashes meet them, no texts: the
+    texts of the sample are picked by their hashes in a scan of their own.
+    """
     n_lines = F.size(F.split(F.col(text), "\n"))
-    usable = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where(
-        (F.octet_length("text") <= SAMPLE_BYTES) & (n_lines <= SAMPLE_LINES)
+    usable = (F.octet_length(text) <= SAMPLE_BYTES) & (n_lines <= SAMPLE_LINES)
+    hashed = docs.where(usable).select(
+        F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text")
     )
-    hashed = usable.withColumn("_hash", F.xxhash64("text"))
-    hashes = stored(hashed.select("label", "_hash").distinct(), "label-hashes")
-    chosen = F.lit(False)
+    known = labels.select(F.col("doc_id").alias("_of"), F.col("quality").alias("label"))
+    met = hashed.select("_id", "_hash").join(known, F.col("_id") == F.col("_of"))
+    hashes = stored(met.select("label", "_hash").distinct(), "label-hashes")
+    chosen = []
     for value in (0, 1):
         lowest = hashes.where(F.col("label") == value).orderBy("_hash").limit(SAMPLE).collect()
-        chosen |= (F.col("label") == value) & F.col("_hash").isin([r["_hash"] for r in lowest])
-    texts = hashed.where(chosen).select("label", "_hash", "text").distinct()
-    sample, taken = [], [0, 0]
-    for r in texts.orderBy("label", "_hash", "text").toLocalIterator():
-        if taken[r.label] < SAMPLE:  # distinct texts can share a hash
-            taken[r.label] += 1
-            sample.append((r.text.encode(), r.label))
-    rows = [(features_of(data)[0], value) for data, value in sample]
-    rows = [(x, value) for x, value in rows if len(x)]
-    return fit_chain([x for x, _ in rows], [value for _, value in rows])
+        chosen.append({r["_hash"] for r in lowest})
+    texts = hashed.where(F.col("_hash").isin(sorted(chosen[0] | chosen[1]))).select("_hash", "_text")
+    sample, taken = [], set()
+    for r in texts.distinct().orderBy("_hash", "_text").toLocalIterator():
+        if r["_hash"] not in taken:  # of texts that share a hash the first
+            taken.add(r["_hash"])
+            rows = features_of(r["_text"].encode())[0]
+            sample += [(rows, value) for value in (0, 1) if r["_hash"] in chosen[value] and len(rows)]
+    return fit_chain([rows for rows, _ in sample], [value for _, value in sample])
 
 
 def label_lines(

@@ -39,8 +39,12 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % folds == fold, F.lit(False))
 
 
+def label_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+
+
 def with_labels(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), "quality")
+    labels = label_table(spark, sf_dir).withColumnRenamed("doc_id", "_id")
     return df.join(labels, F.col("doc_id") == F.col("_id")).drop("_id")
 
 
@@ -63,7 +67,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    chain = lines.train(with_labels(documents, spark, sf_dir))
+    chain = lines.train(documents, label_table(spark, sf_dir))
     judged = F.col("lines")
     return lines.label_lines(documents, chain).select(
         "doc_id",
