@@ -28,15 +28,16 @@ SHINGLE_WORDS = 5
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    chain = lines.train(Q.with_labels(docs.select("doc_id", "text"), spark, sf_dir))
+    chain = lines.train(docs, Q.label_table(spark, sf_dir))
     judged = lines.label_lines(docs, chain, into="_lines")
     return judged.where(lines.retained(F.col("_lines"))).select(*docs.columns)
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labelled = Q.with_labels(docs.select("doc_id", "text"), spark, sf_dir)
-    rows = stored(quality.with_stats(labelled).select("stats", "quality"), "labelled-stats")
-    model = quality.fit(rows)
+    rows = stored(
+        quality.with_stats(docs.select("doc_id", "text")).select("doc_id", "stats"), "document-stats"
+    )
+    model = quality.fit(Q.with_labels(rows, spark, sf_dir).select("stats", "quality"))
     scored = quality.score(quality.with_stats(docs, into="_stats"), model, "_stats", "_score")
     return scored.where(F.col("_score") >= Q.QUALITY_THRESHOLD).select(*docs.columns)
 
