@@ -153,14 +153,44 @@ def test_viterbi_is_the_best_sequence():
 
 
 def test_quality_rules_edge_rows(spark, edge):
-    chain = lines.train(edge.withColumn("quality", F.lit(1)))  # one label only
+    labels = edge.select("doc_id", F.lit(1).alias("quality"))
+    chain = lines.train(edge, labels)  # one label only
     rows = lines.label_lines(edge, chain).collect()
     assert len(rows) == edge.count()
     for row in rows:
         assert tuple(row["lines"][c] for c in lines.COUNTS) == base(row.text)
         assert all(label == lines.CONTENT for label in row["lines"]["labels"])
     assert lines.label_lines(edge.limit(0), chain).count() == 0
-    assert lines.train(edge.limit(0).withColumn("quality", F.lit(1))).viterbi is not None
+    assert not lines.train(edge.limit(0), labels).lines.any()
+    assert not lines.train(edge, labels.limit(0)).lines.any()
+
+
+def test_lines_of_half_junk_texts_differ(spark):
+    """Bad texts hold good lines too; the field is not told which of their lines are bad."""
+    draw = random.Random(6)
+
+    def good():
+        return " ".join(draw.choices(["the", "river", "runs", "past", "old", "walls"], k=14)) + "."
+
+    def junk():
+        return " ".join(draw.choices(["BUY ##", "NOW $$", "FREE %%", "WIN &&"], k=9))
+
+    rows, labels = [], []
+    for k in range(160):
+        parts = [good() for _ in range(6)]
+        if k % 2:
+            parts[k % 4 : k % 4 + 3] = [junk() for _ in range(3)]
+        rows.append((k, "\n".join(parts)))
+        labels.append((k, 1 - k % 2))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    chain = lines.train(
+        docs.where("doc_id < 100"), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    )
+    for row in lines.label_lines(docs.where("doc_id >= 100"), chain).collect():
+        expected = [0 if set(line) & set("#$%&") else 1 for line in row.text.split("\n")]
+        assert row["lines"]["labels"] == expected
+        share = row["lines"]["content_words"] / row["lines"]["n_words"]
+        assert 0 < share < 1 if row.doc_id % 2 else share == 1
 
 
 # ---- classifier ----------------------------------------------------------------
@@ -204,17 +234,17 @@ def test_isotonic_never_falls():
 def test_copies_do_not_fill_the_sample(spark, monkeypatch):
     monkeypatch.setattr(lines, "SAMPLE", 5)
     texts = [(f"text {k}", k % 2) for k in range(30)]
-    once = spark.createDataFrame(texts, "text string, quality int")
+    once = spark.createDataFrame([(k, *row) for k, row in enumerate(texts)], "doc_id int, text string, quality int")
     lowest = once.orderBy(F.xxhash64("text")).where("quality = 1").limit(2)
-    copies = lowest.crossJoin(spark.range(40)).select("text", "quality")
+    copies = lowest.crossJoin(spark.range(40)).selectExpr("doc_id + 100 * (id + 1) doc_id", "text", "quality")
     fitted = []
     monkeypatch.setattr(lines, "fit_chain", lambda rows, labels: fitted.append((len(rows), labels)))
     seen = []
     monkeypatch.setattr(lines, "features_of", lambda data: (seen.append(data) or [data], []))
-    lines.train(once)
-    lines.train(once.union(copies))
+    for rows in (once, once.union(copies)):
+        lines.train(rows.select("doc_id", "text"), rows.select("doc_id", "quality"))
     assert seen[:10] == seen[10:] and len(set(seen)) == 10
-    assert fitted == [(10, [0] * 5 + [1] * 5)] * 2
+    assert [(n, sorted(labels)) for n, labels in fitted] == [(10, [0] * 5 + [1] * 5)] * 2
 
 
 # ---- language model ------------------------------------------------------------
