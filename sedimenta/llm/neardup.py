@@ -4,11 +4,14 @@ Texts of the same words form one class, and all further work is on classes, so e
 copies cost no comparison. The distinct word shingles of a class are hashed, FUNCTIONS
 universal hash functions are minimised over them, and the minima are cut into BANDS bands
 of ROWS. Classes that agree in a band share a bucket. Two sets with a similarity of 0.8 agree
-in no band once in ten million cases, and differ in more than a third of their minima practically never.
+in no band once in ten million cases, and differ in two fifths of their minima practically never.
 
 Within a bucket no pairs are made wholesale. The first pass compares every member with one
-pivot. A comparison first counts the minima that differ, inside the join, by four bits of each
-(the signature); what passes is compared on the full sets. Where a
+pivot. Inside the join a comparison looks at three things: the sizes of the sets, the Hamming
+distance of their parity sketches, and how many of SIGNED minima differ in four bits (the
+signature). Every shingle flips one bit of the sketch, so the distance never exceeds the size of the
+symmetric difference, which is a ninth of the two sizes together at a similarity of 0.8: sizes and
+sketches lose no link. What passes is compared on the full sets. Where a
 bucket's members then still belong to different components, more pivots are drawn, PIVOTS times
 as many with each pass, and compared with the members of other components only. This ends when
 every bucket is one component or all its members have been pivots, so no link that could
@@ -25,6 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +42,13 @@ from sedimenta.llm.components import connected
 BANDS, ROWS = 40, 5
 FUNCTIONS = BANDS * ROWS
 SIMILAR = 80  # per cent
-WORDS_OF_BITS = -(-FUNCTIONS // 16)
+SIGNED = 128  # minima of a signature
 #: Minima that may differ in their last four bits before the full sets are not compared. At a
-#: similarity of 0.8 the mean is 37.5 of 200 with a deviation of 5.5; 70 are six deviations off.
-MOST_DIFFERENT = 70
+#: similarity of 0.8 the mean is 24 of 128 with a deviation of 4.4; 51 are six deviations off.
+MOST_DIFFERENT = 51
+#: Words of 64 bits of a parity sketch and of the signature behind it.
+SKETCH, SIGNATURE = 16, SIGNED // 16
+_PLANES = 4
 PIVOTS = 8
 BUCKET_PART = 256
 _REMEMBERED = 400_000
@@ -107,12 +114,18 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype(np.uint32)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity of the number of shingles that fall on each of 64 * SKETCH bits."""
+    places = (_mixed(shingles) & np.uint64(64 * SKETCH - 1)).astype(np.int64)
+    odd = np.bincount(places, minlength=64 * SKETCH).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def signature(low: np.ndarray) -> np.ndarray:
-    """Four bits of every minimum, sixteen minima to a word."""
-    bits = np.zeros(16 * WORDS_OF_BITS, np.uint64)
-    bits[:FUNCTIONS] = low & np.uint32(0xF)
-    shifts = np.arange(0, 64, 4, dtype=np.uint64)
-    return np.bitwise_or.reduce(bits.reshape(-1, 16) << shifts, axis=1).view(np.int64)
+    """The last four bits of the first SIGNED minima: of every 64 minima four words, one a bit."""
+    bits = low[:SIGNED, None] >> np.arange(_PLANES, dtype=np.uint32) & np.uint32(1)
+    planes = bits.astype(np.uint8).reshape(-1, 64, _PLANES).transpose(0, 2, 1)
+    return np.packbits(np.ascontiguousarray(planes)).view(np.int64)
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
@@ -129,13 +142,13 @@ def _text_key(text: Column) -> Column:
 
 
 def with_classes(df: DataFrame, width: int, text: str = "text") -> DataFrame:
-    """Adds the class of every row: its key (of the words), n_shingles, signature and buckets.
+    """Adds the class of every row: its key (of the words), n_shingles, marks (sketch and signature) and buckets.
 
     Copies within a batch are hashed once.
     """
     ship_package(df.sparkSession)
     kind = (
-        "struct<key: binary, n_shingles: bigint, signature: array<bigint>, buckets: array<bigint>>"
+        "struct<key: binary, n_shingles: bigint, marks: array<bigint>, buckets: array<bigint>>"
     )
 
     @F.arrow_udf(kind)
@@ -149,14 +162,15 @@ def with_classes(df: DataFrame, width: int, text: str = "text") -> DataFrame:
                 shingles = shingle_set(words, width)
                 if len(shingles):
                     low = minima(shingles)
-                    known[key] = (key, len(shingles), signature(low), band_keys(low))
+                    marks = np.concatenate([sketch(shingles), signature(low)])
+                    known[key] = (key, len(shingles), marks, band_keys(low))
                 else:
                     known[key] = (key, 0, np.zeros(0, np.int64), np.zeros(0, np.int64))
             rows.append(known[key])
         columns = list(zip(*rows)) or [()] * 4
         types = (pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
         arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
-        return pa.StructArray.from_arrays(arrays, ["key", "n_shingles", "signature", "buckets"])
+        return pa.StructArray.from_arrays(arrays, ["key", "n_shingles", "marks", "buckets"])
 
     return df.withColumn("_class", classes(F.col(text)))
 
@@ -173,20 +187,27 @@ def _with_sets(df: DataFrame, width: int, text: str) -> DataFrame:
     return df.withColumn("_set", sets(F.col(text)))
 
 
-def likely(left: Column, right: Column) -> Column:
-    """Whether so few minima differ in their four bits that the sets may be similar.
+def likely(n: Column, marks: Column, other_n: Column, other_marks: Column) -> Column:
+    """Whether the sizes, sketches and signatures of two sets leave a similarity of 0.8 possible.
 
     Evaluated inside the joins of buckets, so that pairs that only share a bucket never
     become rows.
     """
-    fours = F.lit(0x1111111111111111)
-    differing = []
-    for k in range(WORDS_OF_BITS):
-        x = left[k].bitwiseXOR(right[k])
-        halves = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        any_bit = halves.bitwiseOR(F.shiftrightunsigned(halves, 2))
-        differing.append(F.bit_count(any_bit.bitwiseAND(fours)))
-    return reduce(lambda a, b: a + b, differing) <= MOST_DIFFERENT
+    differing = [
+        F.get(marks, F.lit(k)).bitwiseXOR(F.get(other_marks, F.lit(k)))
+        for k in range(SKETCH + SIGNATURE)
+    ]
+    flipped = reduce(add, [F.bit_count(x) for x in differing[:SKETCH]])
+    minima_off = [
+        F.bit_count(reduce(Column.bitwiseOR, differing[k : k + _PLANES]))
+        for k in range(SKETCH, SKETCH + SIGNATURE, _PLANES)
+    ]
+    # 100 c >= SIMILAR (a + b - c) for the common c, so a + b - 2 c is at most this share of a + b
+    return (
+        (100 * F.least(n, other_n) >= SIMILAR * F.greatest(n, other_n))
+        & ((100 + SIMILAR) * flipped <= (100 - SIMILAR) * (n + other_n))
+        & (reduce(add, minima_off) <= MOST_DIFFERENT)
+    )
 
 
 def _sided(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
@@ -205,7 +226,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _pairs_to_test(members: DataFrame, roots: DataFrame, tested: DataFrame, pivots: int):
+def _pairs_to_test(
+    members: DataFrame, marked: DataFrame, roots: DataFrame, tested: DataFrame, pivots: int
+):
     """Pairs of members of different components that share an unfinished bucket, one of them
     a pivot; None once there is no such bucket left."""
     placed = members.join(
@@ -219,7 +242,9 @@ def _pairs_to_test(members: DataFrame, roots: DataFrame, tested: DataFrame, pivo
         .select(F.col("bucket").alias("_bucket"), "_n")
     )
     placed = stored(
-        placed.join(open_buckets, F.col("bucket") == F.col("_bucket")).drop("_bucket"),
+        placed.join(open_buckets, F.col("bucket") == F.col("_bucket"))
+        .drop("_bucket")
+        .join(marked, "key"),
         "open-buckets",
     )
     if placed.isEmpty():
@@ -235,7 +260,8 @@ def _pairs_to_test(members: DataFrame, roots: DataFrame, tested: DataFrame, pivo
         F.col("bucket").alias("_bucket"),
         F.col("key").alias("_pivot"),
         F.col("root").alias("_root"),
-        F.col("signature").alias("_signature"),
+        F.col("n_shingles").alias("_size"),
+        F.col("marks").alias("_marks"),
     )
     dealt = placed.withColumn("_part", F.pmod(F.xxhash64("key"), parts).cast("int"))
     pairs = dealt.repartition(tasks, "bucket", "_part").join(
@@ -243,7 +269,7 @@ def _pairs_to_test(members: DataFrame, roots: DataFrame, tested: DataFrame, pivo
         (F.col("bucket") == F.col("_bucket"))
         & (F.col("_part") == F.col("_part_of"))
         & (F.col("root") != F.col("_root"))
-        & likely(F.col("signature"), F.col("_signature")),
+        & likely(F.col("n_shingles"), F.col("marks"), F.col("_size"), F.col("_marks")),
     ).select(F.least("key", "_pivot").alias("u"), F.greatest("key", "_pivot").alias("v"))
     return stored(pairs.distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
 
@@ -270,13 +296,13 @@ def find(df: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text")
     )
     compared = placed.select("key").distinct()
     signed = stored(
-        classes.select("key", "doc_id", "_text_hash", "signature").join(
+        classes.select("key", "doc_id", "_text_hash", "n_shingles", "marks").join(
             compared, "key", "left_semi"
         ),
         "signatures",
     )
-    signatures = signed.select("key", "signature")
-    members = stored(placed.join(signatures, "key"), "members")
+    marked = signed.select("key", "n_shingles", "marks")
+    members = placed.select("key", "bucket")
     one = signed.select(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash"), "key")
     texts = rows.withColumn("_hash_of", F.xxhash64("_text")).join(
         one, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash_of") == F.col("_hash"))
@@ -284,19 +310,19 @@ def find(df: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text")
     sets = _with_sets(texts, width, "_text").select("key", "_set")
     sets = stored(sets.dropDuplicates(["key"]), "sets")
 
-    pivot = signatures.select(F.col("key").alias("u"), F.col("signature").alias("_signature"))
-    first = members.select(F.col("_first").alias("u"), F.col("key").alias("v"), "signature")
-    first = first.where(F.col("u") != F.col("v")).dropDuplicates(["u", "v"])
-    met = first.join(
-        pivot.withColumnRenamed("u", "_u"),
-        (F.col("u") == F.col("_u")) & likely(F.col("signature"), F.col("_signature")),
+    first = placed.select(F.col("_first").alias("u"), F.col("key").alias("v"))
+    first = first.where(F.col("u") != F.col("v")).distinct()
+    met = first.join(marked.withColumnRenamed("key", "v"), "v").join(
+        _sided(marked, "_u", {"n_shingles": "_size", "marks": "_marks"}),
+        (F.col("u") == F.col("_u"))
+        & likely(F.col("n_shingles"), F.col("marks"), F.col("_size"), F.col("_marks")),
     )
     pairs = stored(met.select("u", "v"), "pairs")
     tested, pivots = pairs, 1
     roots = stored(connected(_confirmed(pairs, sets)), "roots")
     while True:
         pivots *= PIVOTS
-        pairs = _pairs_to_test(members, roots, tested, pivots)
+        pairs = _pairs_to_test(members, marked, roots, tested, pivots)
         if pairs is None:
             break
         found = stored(_confirmed(pairs, sets), "links")

@@ -87,6 +87,35 @@ def test_hot_groups_lose_no_link(spark):
     assert found_components(df, 2) == expected_components(rows, 2)
 
 
+def test_sketches_lose_no_similar_pair(spark):
+    """The distance of two sketches never exceeds the symmetric difference; likely() keeps every
+    pair of 0.8 or more and leaves out most that fall short."""
+    import numpy as np
+
+    draw = np.random.RandomState(3)
+    rows, similar, short = [], 0, 0
+    for k in range(400):
+        a = np.unique(draw.randint(0, 1 << 62, draw.choice([1, 5, 60, 300, 1500])).astype(np.uint64))
+        fresh = draw.randint(0, 1 << 62, len(a) // 8 + 1).astype(np.uint64)
+        b = np.unique(np.concatenate([a[draw.randint(0, len(a) // 4 + 1) :], fresh[: draw.randint(0, len(fresh) + 1)]]))
+        if not len(b):
+            continue
+        apart = sum((int(x) & (2**64 - 1)).bit_count() for x in neardup.sketch(a) ^ neardup.sketch(b))
+        assert apart <= len(np.setxor1d(a, b))
+        common = len(np.intersect1d(a, b))
+        marks = [
+            [int(x) for x in np.concatenate([neardup.sketch(x), neardup.signature(neardup.minima(x))])]
+            for x in (a, b)
+        ]
+        is_similar = 100 * common >= 80 * (len(a) + len(b) - common)
+        rows.append((len(a), marks[0], len(b), marks[1], is_similar))
+    df = spark.createDataFrame(rows, "n bigint, m array<bigint>, k bigint, o array<bigint>, is_similar boolean")
+    passes = neardup.likely(F.col("n"), F.col("m"), F.col("k"), F.col("o"))
+    found = {(r.is_similar, r.passes): r["count"] for r in df.groupBy("is_similar", passes.alias("passes")).count().collect()}
+    assert (True, False) not in found and found[True, True] > 50
+    assert found[False, False] > 3 * found.get((False, True), 0)
+
+
 def test_near_duplicate_edge_rows(spark):
     long = " ".join(f"word{k}" for k in range(20_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One"), (5, "one"), (6, "a b"), (7, "A  B\n"), (None, "x y z"),
