@@ -50,7 +50,9 @@ MOST_DIFFERENT = 51
 SKETCH, SIGNATURE = 16, SIGNED // 16
 _PLANES = 4
 PIVOTS = 8
-BUCKET_PART = 256
+#: Members of a bucket that meet all its pivots in one task: at most 17 million comparisons of some
+#: 50 ns where as many are pivots.
+BUCKET_PART = 4096
 _REMEMBERED = 400_000
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
