@@ -16,7 +16,6 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -233,40 +232,36 @@ class Warehouse:
             calendar=options.calendar,
             shifted_wind=options.shifted_wind,
         ).withColumn("created_at", _now())
-        # Two tables are written from it; like the shuffle before it, it stays on
-        # the executors' disks and is computed again where one is lost.
-        tagged = tagged.persist(StorageLevel.DISK_ONLY)
-        try:
-            scan, watched = observe(
-                tagged,
-                rejected=F.count_if(F.col("reject_reason").isNotNull()),
-                newest=F.max("collected_at"),
-            )
-            valid = with_month(clean.valid_rows(watched), "data_timestamp")
-            if self._index_keys:
-                copies = self._index(tagged, load, progress)
-                if copies is not None:
-                    valid = valid.join(copies, "id", "left_anti")
-            written = self.store.write_load(
-                SILVER,
-                valid,
-                load.load_id,
-                many_months,
-                newest=F.max("collected_at"),
-                **profile_measures([c for c, _ in MEASURES]),
-            )
-            scanned = scan.get
-            rejected = scanned["rejected"]
-            if rejected:
-                # Rows above the target's mark can be scanned twice; they are
-                # reported as rejected the first time only.
-                fresh = clean.rejected_rows(tagged)
-                already = progress.of(SILVER, "scanned_high")
-                if already and not self.options.by_load:
-                    fresh = newer_than(fresh, "collected_at", already)
-                rejected = self.store.write_load(SILVER_REJECTS, fresh, load.load_id)["row_count"]
-        finally:
-            tagged.unpersist()
+        # The keys, silver and the rejects are each taken from stored bronze: cleaning is a
+        # projection, cheaper than a copy of all columns, and the keys need few of them.
+        scan, watched = observe(
+            tagged,
+            rejected=F.count_if(F.col("reject_reason").isNotNull()),
+            newest=F.max("collected_at"),
+        )
+        valid = with_month(clean.valid_rows(watched), "data_timestamp")
+        if self._index_keys:
+            copies = self._index(tagged, load, progress)
+            if copies is not None:
+                valid = valid.join(copies, "id", "left_anti")
+        written = self.store.write_load(
+            SILVER,
+            valid,
+            load.load_id,
+            many_months,
+            newest=F.max("collected_at"),
+            **profile_measures([c for c, _ in MEASURES]),
+        )
+        scanned = scan.get
+        rejected = scanned["rejected"]
+        if rejected:
+            # Rows above the target's mark can be scanned twice; they are
+            # reported as rejected the first time only.
+            fresh = clean.rejected_rows(tagged)
+            already = progress.of(SILVER, "scanned_high")
+            if already and not self.options.by_load:
+                fresh = newer_than(fresh, "collected_at", already)
+            rejected = self.store.write_load(SILVER_REJECTS, fresh, load.load_id)["row_count"]
         self._store_profile(written, load)
         entry = {
             "table_name": SILVER.full_name,
@@ -343,12 +338,12 @@ class Warehouse:
         age = F.struct(F.col("collected_at").isNull(), "collected_at", "id")
         on = ["reading_key", "data_timestamp"]
         firsts = narrow.groupBy(*on, "p_day").agg(F.min_by("id", age).alias("id"))
-        kept, watched = observe(firsts.join(taken.select(*on), on, "left_anti"))
-        fresh = stored(watched, "reading-firsts")
-        self.store.write_load(READING_INDEX, fresh, load.load_id)
-        if seen.get["row_count"] == kept.get["row_count"]:
+        fresh = firsts.join(taken.select(*on), on, "left_anti")
+        kept = self.store.write_load(READING_INDEX, fresh.drop("id"), load.load_id)
+        if seen.get["row_count"] == kept["row_count"]:
             return None
-        return stored(narrow.select("id").join(fresh, "id", "left_anti"), "reading-copies")
+        # the index has no ids; they are found again from the stored keys, and only here
+        return stored(narrow.select("id").join(fresh.select("id"), "id", "left_anti"), "reading-copies")
 
     def _complete_index(self, load: Load, progress: Progress) -> None:
         """Build the index anew where silver has loads that it does not know or knows by other

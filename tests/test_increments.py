@@ -472,3 +472,37 @@ def test_merge_takes_over_loads_only(spark, two_loads, parts):
     assert set(before) < set(bronze_ids(warehouse))
     names = {r["table_name"] for r in warehouse.log.merges().collect()}
     assert {BRONZE.full_name, SILVER.full_name, FACT_HOURLY.full_name, READING_INDEX.full_name} <= names
+
+
+# ---- passes over an increment ------------------------------------------------
+
+
+def test_an_increment_is_neither_cached_nor_its_keys_written_twice(spark, sf_dir, root, monkeypatch):
+    """Silver, its rejects and the index come from stored bronze; scratch copies hold the narrow
+    keys only, and the ids of copies where there are any."""
+    kept, write, persist = [], plans.stored, type(spark.range(0)).persist
+
+    def stored(df, purpose):
+        kept.append(purpose)
+        return write(df, purpose)
+
+    def persisted(df, *args):
+        kept.append("persist")
+        return persist(df, *args)
+
+    monkeypatch.setattr(plans, "stored", stored)
+    monkeypatch.setattr(type(spark.range(0)), "persist", persisted)
+    readings = sensor_readings(spark, sf_dir).where("id < 300")
+    again = readings.where("id % 3 = 0").withColumn("id", F.col("id") + 1_000_000)
+    warehouse = Warehouse(spark, root, "passes_")
+    purposes = []
+    for load in (readings, again):
+        kept.clear()
+        warehouse.append_readings(load)
+        warehouse.transform()
+        purposes.append(list(kept))
+    assert purposes == [["reading-keys"], ["reading-keys", "reading-copies"]]
+    (first, second) = logged(warehouse, "silver")
+    assert second[0] == 0 and second[1] + second[2] == again.count()
+    assert warehouse.table(READING_INDEX).count() == first[0]
+    assert warehouse.table(SILVER).count() == first[0]
