@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import ship_package
+from sedimenta.llm.common import in_use, ship_package
 
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Bytes of remembered pieces, and of chunks, per generation, with what Python keeps for each;
@@ -357,7 +357,9 @@ _loaded: dict[int, Tokenizer] = {}
 
 
 def _tokenizer(shared) -> Tokenizer:
-    """One tokenizer per worker process and vocabulary; its memory of pieces lasts as long."""
+    """One tokenizer per worker process and vocabulary; its memory of pieces lasts until
+    other operators have had the worker for a while."""
+    in_use(_loaded)
     key = hash(shared.value)
     if key not in _loaded:
         _loaded[key] = Tokenizer(shared.value)

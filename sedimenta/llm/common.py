@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import tempfile
+import time
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,23 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: Seconds after which a worker process lets go of tables that no batch has asked for.
+IDLE_SECONDS = 10
+_last_use: dict[int, tuple[float, dict]] = {}
+
+
+def in_use(tables: dict | None = None) -> None:
+    """Notes that a batch uses what its operator remembers in this worker process, and empties
+    what batches of other operators have left there: workers outlive the operators."""
+    now = time.monotonic()
+    if tables is not None:
+        _last_use[id(tables)] = now, tables
+    for key, (last, others) in list(_last_use.items()):
+        if others is not tables and now - last > IDLE_SECONDS:
+            others.clear()
+            del _last_use[key]
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all other characters as they are."""
     return F.translate(text, UPPER, LOWER)

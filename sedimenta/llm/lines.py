@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import ship_package, stored
+from sedimenta.llm.common import in_use, ship_package, stored
 from sedimenta.llm.stats import LINE_FEATURES, base_counts, line_features, word_lines
 
 SAMPLE = 600
@@ -178,6 +178,7 @@ def label_lines(
 
     @F.arrow_udf(RESULT)
     def labelled(texts: pa.Array) -> pa.Array:
+        in_use()
         rows = []
         for value in texts:
             data = (value.as_py() or "").encode()

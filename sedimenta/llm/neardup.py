@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import ship_package, stored
+from sedimenta.llm.common import in_use, ship_package, stored
 from sedimenta.llm.components import connected
 
 BANDS, ROWS = 40, 5
@@ -155,6 +155,7 @@ def with_classes(df: DataFrame, width: int, text: str = "text") -> DataFrame:
 
     @F.arrow_udf(kind)
     def classes(texts: pa.Array) -> pa.Array:
+        in_use(_words)
         known: dict[bytes, tuple] = {}
         rows = []
         for value in texts:
@@ -180,6 +181,7 @@ def with_classes(df: DataFrame, width: int, text: str = "text") -> DataFrame:
 def _with_sets(df: DataFrame, width: int, text: str) -> DataFrame:
     @F.arrow_udf("array<bigint>")
     def sets(texts: pa.Array) -> pa.Array:
+        in_use(_words)
         each = [
             shingle_set(words_in((value.as_py() or "").encode()), width).view(np.int64)
             for value in texts

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import ship_package
+from sedimenta.llm.common import in_use, ship_package
 
 MAX_MODEL_BYTES = 64 << 20
 #: Bytes of remembered words per generation, with what Python keeps for each; checked between
@@ -356,7 +356,9 @@ _loaded: dict[int, Model] = {}
 
 
 def _model(shared) -> Model:
-    """One model per worker process and file; its memory of words lasts as long."""
+    """One model per worker process and file; its memory of words lasts until other
+    operators have had the worker for a while."""
+    in_use(_loaded)
     key = hash(shared.value)
     if key not in _loaded:
         _loaded[key] = Model(shared.value)

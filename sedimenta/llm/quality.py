@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import ship_package
+from sedimenta.llm.common import in_use, ship_package
 from sedimenta.llm.stats import DOCUMENT_STATS, document_stats
 
 FEATURES = 256
@@ -76,6 +76,7 @@ def with_stats(df: DataFrame, text: str = "text", into: str = "stats") -> DataFr
 
     @F.arrow_udf("array<double>")
     def stats(texts: pa.Array) -> pa.Array:
+        in_use()
         rows = [document_stats((value.as_py() or "").encode()) for value in texts]
         return pa.array(rows, pa.list_(pa.float64()))
 

@@ -119,7 +119,8 @@ class Warehouse:
             return rows
         self.log.refresh()
         newest = _committed_load(table, self.log.progress())
-        return rows.where(F.col("load_id") <= newest)
+        # A load is never NULL; where that is not said, Spark infers it in any order.
+        return rows.where(F.col("load_id").isNotNull() & (F.col("load_id") <= newest))
 
     def refresh(self) -> None:
         """Forget cached file listings after another session has written."""

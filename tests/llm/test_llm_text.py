@@ -564,3 +564,25 @@ def test_sharding_edge_rows(spark, edge, root):
             own = sorted(r.slot for r in out if r.shard == shard)
             assert own == list(range(len(own)))
         assert all(r["size"] == 1 and r.text_crc32 == 0 for r in out if r.text is None)
+
+
+def test_a_worker_lets_go_of_what_other_operators_remember(monkeypatch):
+    """Tables stay while batches use them, also in turns, and go once they are idle."""
+    from sedimenta.llm import common
+
+    now = [100.0]
+    monkeypatch.setattr(common.time, "monotonic", lambda: now[0])
+    monkeypatch.setattr(common, "_last_use", {})
+    first, second = {"a": 1}, {"b": 2}
+    for _ in range(5):
+        common.in_use(first)
+        now[0] += 0.9 * common.IDLE_SECONDS
+        common.in_use(second)
+    assert first and second
+    now[0] += 1.1 * common.IDLE_SECONDS
+    common.in_use(second)
+    assert not first and second == {"b": 2}
+    common.in_use()
+    now[0] += 1.1 * common.IDLE_SECONDS
+    common.in_use()
+    assert not second
