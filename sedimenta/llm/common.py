@@ -23,12 +23,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """Written to the shared folder and read back: lineage ends here, and a lost
     executor costs no more than the steps that follow."""
     spark = df.sparkSession
     path = fresh_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -333,14 +333,27 @@ def extract(df: DataFrame, source: str = "html", url: str = "url") -> DataFrame:
     parsed = _parsed(df.withColumn("_host", host_of(F.col(url))), source).withColumns(
         {"_of_page": F.xxhash64(source), "_row": F.monotonically_increasing_id()}
     )
-    parsed = stored(parsed.select(*names, "_host", "_of_page", "_row", "_page"), "parsed-pages")
-    # the stored row numbers are unique, so a page of many copies is no hot key of the join
-    firsts = parsed.groupBy("_host", "_of_page").agg(F.min("_row").alias("_row")).select("_row")
-    poor = (
-        style_tree(parsed.join(firsts, "_row", "left_semi"))
+    parsed = parsed.select(*names, "_host", "_of_page", "_row", "_page")
+    parsed = stored(parsed, "parsed-pages", compression="zstd")
+    # what is joined with the pages is stored first, so that Spark knows its size and, while it
+    # is small, sends it to the pages instead of moving them
+    copied = stored(
+        parsed.groupBy(F.col("_host").alias("_in"), F.col("_of_page").alias("_copy"))
+        .agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+        .drop("_n"),
+        "copied-pages",
+    )
+    same = F.col("_host").eqNullSafe(F.col("_in")) & (F.col("_of_page") == F.col("_copy"))
+    firsts = parsed.select("_host", "_of_page", "_row", "_page").join(copied, same, "left").where(
+        F.col("_first").isNull() | (F.col("_first") == F.col("_row"))
+    )
+    poor = stored(
+        style_tree(firsts)
         .where((F.col("pages") >= FEW) & (F.col("importance") < LEAST))
         .groupBy(F.col("_host").alias("_of"))
-        .agg(F.collect_set("path").alias("_poor"))
+        .agg(F.collect_set("path").alias("_poor")),
+        "poor-branches",
     )
     kept = F.filter(
         "_page.blocks",

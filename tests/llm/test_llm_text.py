@@ -512,6 +512,31 @@ def test_copies_of_a_page_are_no_boilerplate(spark):
     assert all(texts[100 + k] == f"story {k // 5}" for k in range(30))
 
 
+def test_pages_stay_where_they_are(spark):
+    words = random.Random(3)
+    rows = [
+        (k, f"https://{'ab'[k % 2]}.org/{k}", "<ul><li>Menu</li></ul><p>" + "".join(words.choices("abcde ", k=600)) + "</p>")
+        for k in range(120)
+    ]
+    rows += [(1000 + k, *rows[0][1:]) for k in range(40)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    usual = pages.extract(df)
+    expected = {r.page_id: r.text for r in usual.collect()}
+    assert not any("Menu" in text for text in expected.values())
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "16384")
+        found = pages.extract(df)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        spark.conf.set(threshold, "-1")  # too many copies and branches to be sent to the pages
+        moved = pages.extract(df)
+        assert {r.page_id: r.text for r in moved.collect()} == expected
+    finally:
+        spark.conf.set(threshold, before)
+
+
 # ---- shards --------------------------------------------------------------------
 
 
