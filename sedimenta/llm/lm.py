@@ -29,9 +29,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,34 +49,92 @@ BITS_PER_ENTRY = 1.44 * HASHES
 BASES = {1: 2**0.25, 2: 2.0}  # of the levels, by order
 PRIOR = 8.0
 BLOCK_WORDS = 8_000_000
-_TOKENS_AT_ONCE = 2_000_000
-_REMEMBERED = 250_000
+#: Bytes of texts that are counted, or scored, at once; a longer text is by itself.
+_COUNTED_AT_ONCE, _SCORED_AT_ONCE = 6 << 20, 2 << 20
+_HASHED_AT_ONCE = 1 << 18
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+_SPACE = b" \t\n\r\x0b\x0c"
 END = xxhash.xxh3_64_intdigest(b"\nend")  # no word holds a newline
 START = xxhash.xxh3_64_intdigest(b"\nstart")
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
-_known: dict[bytes, int] = {}
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * _M1
     x = (x ^ (x >> np.uint64(29))) * _M2
     return x ^ (x >> np.uint64(32))
 
 
-def tokens_of(text: str | None) -> np.ndarray:
-    """Hashes of the words of a text and of its end."""
-    words = (text or "").encode().translate(_UPPER).split()
-    if len(_known) > _REMEMBERED:
-        _known.clear()
-    get = _known.get
-    out = [get(word) for word in words]
-    for k, value in enumerate(out):
-        if value is None:
-            out[k] = _known[words[k]] = xxhash.xxh3_64_intdigest(words[k])
-    out.append(END)
-    return np.array(out, dtype=np.uint64)
+@lru_cache(1)
+def _byte_values() -> np.ndarray:
+    """A random number for each byte, the same for A-Z and a-z, 0 for white space."""
+    values = np.random.RandomState(29).randint(0, 1 << 64, 256, dtype=np.uint64)
+    values = values[np.frombuffer(bytes(range(256)).translate(_UPPER), np.uint8)]
+    values[list(_SPACE)] = 0
+    return values
+
+
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number and of its inverse, modulo 2 ** 64."""
+    odd = 0x9E3779B97F4A7C15
+    both = []
+    for base in (odd, pow(odd, -1, 1 << 64)):
+        powers = np.full(n, base, np.uint64)
+        powers[0] = 1
+        both.append(np.multiply.accumulate(powers))
+    return both[0], both[1]
+
+
+def _word_sums(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A number for each word, by which words of a chunk are told apart: the values of its bytes
+    times powers. `first`: where the words begin; what stands between them is white space."""
+    out = np.empty(len(first), np.uint64)
+    low = 0
+    while low < len(first):
+        high = max(low + 1, int(np.searchsorted(first, first[low] + _HASHED_AT_ONCE)))
+        start, end = first[low], first[high] if high < len(first) else len(data)
+        powers, inverse = _powers(max(2 * _HASHED_AT_ONCE, 1 << int(end - start).bit_length()))
+        at = first[low:high] - start
+        values = _byte_values()[data[start:end]] * powers[: end - start]
+        out[low:high] = np.add.reduceat(values, at) * inverse[at]
+        low = high
+    return out
+
+
+def _tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens of several texts, which of them each token is, and where each
+    text starts. The tokens of a text are its words and its end."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, offsets, content = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(content or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    blank = np.ones(len(data) + 1, bool)
+    blank[:-1] = np.isin(np.arange(256), list(_SPACE))[data]
+    opens = ~blank
+    opens[1:] &= blank[:-1]  # texts stand back to back, so a word begins at the start of one too
+    opens[offsets] = ~blank[offsets]
+    closes = blank | opens
+    closes[1:] &= ~blank[:-1]
+    closes[0] = False
+    first, ends = np.flatnonzero(opens), np.flatnonzero(closes)
+    del blank, opens, closes
+    which, own = pd.factorize(_word_sums(data, first))
+    # one occurrence of each distinct word is hashed
+    of = np.empty(len(own), np.int64)
+    of[which] = np.arange(len(first))
+    spans = zip(first[of].tolist(), ends[of].tolist())
+    del ends
+    raw = bytes(data).translate(_UPPER)
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in spans), np.uint64, len(of))
+    del raw
+    # behind the words of each text stands its end
+    last = np.searchsorted(first, offsets[1:]) + np.arange(len(texts))
+    place = np.full(len(first) + len(texts), len(hashes), np.int64)
+    inner = np.ones(len(place), bool)
+    inner[last] = False
+    place[inner] = which
+    return np.append(hashes, np.uint64(END)), place, np.concatenate([[0], last[:-1] + 1])
 
 
 def contexts_of(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -88,23 +149,22 @@ def bigrams(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return _mixed(before * np.uint64(3) + tokens)
 
 
-def _chunks(texts, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Tokens of several texts at a time, and where each text starts."""
-    parts: list[np.ndarray] = []
-    size = 0
-    for text in texts:
-        parts.append(tokens_of(text.as_py()))
-        size += len(parts[-1])
-        if size >= most:
-            yield _joined(parts)
-            parts, size = [], 0
-    if parts:
-        yield _joined(parts)
+def _chunks(texts: pa.Array, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The tokens of several texts at a time, of `most` bytes together or one text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    low = 0
+    while low < len(texts):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield _tokenised(texts.slice(low, high - low))
+        low = high
 
 
-def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    return np.concatenate(parts), np.concatenate([[0], lengths.cumsum()[:-1]])
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones and which of them each is."""
+    which, own = pd.factorize(h)
+    return own, which
 
 
 def count(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -113,10 +173,13 @@ def count(texts: DataFrame, text: str = "text") -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tokens, starts in _chunks(batch.column(0), _TOKENS_AT_ONCE):
-                pairs = bigrams(contexts_of(tokens, starts), tokens)
-                for order, grams in ((1, _mixed(tokens)), (2, pairs)):
-                    h, n = np.unique(grams, return_counts=True)
+            for words, place, starts in _chunks(batch.column(0), _COUNTED_AT_ONCE):
+                singles = _mixed(words), np.bincount(place, minlength=len(words))
+                tokens = words[place]
+                del place  # a chunk's arrays are let go of before the next one is read
+                pairs = np.unique(bigrams(contexts_of(tokens, starts), tokens), return_counts=True)
+                del tokens
+                for order, (h, n) in ((1, singles), (2, pairs)):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(h), order, np.int8)),
@@ -352,9 +415,8 @@ def _levels_of(rows: DataFrame, words: Table, part: int, text: str) -> tuple[Dat
     def added(texts: pa.Array, before: pa.Array) -> pa.Array:
         known = read(shared)
         out: list[np.ndarray] = []
-        for tokens, starts in _chunks(texts, _TOKENS_AT_ONCE // 4):
-            own, place = np.unique(tokens, return_inverse=True)
-            found = known.levels(_mixed(own), 1).astype(np.uint8)[place]
+        for words, place, starts in _chunks(texts, _SCORED_AT_ONCE):
+            found = known.levels(_mixed(words), 1).astype(np.uint8)[place]
             out += np.split(found, starts[1:])
         if before.null_count == 0:
             out = [new + np.frombuffer(old.as_buffer(), np.uint8) for new, old in zip(out, before)]
@@ -369,97 +431,99 @@ def _reader(table: Table, part: int):
     return lambda shared: Filter(np.frombuffer(shared.value, np.uint8), blocks, part, parts)
 
 
-def with_score(df: DataFrame, model: Model, text: str = "text", part: int = 0, shared=None) -> DataFrame:
-    """Adds n_tokens and score, the log10 probability of the text under the model; with bigrams in
-    several parts, only what those of one part add to it."""
-    ship_package(df.sparkSession)
-    total = model.n_tokens + model.n_words + 1
-    shared = shared or model.pairs.load(part)
-    pairs_of, words_of = _reader(model.pairs, part), _reader(model.words, 0)
-    shared_words, several = model.words.load(0) if model.words.parts == 1 else None, model.pairs.parts > 1
-    noted = F.lit(None).cast("binary") if model.words.parts == 1 else F.col("_levels")
-
-    @F.arrow_udf("struct<n_tokens: bigint, score: double>")
-    def scored(texts: pa.Array, levels: pa.Array) -> pa.Array:
-        known, at = pairs_of(shared), 0
-        if shared_words is None:
-            noted = np.concatenate([np.frombuffer(v.as_buffer(), np.uint8) for v in levels] or [np.zeros(0, np.uint8)])
-        sizes, scores = [], []
-        for tokens, starts in _chunks(texts, _TOKENS_AT_ONCE // 4):
-            if shared_words is None:
-                single = _values(1)[noted[at : at + len(tokens)]]
-                at += len(tokens)
-            else:
-                words, place = np.unique(tokens, return_inverse=True)
-                single = words_of(shared_words).counts(_mixed(words), 1)[place]
-            before = contexts_of(tokens, starts)
-            context = np.empty_like(single)
-            context[1:] = single[:-1]
-            # every text has one start and one end, so the end's count is the start's
-            context[starts] = single[-1]
-            grams, place = np.unique(bigrams(before, tokens), return_inverse=True)
-            pair = np.minimum(known.counts(grams, 2)[place], np.minimum(context, single))
-            prior = (single + 1) / total
-            logs = np.log10((pair + PRIOR * prior) / (context + PRIOR))
-            if several:
-                logs[~known.holds(grams)[place]] = 0
-            sizes.append(np.diff([*starts, len(tokens)]))
-            scores.append(_sums(logs, starts))
-        empty = [np.zeros(0)]
-        return pa.StructArray.from_arrays(
-            [
-                pa.array(np.concatenate(sizes or empty).astype(np.int64)),
-                pa.array(np.concatenate(scores or empty)),
-            ],
-            ["n_tokens", "score"],
-        )
+@dataclass
+class Block:
+    """One block of the words with their exact counts."""
 
-    return df.withColumn("_scored", scored(F.col(text), noted)).withColumns(
-        {"n_tokens": F.col("_scored.n_tokens"), "score": F.col("_scored.score")}
-    ).drop("_scored")
+    shared: object  # broadcast hashes, sorted, and counts
 
+    def counts(self, own: np.ndarray) -> np.ndarray:
+        """The exact counts of words; 0 in other blocks."""
+        words, counts = self.shared.value
+        if not len(words):
+            return np.zeros(len(own), np.int64)
+        at = np.minimum(np.searchsorted(words, own), len(words) - 1)
+        return np.where(words[at] == own, counts[at], 0)
 
-def _block_sums(df: DataFrame, h: np.ndarray, n: np.ndarray, text: str, name: str) -> DataFrame:
-    """Adds n_known and the sum of log10(count + 1) over the tokens of one block of words."""
-    spark = df.sparkSession
-    order = np.argsort(h)
-    shared = spark.sparkContext.broadcast((h[order], n[order]))
-
-    @F.arrow_udf("struct<n_known: bigint, log_sum: double>")
-    def summed(texts: pa.Array) -> pa.Array:
-        words, counts = shared.value
-        known, sums = [], []
-        for tokens, starts in _chunks(texts, _TOKENS_AT_ONCE // 4):
-            own, place = np.unique(_mixed(tokens), return_inverse=True)
-            c = np.zeros(len(own), np.int64)
-            if len(words):
-                at = np.minimum(np.searchsorted(words, own), len(words) - 1)
-                c = np.where(words[at] == own, counts[at], 0)
-            c = c[place]
-            known.append(_sums((c > 0).astype(np.int64), starts))
-            sums.append(_sums(np.log10(c + 1.0), starts))
-        empty = [np.zeros(0)]
-        return pa.StructArray.from_arrays(
-            [
-                pa.array(np.concatenate(known or empty).astype(np.int64)),
-                pa.array(np.concatenate(sums or empty)),
-            ],
-            ["n_known", "log_sum"],
-        )
 
-    return df.withColumn(name, summed(F.col(text)))
+def _with_sums(
+    df: DataFrame, model: Model, text: str, part: int | None, block: Block | None, shared=None
+) -> DataFrame:
+    """Adds _sums, in one pass over the texts: n_tokens; score, what the bigrams of one part add to
+    the log10 probability of the text; n_known and log_sum, what the words of one block add to the
+    tokens in training texts and to the sum of log10(count + 1). None adds nothing."""
+    ship_package(df.sparkSession)
+    total = model.n_tokens + model.n_words + 1
+    scored = part is not None
+    pairs_of, words_of = _reader(model.pairs, part or 0), _reader(model.words, 0)
+    several, noted = model.pairs.parts > 1, model.words.parts > 1
+    shared_words = None
+    if scored:
+        shared = shared or model.pairs.load(part)
+        shared_words = None if noted else model.words.load(0)
+    levels = F.col("_levels") if noted else F.lit(None).cast("binary")
+
+    @F.arrow_udf("struct<n_tokens: bigint, score: double, n_known: bigint, log_sum: double>")
+    def summed(texts: pa.Array, levels: pa.Array) -> pa.Array:
+        at, sums = 0, []
+        if scored:
+            known = pairs_of(shared)
+            if noted:
+                told = np.concatenate([np.frombuffer(v.as_buffer(), np.uint8) for v in levels] or [np.zeros(0, np.uint8)])
+        for words, place, starts in _chunks(texts, _SCORED_AT_ONCE):
+            own, score, c = _mixed(words), np.zeros(len(starts)), np.zeros(len(words), np.int64)
+            if scored:
+                if noted:
+                    single = _values(1)[told[at : at + len(place)]]
+                    at += len(place)
+                else:
+                    single = words_of(shared_words).counts(own, 1)[place]
+                tokens = words[place]
+                context = np.empty_like(single)
+                context[1:] = single[:-1]
+                # every text has one start and one end, so the end's count is the start's
+                context[starts] = single[-1]
+                grams, pair_of = _distinct(bigrams(contexts_of(tokens, starts), tokens))
+                pair = np.minimum(known.counts(grams, 2)[pair_of], np.minimum(context, single))
+                prior = (single + 1) / total
+                logs = np.log10((pair + PRIOR * prior) / (context + PRIOR))
+                if several:
+                    logs[~known.holds(grams)[pair_of]] = 0
+                score = _sums(logs, starts)
+            if block is not None:
+                c = block.counts(own)
+            n_known = _sums((c > 0).astype(np.int64)[place], starts)
+            log_sum = _sums(np.log10(c + 1.0)[place], starts)
+            sums.append((np.diff([*starts, len(place)]), score, n_known, log_sum))
+        names = ["n_tokens", "score", "n_known", "log_sum"]
+        types = [pa.int64(), pa.float64(), pa.int64(), pa.float64()]
+        columns = [np.concatenate(c) for c in zip(*sums)] or [np.zeros(0)] * 4
+        return pa.StructArray.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, types)], names)
+
+    return df.withColumn("_sums", summed(F.col(text), levels))
 
 
-def _word_block(model: Model, block: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of one block of the words, about BLOCK_WORDS of them at most."""
+def with_score(df: DataFrame, model: Model, text: str = "text", part: int = 0, shared=None) -> DataFrame:
+    """Adds n_tokens and score, the log10 probability of the text under the model; with bigrams in
+    several parts, only what those of one part add to it."""
+    return (
+        _with_sums(df, model, text, part, None, shared)
+        .withColumns({c: F.col(f"_sums.{c}") for c in ("n_tokens", "score")})
+        .drop("_sums")
+    )
+
+
+def _word_block(model: Model, block: int, blocks: int) -> Block:
+    """One block of the words, about BLOCK_WORDS of them at most."""
     rows = model.counts.where(
         (F.col("n_order") == 1) & (F.pmod(F.xxhash64("h"), F.lit(blocks)) == block)
     ).select("h", F.col("n"))
     table = rows.toArrow()
-    h, n = table.column("h"), table.column("n")
-    n = n.to_numpy()
-    small = len(n) == 0 or n.max() < 1 << 32
-    return h.to_numpy().view(np.uint64), n.astype(np.uint32) if small else n
+    h, n = table.column("h").to_numpy().view(np.uint64), table.column("n").to_numpy()
+    if len(n) == 0 or n.max() < 1 << 32:
+        n = n.astype(np.uint32)
+    order = np.argsort(h)
+    return Block(rows.sparkSession.sparkContext.broadcast((h[order], n[order])))
 
 
 def score(
@@ -470,24 +534,19 @@ def score(
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
     if model.words.parts > 1:
         rows = _with_levels(rows, model.words, "_text")
-    first = _block_sums(with_score(rows, model, "_text"), *_word_block(model, 0, blocks), "_text", "_b")
-    scored = first.select(
-        "doc_id", F.xxhash64("_text").alias("_hash"), "n_tokens", "score", "_b.n_known", "_b.log_sum"
-    )
+    first = _with_sums(rows, model, "_text", 0, _word_block(model, 0, blocks))
+    scored = first.select("doc_id", F.xxhash64("_text").alias("_hash"), "_sums.*")
     if max(blocks, parts) > 1:
         more = []
         for k in range(1, max(blocks, parts)):
-            part, shared = rows, model.pairs.load(k) if k < parts else None
-            if k < blocks:
-                part = _block_sums(part, *_word_block(model, k, blocks), "_text", "_b")
-            if k < parts:
-                part = with_score(part, model, "_text", k, shared)
-            part = part.select(
+            shared = model.pairs.load(k) if k < parts else None
+            block = _word_block(model, k, blocks) if k < blocks else None
+            part = _with_sums(rows, model, "_text", k if k < parts else None, block, shared).select(
                 F.col("doc_id").alias("_id"),
                 F.xxhash64("_text").alias("_of"),
-                (F.col("_b.n_known") if k < blocks else F.lit(0).cast("long")).alias("_known"),
-                (F.col("_b.log_sum") if k < blocks else F.lit(0.0)).alias("_sum"),
-                (F.col("score") if k < parts else F.lit(0.0)).alias("_score"),
+                F.col("_sums.n_known").alias("_known"),
+                F.col("_sums.log_sum").alias("_sum"),
+                F.col("_sums.score").alias("_score"),
             )
             more.append(stored(part.dropDuplicates(["_id", "_of"]), "word-block"))
             if model.pairs.shared is None and shared is not None:

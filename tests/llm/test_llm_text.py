@@ -7,7 +7,9 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -336,6 +338,28 @@ def test_lm_edge_rows(spark, edge):
     assert all(r.n_known == 0 for r in lm.score(edge, lm.fit(empty)).collect())
 
 
+def test_tokens_of_many_texts_at_once():
+    """Those of every text by itself, however the texts are cut into chunks."""
+    draw = random.Random(8)
+    texts = [None, "", " ", "a", "A b", "x", "y ", " z", "\n", "w" * 3_000_000 + " b", "\u00e9 \u00c9", "a\x00b \x00 \x1c c"]
+    texts += ["".join(draw.choice("abA \t\n\x0b\x0c\r\x1f\x85\xa0\u00c9") for _ in range(draw.randrange(30))) for _ in range(400)]
+    ends = [[*map(lm.xxhash.xxh3_64_intdigest, (t or "").encode().translate(lm._UPPER).split()), lm.END] for t in texts]
+    for column in (pa.array(texts), pa.array(["cut off", *texts]).slice(1)):
+        for most in (1, 50, 1 << 20):
+            found = []
+            for words, place, starts in lm._chunks(column, most):
+                assert len(set(words.tolist())) == len(words)
+                found += [part.tolist() for part in np.split(words[place], starts[1:])]
+            assert found == ends
+
+
+def test_one_pass_over_the_texts_gives_all_sums(spark, edge):
+    """Where there is one part of the filter and one block of words, the texts are cut into tokens once."""
+    plan = lm.score(edge, lm.fit(edge))._jdf.queryExecution().optimizedPlan().toString()
+    [line] = [line for line in plan.splitlines() if "EvalPython" in line]
+    assert len(re.findall(r"\(text#", line)) == 1
+
+
 # ---- chat ----------------------------------------------------------------------
 
 
