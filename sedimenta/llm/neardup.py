@@ -12,10 +12,11 @@ distance of their parity sketches, and how many of SIGNED minima differ in four
 signature). Every shingle flips one bit of the sketch, so the distance never exceeds the size of the
 symmetric difference, which is a ninth of the two sizes together at a similarity of 0.8: sizes and
 sketches lose no link. What passes is compared on the full sets. Where a
-bucket's members then still belong to different components, more pivots are drawn, PIVOTS times
-as many with each pass, and compared with the members of other components only. This ends when
-every bucket is one component or all its members have been pivots, so no link that could
-join two components is lost.
+bucket's members then still belong to different components, PIVOTS pivots are drawn, MORE times
+as many with each further pass, and compared with the members of other components only. Of two
+members in different components one is outside the bucket's largest, so a bucket with no more
+members outside than there are to be pivots takes just these, and is done. This ends when every
+bucket is one component or done, so no link that could join two components is lost.
 
 Defined results: a null, empty or blank text has an empty set and is linked with nothing, not
 even its like. A text of fewer words than a shingle is one shingle. A null id is no number, so
@@ -49,7 +50,7 @@ MOST_DIFFERENT = 51
 #: Words of 64 bits of a parity sketch and of the signature behind it.
 SKETCH, SIGNATURE = 16, SIGNED // 16
 _PLANES = 4
-PIVOTS = 8
+PIVOTS, MORE = 8, 64
 #: Members of a bucket that meet all its pivots in one task: at most 17 million comparisons of some
 #: 50 ns where as many are pivots.
 BUCKET_PART = 4096
@@ -232,34 +233,50 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _pairs_to_test(
     members: DataFrame, marked: DataFrame, roots: DataFrame, tested: DataFrame, pivots: int
-):
+) -> tuple[DataFrame, DataFrame] | None:
     """Pairs of members of different components that share an unfinished bucket, one of them
-    a pivot; None once there is no such bucket left."""
+    a pivot, and the members of buckets that are not done with these; None once there is no
+    unfinished bucket left."""
     placed = members.join(
         roots.select(F.col("node").alias("key"), "root"), "key", "left"
     ).withColumn("root", F.coalesce("root", "key"))
-    before = max(2, pivots // PIVOTS)  # smaller buckets have all been compared
     open_buckets = (
-        placed.groupBy("bucket")
-        .agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_a") != F.col("_b")) & (F.col("_n") > before))
-        .select(F.col("bucket").alias("_bucket"), "_n")
+        placed.groupBy("bucket", "root")
+        .agg(F.count(F.lit(1)).alias("_of_root"))
+        .groupBy(F.col("bucket").alias("_bucket"))
+        .agg(
+            F.sum("_of_root").alias("_n"),
+            F.max(F.struct("_of_root", "root")).alias("_largest"),
+            F.count(F.lit(1)).alias("_roots"),
+        )
+        .where((F.col("_roots") > 1) & (F.col("_n") > 2))  # two members have been compared
+        .select(
+            "_bucket",
+            "_n",
+            F.col("_largest.root").alias("_main"),
+            (F.col("_n") - F.col("_largest._of_root") <= pivots).alias("_last"),
+        )
     )
+    # the marks meet a class once with all its open buckets, of which it has BANDS at most
+    outside = (F.col("root") != F.col("_main")).alias("_outside")
     placed = stored(
         placed.join(open_buckets, F.col("bucket") == F.col("_bucket"))
-        .drop("_bucket")
-        .join(marked, "key"),
+        .groupBy("key", "root")
+        .agg(F.collect_list(F.struct("bucket", "_n", "_last", outside)).alias("_open"))
+        .join(marked, "key")
+        .select("key", "root", "n_shingles", "marks", F.inline("_open")),
         "open-buckets",
     )
     if placed.isEmpty():
         return None
-    # about `pivots` of the n members, drawn by hash; all of them where there are no more
+    # about `pivots` of the n members, drawn by hash; all outside the largest component where
+    # there are no more
     drawn = F.pmod(F.xxhash64("key", "bucket"), F.lit(1 << 20)) * F.col("_n") < F.lit(pivots << 20)
     # large buckets are dealt out in parts, each of which meets all pivots; the number of tasks
     # is fixed, as the comparisons cost far more than the bytes they read suggest
     parts = F.ceil(F.col("_n") / BUCKET_PART).cast("int")
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chosen = placed.where(drawn | (F.col("_n") <= pivots)).select(
+    chosen = placed.where(F.when(F.col("_last"), F.col("_outside")).otherwise(drawn)).select(
         F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part_of"),
         F.col("bucket").alias("_bucket"),
         F.col("key").alias("_pivot"),
@@ -275,7 +292,8 @@ def _pairs_to_test(
         & (F.col("root") != F.col("_root"))
         & likely(F.col("n_shingles"), F.col("marks"), F.col("_size"), F.col("_marks")),
     ).select(F.least("key", "_pivot").alias("u"), F.greatest("key", "_pivot").alias("v"))
-    return stored(pairs.distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
+    fresh = stored(pairs.distinct().join(tested, ["u", "v"], "left_anti"), "pairs")
+    return fresh, placed.where(~F.col("_last")).select("key", "bucket")
 
 
 def find(df: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -322,18 +340,19 @@ def find(df: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text")
         & likely(F.col("n_shingles"), F.col("marks"), F.col("_size"), F.col("_marks")),
     )
     pairs = stored(met.select("u", "v"), "pairs")
-    tested, pivots = pairs, 1
+    tested, pivots = pairs, PIVOTS
     roots = stored(connected(_confirmed(pairs, sets)), "roots")
     while True:
-        pivots *= PIVOTS
-        pairs = _pairs_to_test(members, marked, roots, tested, pivots)
-        if pairs is None:
+        step = _pairs_to_test(members, marked, roots, tested, pivots)
+        if step is None:
             break
+        pairs, members = step
         found = stored(_confirmed(pairs, sets), "links")
         if not found.isEmpty():
             stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
             roots = stored(connected(stars.union(found)), "roots")
         tested = tested.union(pairs)
+        pivots *= MORE
 
     by_class = (
         classed.where(F.col("n_shingles") > 0)

@@ -11,6 +11,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from checks.compare import differences, duck
 from sedimenta.llm import components, contamination, neardup, oracles, queries
+from sedimenta.llm.common import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -87,6 +88,52 @@ def test_hot_groups_lose_no_link(spark):
     assert found_components(df, 2) == expected_components(rows, 2)
 
 
+def test_marks_meet_a_class_once_for_all_its_buckets(spark, monkeypatch):
+    """Near copies that are not linked share many buckets; the join with the marks has a row a class."""
+    draw = random.Random(12)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(k, edited(draw, base, 0.09)) for k in range(150)]
+    made = []
+
+    def noted(df, purpose, compression=None):
+        if purpose == "open-buckets":
+            plan = df._jdf.queryExecution().optimizedPlan()
+            made.append(plan.toString())
+        return stored(df, purpose, compression)
+
+    monkeypatch.setattr(neardup, "stored", noted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found_components(df, 2) == expected_components(rows, 2)
+    assert made
+    for plan in made:
+        lines = plan.splitlines()
+        [marks] = [k for k, line in enumerate(lines) if "Join Inner, (key#" in line]
+        assert any("Generate inline" in line for line in lines[:marks])
+        assert any("collect_list" in line for line in lines[marks:])
+
+
+def test_few_members_outside_the_largest_component_end_a_bucket(spark, monkeypatch):
+    """Passes do not go on until all members have been pivots, and no link is lost."""
+    draw = random.Random(13)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(96):
+        own = list(base)
+        for place in draw.sample(range(60), 8 if k < 4 else 1):
+            own[place] = f"e{k}x{place}"
+        rows.append((k, " ".join(own)))
+    passes = []
+
+    def noted(df, purpose, compression=None):
+        passes.append(purpose)
+        return stored(df, purpose, compression)
+
+    monkeypatch.setattr(neardup, "stored", noted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found_components(df, 2) == expected_components(rows, 2)
+    assert passes.count("open-buckets") == 2  # the second finds none left
+
+
 def test_sketches_lose_no_similar_pair(spark):
     """The distance of two sketches never exceeds the symmetric difference; likely() keeps every
     pair of 0.8 or more and leaves out most that fall short."""
