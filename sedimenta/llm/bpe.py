@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm.common import in_use, ship_package
+from sedimenta.llm.common import give_back, in_use, ship_package
 
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Bytes of remembered pieces, and of chunks, per generation, with what Python keeps for each;
@@ -394,12 +394,25 @@ def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids") -> D
         out += tokenizer.encode_batch(waiting)
         lengths = np.fromiter(map(len, out), np.int64, len(out)) // 4
         offsets = np.concatenate([[0], lengths.cumsum()]).astype(np.int32)
-        flat = pa.array(np.frombuffer(b"".join(out), np.int32))
+        whole = pa.py_buffer(b"".join(out))  # the ids of the batch, once
+        del out, waiting
+        give_back()  # texts and ids apart; decoding takes as much again
+        flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, whole])
         return pa.ListArray.from_arrays(pa.array(offsets), flat)
 
     return df.withColumn(ids, encoded(F.col(text)))
 
 
+def parts_of(offsets: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Runs of lists with at most that many values together, or of one list that has more."""
+    parts, first, last = [], 0, len(offsets) - 1
+    while first < last:
+        end = int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1
+        parts.append((first, min(max(end, first + 1), last)))
+        first = parts[-1][1]
+    return parts
+
+
 def decode(df: DataFrame, vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Adds the text of a column of token ids, special tokens included."""
 
@@ -407,8 +420,16 @@ def decode(df: DataFrame, vocabulary, ids: str = "ids", text: str = "decoded") -
     def decoded(lists: pa.Array) -> pa.Array:
         filled = lists.fill_null([])
         offsets = filled.offsets.to_numpy().astype(np.int64)
-        values = filled.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
-        texts = _tokenizer(vocabulary).decode_lists(values, offsets - offsets[0])
-        return texts.cast(pa.string())
+        values = filled.values.to_numpy(zero_copy_only=False)
+        tokenizer = _tokenizer(vocabulary)
+        parts = []
+        for first, end in parts_of(offsets, AT_ONCE):
+            flat = values[offsets[first] : offsets[end]]
+            texts = tokenizer.decode_lists(flat, offsets[first : end + 1] - offsets[first])
+            parts.append(texts.cast(pa.string()))
+        decoded_texts = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+        del parts
+        give_back()
+        return decoded_texts
 
     return df.withColumn(text, decoded(F.col(ids)))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import tempfile
 import time
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,10 +71,24 @@ def in_use(tables: dict | None = None) -> None:
     now = time.monotonic()
     if tables is not None:
         _last_use[id(tables)] = now, tables
-    for key, (last, others) in list(_last_use.items()):
-        if others is not tables and now - last > IDLE_SECONDS:
-            others.clear()
-            del _last_use[key]
+    idle = [
+        key
+        for key, (last, others) in _last_use.items()
+        if others is not tables and now - last > IDLE_SECONDS
+    ]
+    for key in idle:
+        _last_use.pop(key)[1].clear()
+    if idle:
+        give_back()
+
+
+def give_back() -> None:
+    """Returns to the system what this process has freed. Of the 900 MB of a worker that has coded
+    texts, more than 300 stay with the allocators of Arrow and of C when the tables are emptied."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -635,3 +635,30 @@ def test_a_worker_lets_go_of_what_other_operators_remember(monkeypatch):
     now[0] += 1.1 * common.IDLE_SECONDS
     common.in_use()
     assert not second
+
+
+def test_idle_workers_return_their_memory(monkeypatch):
+    """What is still in use lies scattered among what is freed, so C's allocator keeps the rest."""
+    from sedimenta.llm import common
+
+    def megabytes():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096 / 1e6
+
+    now = [100.0]
+    monkeypatch.setattr(common.time, "monotonic", lambda: now[0])
+    monkeypatch.setattr(common, "_last_use", {})
+    tables = {k: bytes(700) for k in range(200_000)}
+    kept = [tables[k] for k in range(0, len(tables), 100)]
+    common.in_use(tables)
+    before = megabytes()
+    now[0] += 1.1 * common.IDLE_SECONDS
+    common.in_use()
+    assert not tables and len(kept) == 2000
+    assert before - megabytes() > 90
+
+
+def test_decoding_in_parts():
+    cases = [([], []), ([0], []), ([0, 0, 0], [(0, 2)]), ([0, 3, 3, 9, 10, 14], [(0, 2), (2, 3), (3, 5)])]
+    for offsets, parts in cases:
+        assert bpe.parts_of(np.array(offsets, np.int64), 5) == parts
