@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +33,20 @@ from pyspark.sql import functions as F
 from sedimenta.llm.common import give_back, in_use, ship_package
 
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Bytes of remembered pieces, and of chunks, per generation, with what Python keeps for each;
-#: checked between batches.
-REMEMBERED_BYTES = 48 << 20
-ENTRY_BYTES = 200
+#: Bytes of remembered pieces, and of chunks; checked between batches.
+REMEMBERED_BYTES = 16 << 20
+#: What an entry takes beside its text and ids.
+ENTRY_BYTES = 20
 #: Slots of the hash table of merges, a power of two; they must fill half at most.
 PAIR_SLOTS = 1 << 19
 #: Pieces of more bytes have a tree of their own; shorter ones are merged side by side.
 WIDEST = 64
-#: Characters of text taken at a time.
-AT_ONCE = 1 << 20
+#: Pieces merged side by side at a time.
+ROWS_AT_ONCE = 1 << 13
+#: Bytes of text encoded at a time, and ids decoded at a time.
+TEXT_AT_ONCE, IDS_AT_ONCE = 4 << 20, 1 << 20
+#: Separators of str.split() and of Arrow that are no white space in the pattern.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 NO_RANK = 1 << 40
 _WHITE = r"\p{White_Space}"
 
@@ -85,31 +90,45 @@ class PairTree:
 
 
 class Remembered:
-    """Ids of pieces or chunks in two generations of bounded size. What is met again moves to
-    the younger one, so frequent words stay."""
+    """Ids of pieces or chunks in Arrow columns of bounded size. Beyond the bound, those used
+    longest ago are forgotten, so frequent words stay."""
 
     def __init__(self):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.bytes = 0
-
-    def missing(self, keys: set[str]) -> set[str]:
-        """The keys that neither generation knows."""
-        fresh = {key for key in keys if key not in self.young}
-        old = self.old
-        for key in [key for key in fresh if key in old]:
-            self.put(key, old[key])
-            fresh.discard(key)
-        return fresh
-
-    def put(self, key: str, ids: bytes) -> None:
-        self.young[key] = ids
-        self.bytes += len(key) + len(ids) + ENTRY_BYTES
+        self.keys = pa.array([], pa.string())
+        self.ids = pa.array([], pa.large_binary())
+        self.used = np.empty(0, np.int64)
+        self.batch = 0
+
+    def ids_of(
+        self, words: pa.Array, learn: Callable[[pa.Array], pa.LargeBinaryArray]
+    ) -> pa.LargeBinaryArray:
+        """The ids of every word, each distinct one looked up once; `learn` gives the ids of
+        those that are not known."""
+        coded = words.dictionary_encode()
+        place = pc.index_in(coded.dictionary, value_set=self.keys)
+        unknown = place.is_null()
+        fresh = coded.dictionary.filter(unknown)
+        at = place.fill_null(0).to_numpy().copy()
+        if len(fresh):
+            at[unknown.to_numpy(zero_copy_only=False)] = len(self.keys) + np.arange(len(fresh))
+            self.ids = pa.concat_arrays([self.ids, learn(fresh)])
+            self.keys = pa.concat_arrays([self.keys, fresh])
+            self.used = np.concatenate([self.used, np.zeros(len(fresh), np.int64)])
+        self.used[at] = self.batch
+        return self.ids.take(pa.array(at).take(coded.indices))
 
     def age(self) -> None:
-        """Between batches: a full younger generation becomes the older one."""
-        if self.bytes > REMEMBERED_BYTES:
-            self.old, self.young, self.bytes = self.young, {}, 0
+        """Between batches: when full, the half of the bytes used longest ago is forgotten."""
+        self.batch += 1
+        if self.keys.nbytes + self.ids.nbytes + self.used.nbytes <= REMEMBERED_BYTES:
+            return
+        newest = np.argsort(-self.used, kind="stable")
+        sizes = ENTRY_BYTES + pc.add(
+            pc.cast(pc.binary_length(self.keys), pa.int64()), pc.binary_length(self.ids)
+        ).to_numpy()
+        kept = newest[sizes[newest].cumsum() <= REMEMBERED_BYTES // 2]
+        self.keys, self.ids = self.keys.take(pa.array(kept)), self.ids.take(pa.array(kept))
+        self.used = self.used[kept]
 
 
 def _slots(keys: np.ndarray) -> np.ndarray:
@@ -118,6 +137,28 @@ def _slots(keys: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(64 - PAIR_SLOTS.bit_length() + 1)).astype(np.int64)
 
 
+def _binary(ids: np.ndarray, stops: np.ndarray) -> pa.LargeBinaryArray:
+    """Consecutive runs of ids as bytes; `stops` are the ends of the runs."""
+    offsets = np.concatenate([[0], 4 * stops]).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(stops), buffers)
+
+
+def _flat(runs: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all runs, and 0 followed by the end of each run."""
+    if not len(runs):
+        return np.empty(0, np.int32), np.zeros(1, np.int64)
+    _, offsets, data = runs.buffers()
+    stops = np.frombuffer(offsets, np.int64)[runs.offset :][: len(runs) + 1] // 4
+    ids = np.frombuffer(data or b"", np.int32)[stops[0] : stops[-1]]
+    return ids, stops - stops[0]
+
+
+def _quoted(text: str) -> str:
+    """The text as a pattern of Arrow's, each character by its code point."""
+    return "".join(rf"\x{{{ord(c):x}}}" for c in text)
+
+
 class Tokenizer:
     def __init__(self, file: bytes):
         spec = json.loads(file)
@@ -159,6 +200,7 @@ class Tokenizer:
         )
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         pattern = splits[0]["pattern"]["Regex"].replace(r"\s", _WHITE)
+        self.odd_pattern = "|".join([f"[{SEPARATORS}]", *map(_quoted, longest_first)])
         self.piece_pattern = regex.compile(pattern + r"|\n")
         self.chunk_pattern = regex.compile(f"[^{_WHITE}]+")
         self.chunks, self.pieces = Remembered(), Remembered()
@@ -259,82 +301,88 @@ class Tokenizer:
             rows = rows[tree[rows, 1] < NO_RANK]
         ids[:] = ids_[:, :width]
 
-    def _merge_all(self, pieces: list[str]) -> None:
-        """Adds the ids of new pieces to those known, many pieces of like length at a time."""
-        groups: dict[int, list[tuple[str, bytes]]] = {}
-        for piece in pieces:
-            data = piece.encode()
-            if len(data) > WIDEST:
-                ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-                self.pieces.put(piece, np.array(self.merge(ids), np.int32).tobytes())
-            else:
-                groups.setdefault(max(1, (len(data) - 1).bit_length()), []).append((piece, data))
-        for power, group in groups.items():
-            lengths = np.array([len(data) for _, data in group])
-            ids = np.full((len(group), (1 << power) + 1), -1, np.int32)
-            filled = np.arange(ids.shape[1]) < lengths[:, None]
-            symbols = np.frombuffer(b"".join(data for _, data in group), np.uint8)
-            ids[filled] = self.inner_ids[symbols]
-            ids[np.arange(len(group)), lengths - 1] = self.last_ids[symbols[lengths.cumsum() - 1]]
-            self.merge_rows(ids)
-            left = ids >= 0
-            flat, ends = ids[left].tobytes(), 4 * left.sum(axis=1).cumsum()
-            start = 0
-            for (piece, _), stop in zip(group, ends.tolist()):
-                self.pieces.put(piece, flat[start:stop])
-                start = stop
-
-    def learn(self, chunks: set[str]) -> None:
-        """Adds the ids of new chunks, runs of text without white space, to those known.
+    def _merge_all(self, pieces: pa.Array) -> pa.LargeBinaryArray:
+        """The ids of pieces, many of like length at a time."""
+        _, starts, data = pieces.buffers()
+        starts = np.frombuffer(starts, np.int32)[pieces.offset :][: len(pieces) + 1]
+        data = np.frombuffer(data, np.uint8)
+        starts, lengths = starts[:-1], np.diff(starts)
+        order, merged = [], []
+        for at in np.flatnonzero(lengths > WIDEST).tolist():
+            symbols = data[starts[at] : starts[at] + lengths[at]]
+            ids = [*self.inner_ids[symbols[:-1]].tolist(), int(self.last_ids[symbols[-1]])]
+            order.append([at])
+            merged.append(pa.array([np.array(self.merge(ids), np.int32).tobytes()], pa.large_binary()))
+        least, width = 1, 2
+        while least <= WIDEST:
+            group = np.flatnonzero((lengths >= least) & (lengths <= width))
+            column = np.arange(width + 1)
+            for first in range(0, len(group), ROWS_AT_ONCE):
+                some = group[first : first + ROWS_AT_ONCE]
+                last = lengths[some] - 1
+                ids = np.full((len(some), width + 1), -1, np.int32)
+                filled = column <= last[:, None]
+                ids[filled] = self.inner_ids[data[(starts[some][:, None] + column)[filled]]]
+                ids[np.arange(len(some)), last] = self.last_ids[data[starts[some] + last]]
+                self.merge_rows(ids)
+                left = ids >= 0
+                order.append(some)
+                merged.append(_binary(ids[left], left.sum(axis=1).cumsum()))
+            least, width = width + 1, 2 * width
+        return pa.concat_arrays(merged).take(pa.array(np.argsort(np.concatenate(order))))
+
+    def learn(self, chunks: pa.Array) -> pa.LargeBinaryArray:
+        """The ids of chunks, runs of text without white space.
 
         Normalising and cutting never reach across white space, so all chunks are normalised
         and cut in one pass, with newlines between them.
         """
-        order = list(chunks)
-        text = unicodedata.normalize("NFC", "\n".join(order))
+        text = unicodedata.normalize("NFC", "\n".join(chunks.to_pylist()))
         text = text.replace("Σ", "σ").lower()  # no final form of sigma
-        cut = self.piece_pattern.findall(text)
-        self._merge_all(list(self.pieces.missing(set(cut).difference("\n"))))
-        ids, k, known = [], 0, self.pieces.young
-        for piece in cut:
-            if piece == "\n":
-                self.chunks.put(order[k], b"".join(ids))
-                ids, k = [], k + 1
-            else:
-                ids.append(known[piece])
-        self.chunks.put(order[k], b"".join(ids))
+        cut = pa.array(self.piece_pattern.findall(text), pa.string())
+        ends = pc.equal(cut, "\n")
+        placed = self.pieces.ids_of(cut.filter(pc.invert(ends)), self._merge_all)
+        at = np.flatnonzero(ends.to_numpy(zero_copy_only=False))
+        pieces = np.append(at - np.arange(len(at)), len(placed))  # up to the end of each chunk
+        flat, stops = _flat(placed)
+        ids = _binary(flat, stops[pieces])
+        special = pc.is_in(chunks, value_set=pa.array(list(self.special), pa.string()))
+        if not pc.any(special).as_py():
+            return ids
+        own = [np.int32(self.special.get(c, -1)).tobytes() for c in chunks.to_pylist()]
+        return pc.if_else(special, pa.array(own, pa.large_binary()), ids)
 
     def _cut(self, text: str) -> list[str]:
-        """The chunks of a text; split() knows four separators more than the pattern does."""
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        """The chunks of a text and its special tokens; split() knows four separators more than
+        the pattern does."""
+        if self.special_pattern is not None and self.special_pattern.search(text):
+            parts = self.special_pattern.split(text)
+            return [c for p in parts for c in ([p] if p in self.special else self._cut(p))]
+        if any(c in text for c in SEPARATORS):
             return self.chunk_pattern.findall(text)
         return text.split()
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as the bytes of 32-bit integers."""
+    def _chunk_lists(self, texts: pa.Array) -> pa.Array:
+        """The chunks of each text, empty ones among them; cut by Arrow, whose white space is
+        that of split(), where no text has a special token or one of the four separators."""
+        if pc.any(pc.match_substring_regex(texts, self.odd_pattern)).as_py():
+            cut = [self._cut(text) for text in texts.to_pylist()]
+            return pa.array(cut, pa.list_(texts.type))
+        return pc.utf8_split_whitespace(texts)
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, none of them null, and how many each text has."""
         self.chunks.age()
         self.pieces.age()
-        known = self.chunks.young
-        cut: list[list[str | bytes]] = []
-        for text in texts:
-            if self.special_pattern is None or not self.special_pattern.search(text):
-                cut.append(self._cut(text))
-                continue
-            parts: list[str | bytes] = []
-            for part in self.special_pattern.split(text):
-                if part in self.special:
-                    parts.append(np.int32(self.special[part]).tobytes())
-                else:
-                    parts += self._cut(part)
-            cut.append(parts)
-        fresh = {c for parts in cut for c in parts if c not in known and isinstance(c, str)}
-        fresh = self.chunks.missing(fresh)
-        if fresh:
-            self.learn(fresh)
-        try:
-            return [b"".join([known[c] for c in parts]) for parts in cut]
-        except KeyError:  # a special token stands for itself
-            return [b"".join([c if isinstance(c, bytes) else known[c] for c in p]) for p in cut]
+        lists = self._chunk_lists(texts)
+        ids, stops = _flat(self.chunks.ids_of(lists.flatten(), self.learn))
+        bounds = lists.offsets.to_numpy()
+        return ids, np.diff(stops[bounds - bounds[0]])
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as the bytes of 32-bit integers."""
+        ids, lengths = self.encode_array(pa.array(texts, pa.string()))
+        return [part.tobytes() for part in np.split(ids, lengths.cumsum()[:-1])]
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_batch([text])[0], np.int32).tolist()
@@ -382,22 +430,18 @@ def encode(df: DataFrame, vocabulary, text: str = "text", ids: str = "ids") -> D
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         tokenizer = _tokenizer(vocabulary)
-        out: list[bytes] = []
-        waiting: list[str] = []
-        size = 0
-        for value in texts:
-            waiting.append(value.as_py() or "")
-            size += len(waiting[-1])
-            if size >= AT_ONCE:
-                out += tokenizer.encode_batch(waiting)
-                waiting, size = [], 0
-        out += tokenizer.encode_batch(waiting)
-        lengths = np.fromiter(map(len, out), np.int64, len(out)) // 4
-        offsets = np.concatenate([[0], lengths.cumsum()]).astype(np.int32)
-        whole = pa.py_buffer(b"".join(out))  # the ids of the batch, once
-        del out, waiting
+        filled = texts.fill_null("")
+        sizes = pc.binary_length(filled).to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], sizes.cumsum(dtype=np.int64)])
+        out, lengths = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+        for first, end in parts_of(bounds, TEXT_AT_ONCE):
+            ids_of_part, counts = tokenizer.encode_array(filled.slice(first, end - first))
+            out.append(ids_of_part)
+            lengths.append(counts)
+        offsets = np.concatenate(lengths).cumsum().astype(np.int32)
+        flat = pa.array(np.concatenate(out))  # the ids of the batch, once
+        del out, filled
         give_back()  # texts and ids apart; decoding takes as much again
-        flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, whole])
         return pa.ListArray.from_arrays(pa.array(offsets), flat)
 
     return df.withColumn(ids, encoded(F.col(text)))
@@ -423,7 +467,7 @@ def decode(df: DataFrame, vocabulary, ids: str = "ids", text: str = "decoded") -
         values = filled.values.to_numpy(zero_copy_only=False)
         tokenizer = _tokenizer(vocabulary)
         parts = []
-        for first, end in parts_of(offsets, AT_ONCE):
+        for first, end in parts_of(offsets, IDS_AT_ONCE):
             flat = values[offsets[first] : offsets[end]]
             texts = tokenizer.decode_lists(flat, offsets[first : end + 1] - offsets[first])
             parts.append(texts.cast(pa.string()))

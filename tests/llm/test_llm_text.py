@@ -89,6 +89,27 @@ def test_bpe_trees_alone_and_side_by_side_agree(library, own, size):
     assert own.encode(piece) == library.encode(piece, add_special_tokens=False).ids
 
 
+def test_bpe_words_are_looked_up_once_a_batch_and_forgotten_when_full(library, monkeypatch):
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as file:
+        own = bpe.Tokenizer(file.read())
+    learned = []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda chunks: learned.append(len(chunks)) or learn(chunks))
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 4000)
+    frequent = "the quick brown fox " * 50
+    texts = ["skipped", "", "  ", *[frequent + "".join(f"word{k}x{n} " for n in range(99)) for k in range(9)]]
+    texts += ["a<|endoftext|>b the\x1cfox", "<|endoftext|>", "plain <|endoftext|> again", " " + "é" * 70]
+    for first in range(1, len(texts), 3):
+        some = pa.array(texts, pa.string()).slice(first, 3)
+        ids, lengths = own.encode_array(some)
+        expected = [library.encode(t, add_special_tokens=False).ids for t in some.to_pylist()]
+        assert ids.tolist() == [i for one in expected for i in one]
+        assert lengths.tolist() == [len(one) for one in expected]
+    assert learned[0] < 110  # 99 words of one text, four frequent ones and the empty one
+    own.chunks.age()
+    assert own.chunks.keys.nbytes + own.chunks.ids.nbytes <= 4000
+
+
 def test_pair_tree_yields_the_leftmost_lowest():
     tree = bpe.PairTree([5, 3, -1, 3, 9])
     order = []
