@@ -14,8 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reading per event; `k` (0..99) is taken from the event's props."""
-    events = table(spark, sf_dir, "events").withColumn(
+    """One reading per event; `k` (0..99) is taken from the event's props.
+
+    A row group of the table is read by one task, and what a load writes has the tasks of what
+    it reads. Events are therefore spread over all cores first, however few row groups they are in.
+    """
+    events = table(spark, sf_dir, "events").hint("rebalance", "event_id").withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
     )
     return events.selectExpr(
