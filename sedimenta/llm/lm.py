@@ -9,19 +9,18 @@ segment by segment where the counts lie, without gathering n-grams.
 
 The filter's size follows the number of its entries at every scale; no n-gram is dropped. Up to
 MAX_BITS it is one broadcast. Beyond, words and bigrams have a filter each, cut by n-gram hash into
-parts of at most MAX_BITS, which are stored. One part of the bigrams is broadcast in turn and adds
-its bigrams' share of the scores, in one pass over the texts per part; the words come with it
-while they fit one part, else their levels are first noted beside the texts, part by part.
-Probabilities are smoothed with a Dirichlet prior: (bigram + PRIOR * unigram probability) /
-(context + PRIOR), where the unigram probability adds one to the counts.
+parts of at most MAX_BITS, each a broadcast of its own. The exact base score needs the count of
+every word; the table of words is broadcast in blocks of segments of about BLOCK_WORDS words. So no
+broadcast grows with the data, but their number does.
 
-The exact base score needs the count of every word. The table of words is read in blocks by
-hash of at most BLOCK_WORDS words; every block is broadcast in turn and adds its share of the
-sums, in one pass over the texts per block. So no broadcast grows with the data.
+The texts are read once, however many parts and blocks there are: the tokens of some texts wait in
+a worker while it looks them up in one part or block after the other, and it holds one of them at a
+time. Probabilities are smoothed with a Dirichlet prior: (bigram + PRIOR * unigram probability) /
+(context + PRIOR), where the unigram probability adds one to the counts.
 
 Defined results: a null or empty text is its end token alone; without training texts all
-counts are zero. Repeated rows are scored alike. Rows are matched between passes by id and
-text. Text columns are read whole, other columns are ignored.
+counts are zero. Repeated rows are scored alike. Text columns are read whole, other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -52,6 +51,8 @@ BLOCK_WORDS = 8_000_000
 #: Bytes of texts that are counted, or scored, at once; a longer text is by itself.
 _COUNTED_AT_ONCE, _SCORED_AT_ONCE = 6 << 20, 2 << 20
 _HASHED_AT_ONCE = 1 << 18
+#: Tokens that wait together for the parts and blocks, where there are several: some 20 bytes each.
+_WAIT_TOGETHER = 1 << 22
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SPACE = b" \t\n\r\x0b\x0c"
 END = xxhash.xxh3_64_intdigest(b"\nend")  # no word holds a newline
@@ -279,6 +280,10 @@ class Table:
             return self.shared
         return _gathered(self.rows.where(F.col("part") == part), self.blocks)
 
+    def load_all(self) -> list:
+        """All parts, gathered one after the other."""
+        return [self.load(part) for part in range(self.parts)]
+
 
 @dataclass
 class Model:
@@ -398,172 +403,156 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts)
 
 
-def _with_levels(rows: DataFrame, words: Table, text: str) -> DataFrame:
-    """Adds _levels: a byte for each token, the level of its word, found part by part."""
-    rows = rows.withColumn("_levels", F.lit(None).cast("binary"))
-    for part in range(words.parts):
-        rows, shared = _levels_of(rows, words, part, text)
-        rows = stored(rows, "word-levels")
-        shared.destroy()
-    return rows
-
-
-def _levels_of(rows: DataFrame, words: Table, part: int, text: str) -> tuple[DataFrame, object]:
-    shared, read = words.load(part), _reader(words, part)
-
-    @F.arrow_udf("binary")
-    def added(texts: pa.Array, before: pa.Array) -> pa.Array:
-        known = read(shared)
-        out: list[np.ndarray] = []
-        for words, place, starts in _chunks(texts, _SCORED_AT_ONCE):
-            found = known.levels(_mixed(words), 1).astype(np.uint8)[place]
-            out += np.split(found, starts[1:])
-        if before.null_count == 0:
-            out = [new + np.frombuffer(old.as_buffer(), np.uint8) for new, old in zip(out, before)]
-        return pa.array([levels.tobytes() for levels in out], pa.binary())
-
-    return rows.withColumn("_levels", added(F.col(text), F.col("_levels"))), shared
-
-
-def _reader(table: Table, part: int):
+class _Tokens:
+    """The tokens of a chunk of texts, and what is known of them so far; parts and blocks add to it."""
+
+    def __init__(self, words: np.ndarray, place: np.ndarray, starts: np.ndarray, waits: bool):
+        tokens = words[place]
+        self.words, self.place, self.starts = _mixed(words), place, starts
+        self.grams, self.pair_of = _distinct(bigrams(contexts_of(tokens, starts), tokens))
+        if waits:  # in half the memory
+            self.place, self.pair_of = place.astype(np.int32), self.pair_of.astype(np.int32)
+        self.single = np.zeros(len(words), np.uint8)  # levels
+        self.pair = np.zeros(len(self.grams), np.uint8)
+        self.counts = np.zeros(len(words), np.int64)  # exact ones
+
+    def sums(self, total: int) -> tuple[np.ndarray, ...]:
+        """n_tokens, score, n_known and log_sum of each text."""
+        place, starts = self.place, self.starts
+        single = _values(1)[self.single][place]
+        context = np.empty_like(single)
+        context[1:] = single[:-1]
+        # every text has one start and one end, so the end's count is the start's
+        context[starts] = single[-1]
+        pair = np.minimum(_values(2)[self.pair][self.pair_of], np.minimum(context, single))
+        prior = (single + 1) / total
+        logs = np.log10((pair + PRIOR * prior) / (context + PRIOR))
+        n_known = _sums((self.counts > 0).astype(np.int64)[place], starts)
+        log_sum = _sums(np.log10(self.counts + 1.0)[place], starts)
+        return np.diff([*starts, len(place)]), _sums(logs, starts), n_known, log_sum
+
+
+def _waiting(texts: pa.Array, most: int) -> Iterator[list[_Tokens]]:
+    """The chunks of several texts, some at a time that have about `most` tokens together."""
+    some, n = [], 0
+    for chunk in _chunks(texts, _SCORED_AT_ONCE):
+        some.append(_Tokens(*chunk, waits=most > 0))
+        n += len(some[-1].place)
+        if n >= most:
+            yield some
+            some, n = [], 0
+    if some:
+        yield some
+
+
+def _reader(table: Table):
     """Makes the filter of a part from its broadcast; without the table's rows, for the workers."""
     blocks, parts = table.blocks, table.parts
-    return lambda shared: Filter(np.frombuffer(shared.value, np.uint8), blocks, part, parts)
-
-
-@dataclass
-class Block:
-    """One block of the words with their exact counts."""
-
-    shared: object  # broadcast hashes, sorted, and counts
-
-    def counts(self, own: np.ndarray) -> np.ndarray:
-        """The exact counts of words; 0 in other blocks."""
-        words, counts = self.shared.value
-        if not len(words):
-            return np.zeros(len(own), np.int64)
-        at = np.minimum(np.searchsorted(words, own), len(words) - 1)
-        return np.where(words[at] == own, counts[at], 0)
+    return lambda data, part: Filter(np.frombuffer(data, np.uint8), blocks, part, parts)
+
+
+def _in_turn(shared: list, look_up) -> None:
+    """Calls look_up with the number and the value of each broadcast; where there are several, a
+    worker lets go of one before it reads the next."""
+    for part, one in enumerate(shared):
+        look_up(part, one.value)
+        if len(shared) > 1 and hasattr(one, "_path"):  # the file that it is read from again
+            vars(one).pop("_value", None)
+
+
+def _counts_in(block: tuple[np.ndarray, np.ndarray, int, int], own: np.ndarray) -> np.ndarray:
+    """The exact counts of words; 0 in other blocks."""
+    words, counts, low, high = block
+    out = np.zeros(len(own), np.int64)
+    segment = own >> np.uint64(52)
+    mine = np.flatnonzero((segment >= low) & (segment < high))
+    if len(words) and len(mine):
+        at = np.minimum(np.searchsorted(words, own[mine]), len(words) - 1)
+        out[mine] = np.where(words[at] == own[mine], counts[at], 0)
+    return out
 
 
 def _with_sums(
-    df: DataFrame, model: Model, text: str, part: int | None, block: Block | None, shared=None
+    df: DataFrame, model: Model, text: str, words: list, pairs: list, blocks: list
 ) -> DataFrame:
-    """Adds _sums, in one pass over the texts: n_tokens; score, what the bigrams of one part add to
-    the log10 probability of the text; n_known and log_sum, what the words of one block add to the
-    tokens in training texts and to the sum of log10(count + 1). None adds nothing."""
+    """Adds _sums, in one pass over the texts: n_tokens; score, the log10 probability of the text;
+    n_known and log_sum, its tokens in training texts and the sum of log10(count + 1). Broadcasts:
+    all parts of both filters, and the blocks of words whose exact counts are asked for."""
     ship_package(df.sparkSession)
     total = model.n_tokens + model.n_words + 1
-    scored = part is not None
-    pairs_of, words_of = _reader(model.pairs, part or 0), _reader(model.words, 0)
-    several, noted = model.pairs.parts > 1, model.words.parts > 1
-    shared_words = None
-    if scored:
-        shared = shared or model.pairs.load(part)
-        shared_words = None if noted else model.words.load(0)
-    levels = F.col("_levels") if noted else F.lit(None).cast("binary")
+    words_of, pairs_of = _reader(model.words), _reader(model.pairs)
+    most = _WAIT_TOGETHER if max(map(len, (words, pairs, blocks))) > 1 else 0
 
     @F.arrow_udf("struct<n_tokens: bigint, score: double, n_known: bigint, log_sum: double>")
-    def summed(texts: pa.Array, levels: pa.Array) -> pa.Array:
-        at, sums = 0, []
-        if scored:
-            known = pairs_of(shared)
-            if noted:
-                told = np.concatenate([np.frombuffer(v.as_buffer(), np.uint8) for v in levels] or [np.zeros(0, np.uint8)])
-        for words, place, starts in _chunks(texts, _SCORED_AT_ONCE):
-            own, score, c = _mixed(words), np.zeros(len(starts)), np.zeros(len(words), np.int64)
-            if scored:
-                if noted:
-                    single = _values(1)[told[at : at + len(place)]]
-                    at += len(place)
-                else:
-                    single = words_of(shared_words).counts(own, 1)[place]
-                tokens = words[place]
-                context = np.empty_like(single)
-                context[1:] = single[:-1]
-                # every text has one start and one end, so the end's count is the start's
-                context[starts] = single[-1]
-                grams, pair_of = _distinct(bigrams(contexts_of(tokens, starts), tokens))
-                pair = np.minimum(known.counts(grams, 2)[pair_of], np.minimum(context, single))
-                prior = (single + 1) / total
-                logs = np.log10((pair + PRIOR * prior) / (context + PRIOR))
-                if several:
-                    logs[~known.holds(grams)[pair_of]] = 0
-                score = _sums(logs, starts)
-            if block is not None:
-                c = block.counts(own)
-            n_known = _sums((c > 0).astype(np.int64)[place], starts)
-            log_sum = _sums(np.log10(c + 1.0)[place], starts)
-            sums.append((np.diff([*starts, len(place)]), score, n_known, log_sum))
+    def summed(texts: pa.Array) -> pa.Array:
+        sums, some = [], []
+
+        def look_up_words(part: int, data: bytes) -> None:
+            known = words_of(data, part)
+            for tokens in some:
+                tokens.single += known.levels(tokens.words, 1).astype(np.uint8)
+
+        def look_up_pairs(part: int, data: bytes) -> None:
+            known = pairs_of(data, part)
+            for tokens in some:
+                tokens.pair += known.levels(tokens.grams, 2).astype(np.uint8)
+
+        def look_up_counts(_: int, block: tuple[np.ndarray, np.ndarray, int, int]) -> None:
+            for tokens in some:
+                tokens.counts += _counts_in(block, tokens.words)
+
+        for some in _waiting(texts, most):
+            _in_turn(words, look_up_words)
+            _in_turn(pairs, look_up_pairs)
+            _in_turn(blocks, look_up_counts)
+            sums += [tokens.sums(total) for tokens in some]
         names = ["n_tokens", "score", "n_known", "log_sum"]
         types = [pa.int64(), pa.float64(), pa.int64(), pa.float64()]
         columns = [np.concatenate(c) for c in zip(*sums)] or [np.zeros(0)] * 4
         return pa.StructArray.from_arrays([pa.array(c).cast(t) for c, t in zip(columns, types)], names)
 
-    return df.withColumn("_sums", summed(F.col(text), levels))
+    return df.withColumn("_sums", summed(F.col(text)))
 
 
-def with_score(df: DataFrame, model: Model, text: str = "text", part: int = 0, shared=None) -> DataFrame:
-    """Adds n_tokens and score, the log10 probability of the text under the model; with bigrams in
-    several parts, only what those of one part add to it."""
+def with_score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Adds n_tokens and score, the log10 probability of the text under the model."""
     return (
-        _with_sums(df, model, text, part, None, shared)
+        _with_sums(df, model, text, model.words.load_all(), model.pairs.load_all(), [])
         .withColumns({c: F.col(f"_sums.{c}") for c in ("n_tokens", "score")})
         .drop("_sums")
     )
 
 
-def _word_block(model: Model, block: int, blocks: int) -> Block:
-    """One block of the words, about BLOCK_WORDS of them at most."""
+def _word_block(model: Model, block: int, blocks: int):
+    """Broadcast hashes, sorted, and exact counts of the words of one block, about BLOCK_WORDS of them
+    at most, and the segments it has."""
+    low, high = (SEGMENTS * k // blocks for k in (block, block + 1))
     rows = model.counts.where(
-        (F.col("n_order") == 1) & (F.pmod(F.xxhash64("h"), F.lit(blocks)) == block)
+        (F.col("n_order") == 1) & F.col("segment").between(low, high - 1)
     ).select("h", F.col("n"))
     table = rows.toArrow()
     h, n = table.column("h").to_numpy().view(np.uint64), table.column("n").to_numpy()
     if len(n) == 0 or n.max() < 1 << 32:
         n = n.astype(np.uint32)
     order = np.argsort(h)
-    return Block(rows.sparkSession.sparkContext.broadcast((h[order], n[order])))
+    return rows.sparkSession.sparkContext.broadcast((h[order], n[order], low, high))
 
 
 def score(
     df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row."""
-    blocks, parts = max(1, math.ceil(model.n_words / BLOCK_WORDS)), model.pairs.parts
+    n_blocks = min(SEGMENTS, max(1, math.ceil(model.n_words / BLOCK_WORDS)))
+    blocks = [_word_block(model, k, n_blocks) for k in range(n_blocks)]
+    words, pairs = model.words.load_all(), model.pairs.load_all()
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
-    if model.words.parts > 1:
-        rows = _with_levels(rows, model.words, "_text")
-    first = _with_sums(rows, model, "_text", 0, _word_block(model, 0, blocks))
-    scored = first.select("doc_id", F.xxhash64("_text").alias("_hash"), "_sums.*")
-    if max(blocks, parts) > 1:
-        more = []
-        for k in range(1, max(blocks, parts)):
-            shared = model.pairs.load(k) if k < parts else None
-            block = _word_block(model, k, blocks) if k < blocks else None
-            part = _with_sums(rows, model, "_text", k if k < parts else None, block, shared).select(
-                F.col("doc_id").alias("_id"),
-                F.xxhash64("_text").alias("_of"),
-                F.col("_sums.n_known").alias("_known"),
-                F.col("_sums.log_sum").alias("_sum"),
-                F.col("_sums.score").alias("_score"),
-            )
-            more.append(stored(part.dropDuplicates(["_id", "_of"]), "word-block"))
-            if model.pairs.shared is None and shared is not None:
+    scored = _with_sums(rows, model, "_text", words, pairs, blocks).select("doc_id", "_sums.*")
+    if max(map(len, (words, pairs, blocks))) > 1:
+        scored = stored(scored, "text-sums")
+        own = model.words.shared, model.pairs.shared
+        for shared in (*words, *pairs, *blocks):
+            if not any(shared is one for one in own):
                 shared.destroy()
-        rest = more[0]
-        for part in more[1:]:
-            rest = rest.union(part)
-        rest = rest.groupBy("_id", "_of").agg(*[F.sum(c).alias(c) for c in ("_known", "_sum", "_score")])
-        scored = scored.join(
-            rest, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of"))
-        ).withColumns(
-            {
-                "n_known": F.col("n_known") + F.col("_known"),
-                "log_sum": F.col("log_sum") + F.col("_sum"),
-                "score": F.col("score") + F.col("_score"),
-            }
-        )
     unit = math.log10(model.n_tokens + model.n_words + 1)
     return scored.select(
         "doc_id",

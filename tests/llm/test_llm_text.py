@@ -381,6 +381,53 @@ def test_one_pass_over_the_texts_gives_all_sums(spark, edge):
     assert len(re.findall(r"\(text#", line)) == 1
 
 
+def test_texts_are_read_once_for_all_parts_and_blocks(spark, edge, monkeypatch):
+    """Several parts of both filters and several blocks of words take no further pass over the texts,
+    and give what one part and one block give."""
+    draw = random.Random(5)
+    texts = [(k, " ".join(f"w{draw.randrange(900)}" for _ in range(400))) for k in range(60)]
+    docs = spark.createDataFrame(texts + texts[:3], "doc_id bigint, text string")
+    docs = docs.union(edge.select("doc_id", "text"))
+    whole = lm.fit(docs)
+    one_part = sorted((r.doc_id or -1, r.n_known, r.base_score) for r in lm.score(docs, whole).collect())
+    monkeypatch.setattr(lm, "MAX_BITS", 1 << 17)
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 300)
+    monkeypatch.setattr(lm, "_SCORED_AT_ONCE", 2_000)  # many chunks, a few of which wait together
+    monkeypatch.setattr(lm, "_WAIT_TOGETHER", 3_000, raising=False)
+    model = lm.fit(docs)
+    assert model.pairs.parts > 1
+    passes, kept = [], lm.stored
+
+    def noted(rows, purpose):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        passes.append("EvalPython" in plan)
+        return kept(rows, purpose)
+
+    monkeypatch.setattr(lm, "stored", noted)
+    scored = lm.score(docs, model)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(passes) + ("EvalPython" in plan) == 1
+    rows = scored.collect()
+    found = sorted((r.doc_id or -1, r.n_known, r.base_score) for r in rows)
+    assert [r[:2] for r in found] == [r[:2] for r in one_part]
+    for own, other in zip(found, one_part):
+        assert own[2] == pytest.approx(other[2], abs=1e-9)
+    # the model's own broadcasts outlive the scoring, which can be done again
+    again = sorted((r.doc_id or -1, r.score) for r in lm.score(docs, model).collect())
+    assert again == sorted((r.doc_id or -1, r.score) for r in rows)
+
+
+def test_words_are_looked_up_in_their_block_only():
+    words = np.sort(np.random.RandomState(2).randint(0, 1 << 64, 500, np.uint64))
+    counts = np.arange(1, 501, dtype=np.uint32)
+    asked = np.concatenate([words[::-1], words + np.uint64(1)])
+    total = np.zeros(len(asked), np.int64)
+    for low, high in ((0, 1000), (1000, 1001), (1001, lm.SEGMENTS)):
+        mine = ((words >> np.uint64(52)) >= low) & ((words >> np.uint64(52)) < high)
+        total += lm._counts_in((words[mine], counts[mine], low, high), asked)
+    assert total.tolist() == [*range(500, 0, -1), *[0] * 500]
+
+
 # ---- chat ----------------------------------------------------------------------
 
 
